@@ -1,0 +1,19 @@
+"""Where written intermediate tables go."""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared checkpoint directory.
+
+    Only a session without one (a local test) gets a folder of this machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"{name}-")
