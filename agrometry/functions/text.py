@@ -69,35 +69,41 @@ def blank_to_null(cell: Column) -> Column:
 
 
 def decimal_comma(cell: Column) -> Column:
-    """``"23,5"`` to 23.5; blanks, a lone comma, ``nan`` and junk give NULL."""
-    number = F.replace(cell, F.lit(","), F.lit(".")).try_cast("float")
-    return F.when(~F.isnan(number), number)
+    """``"23,5"`` to 23.5; blanks, a lone comma, ``nan`` and junk give NULL.
+
+    The usual empty cells are sorted out before the cast, because a failing
+    cast costs far more than a comparison.
+    """
+    filled = F.when(~F.trim(cell).isin("", ",", "nan", "NaN"), cell)
+    number = F.replace(filled, F.lit(","), F.lit(".")).try_cast("float")
+    return F.nanvl(number, F.lit(None).cast("float"))
 
 
 def day(cell: Column) -> Column:
     return F.try_to_date(cell, "yyyy/MM/dd")
 
 
-def station_columns(path: Column) -> dict[str, Column]:
-    """State, code and name of the station a file belongs to.
+def decoded_path(path: Column) -> Column:
+    """Plain form of a file path that Spark reports URL-encoded."""
+    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), F.coalesce(plain, path)).otherwise(path)
 
-    File paths that Spark reports are URL-encoded; decode before matching.
-    """
-    plain = F.coalesce(F.try_url_decode(path), path)
+
+def station_columns(path: Column) -> dict[str, Column]:
+    """State, code and name of the station that a decoded file path names."""
     return {
-        "uf": F.regexp_extract(plain, FILE_UF, 1),
-        "estacao_codigo": F.regexp_extract(plain, FILE_STATION, 1),
-        "estacao_nome": F.regexp_extract(plain, FILE_STATION_NAME, 1),
+        "uf": F.regexp_extract(path, FILE_UF, 1),
+        "estacao_codigo": F.regexp_extract(path, FILE_STATION, 1),
+        "estacao_nome": F.regexp_extract(path, FILE_STATION_NAME, 1),
     }
 
 
-def number(cell: Column, is_text: bool, decimal_comma_text: bool = False) -> Column:
-    """Cell as a double, or NULL when it does not read as a number."""
-    if not is_text:
-        value = cell.cast("double")
-    else:
-        if decimal_comma_text:
-            cell = F.replace(cell, F.lit(","), F.lit("."))
-        # Java reads "1d" and "1f" as numbers; they are text here.
-        value = F.when(~cell.rlike(r"[0-9.][dDfF]\s*$"), cell.try_cast("double"))
-    return F.when(~F.isnan(value), value)
+# What reads as a number; Java would also take "1d" and "1f".
+NUMBER = r"(?i)^\s*[-+]?((\d+\.?\d*|\.\d+)(e[-+]?\d+)?|inf(inity)?)\s*$"
+
+
+def number(cell: Column, decimal_comma_text: bool = False) -> Column:
+    """Text cell as a double, or NULL when it does not read as a number."""
+    if decimal_comma_text:
+        cell = F.replace(cell, F.lit(","), F.lit("."))
+    return F.when(cell.rlike(NUMBER), cell.try_cast("double"))

@@ -75,12 +75,13 @@ def with_source_file(df: DataFrame) -> DataFrame:
     """
     if SOURCE_FILE in df.columns:
         return df
-    path = F.col("_metadata.file_path")
-    return df.withColumn(SOURCE_FILE, F.coalesce(F.try_url_decode(path), path))
+    return df.withColumn(SOURCE_FILE, text.decoded_path(F.col("_metadata.file_path")))
 
 
 def with_station(df: DataFrame, path_column: str = SOURCE_FILE) -> DataFrame:
-    return df.withColumns(text.station_columns(F.col(path_column)))
+    """Add state, station code and name, all read from the file name."""
+    decoded = df.withColumn("_path", text.decoded_path(F.col(path_column)))
+    return decoded.withColumns(text.station_columns(F.col("_path"))).drop("_path")
 
 
 def bronze_climate(raw: DataFrame) -> DataFrame:

@@ -47,14 +47,19 @@ def pair_all(
     """Every left row with every right row, as an equi-join on hash cells.
 
     The result is a product by definition, so it is computed as a grid: each
-    left row has one cell and each right row is copied to every left cell.  A
-    right side within the bound is broadcast, and left rows never move.  A
-    larger right side is cut into blocks of at most about ``max_rows``; the
+    left row has one cell and each right row is copied to every left cell.
+
+    A right side within the bound is broadcast.  Each left row then becomes as
+    many rows as the right side has, so left rows are first dealt out over all
+    shuffle partitions; one row moves for every |right| rows written.  A larger
+    right side is cut into blocks of at most about ``max_rows``; the
     grid of (left cell, right block) pairs is then a shuffle join in which no
     task holds either side whole.
     """
     if fits_broadcast(right, max_rows, max_bytes):
-        grid_left = left.withColumn("_cell", _cell(left, 2))
+        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = left.repartition(tasks, *[F.col(f"`{c}`") for c in left.columns])
+        grid_left = dealt.withColumn("_cell", _cell(left, 2))
         grid_right = F.broadcast(right.select("*", _every_cell(2).alias("_cell")))
         return grid_left.join(grid_right, "_cell").drop("_cell")
 

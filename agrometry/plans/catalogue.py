@@ -12,7 +12,7 @@ from agrometry.functions.calendar import season_order as season_place
 from agrometry.operators import bronze, gold, metrics, silver, warehouse
 from agrometry.plans import inputs
 from agrometry.plans.inputs import HUMIDITY, RAIN, TEMPERATURE, TEMPERATURE_MAX
-from agrometry.plans.scratch import scratch_folder
+from agrometry.sources.scratch import scratch_folder
 from agrometry.quality import rulesets
 from agrometry.quality.rules import DataType, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns
 from agrometry.quality.runner import file_errors, file_status, profile, report, split_by_file

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrometry.operators.bronze import SOURCE_FILE
+from agrometry.sources.readers import spread_if_narrow
 
 # Long headers as weather files have them.
 RAIN = "PRECIPITAÇÃO TOTAL, HORÁRIO (mm)"
@@ -24,9 +25,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_if_narrow(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+
+
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
     """Typed hourly observations; some rows occur twice, some lack a date."""
-    items = table(spark, folder, "lineitem")
+    items = line_items(spark, folder)
     stations = table(spark, folder, "supplier")
     copies = F.explode(F.sequence(F.lit(1), F.when(F.col("l_returnflag") == "A", 2).otherwise(1)))
     half = F.col("l_quantity") * 0.5
@@ -66,7 +71,7 @@ def raw_weather(spark: SparkSession, folder: str) -> DataFrame:
     code = F.lpad(F.col("l_suppkey").cast("string"), 9, "0")
     year = F.year("l_shipdate").cast("string")
     uf = F.concat(F.chr(65 + F.col("l_suppkey") % 26), F.chr(65 + F.floor(F.col("l_suppkey") / 26) % 26))
-    return table(spark, folder, "lineitem").select(
+    return line_items(spark, folder).select(
         F.when(F.col("l_orderkey") % 97 == 0, None)
         .when(F.col("l_orderkey") % 89 == 0, "nan")
         .otherwise(F.date_format("l_shipdate", "yyyy/MM/dd"))

@@ -19,14 +19,41 @@ from agrometry.functions import text
 ERROR, WARNING = "ERROR", "WARNING"
 
 
+@dataclass(frozen=True)
+class Parse:
+    """A column to be read as a number or a timestamp, once per row for all checks."""
+
+    column: str
+    kind: str = "number"
+    decimal_comma: bool = False
+
+    @property
+    def alias(self) -> str:
+        return f"_{self.kind}{'_comma' if self.decimal_comma else ''}:{self.column}"
+
+    def value(self) -> Column:
+        return F.col(f"`{self.alias}`")
+
+    def expression(self, df: DataFrame) -> Column:
+        cell, kind = _col(self.column), df.schema[self.column].dataType
+        if self.kind == "timestamp":
+            if isinstance(kind, StringType):
+                cell = F.replace(cell, F.lit("/"), F.lit("-"))
+            return cell.cast("string").try_cast("timestamp")
+        if isinstance(kind, (NumericType, BooleanType)):
+            return F.nanvl(cell.cast("double"), F.lit(None).cast("double"))
+        return text.number(cell.cast("string"), self.decimal_comma)
+
+
 @dataclass(frozen=True)
 class Check:
     """One line of a report, if it fires.
 
-    ``affected`` is an aggregate over rows.  ``message`` gets the affected
-    count as a column.  ``fires`` defaults to "some row is affected".
-    ``duplicate_keys`` marks the one check kind that needs its own shuffle;
-    it then stands for rows beyond the first of each key.
+    ``affected`` is an aggregate over rows; it may use the values of ``parses``.
+    ``message`` gets the affected count as a column.  ``fires`` defaults to
+    "some row is affected".  ``bad`` tells the rows to take samples from.
+    ``duplicate_keys`` marks the one check kind that needs its own shuffle; it
+    then stands for rows beyond the first of each key.
     """
 
     rule: str
@@ -35,6 +62,7 @@ class Check:
     affected: Column | None = None
     fires: Column | None = None
     severity: str = ERROR
+    parses: tuple[Parse, ...] = ()
     bad: Column | None = None
     duplicate_keys: tuple[str, ...] | None = None
 
@@ -67,14 +95,6 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return column.isNull()
 
 
-def as_number(df: DataFrame, name: str, decimal_comma: bool = False) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (NumericType, BooleanType)):
-        return text.number(_col(name), False)
-    cell = _col(name) if isinstance(kind, StringType) else _col(name).cast("string")
-    return text.number(cell, True, decimal_comma)
-
-
 @dataclass(frozen=True)
 class NotEmpty(Rule):
     name = "not_empty"
@@ -131,7 +151,8 @@ class NumericRange(Rule):
     def checks(self, df):
         if self.column not in df.columns:
             return []
-        value = as_number(df, self.column, self.decimal_comma)
+        parse = Parse(self.column, decimal_comma=self.decimal_comma)
+        value = parse.value()
         sides = []
         if self.min_value is not None:
             sides.append((value < self.min_value, "abaixo", self.min_value))
@@ -141,7 +162,7 @@ class NumericRange(Rule):
             Check(
                 self.name, self.column,
                 _sentence(f"Coluna '{self.column}' tem {{n}} valores {side} de {limit}"),
-                affected=F.count_if(bad),
+                affected=F.count_if(bad), parses=(parse,),
             )
             for bad, side, limit in sides
         ]
@@ -171,27 +192,23 @@ class DataType(Rule):
     def checks(self, df):
         if self.column not in df.columns:
             return []
-        if self.expected_type == "numeric":
-            parsed, what = as_number(df, self.column), "valores não numéricos"
-        elif self.expected_type == "datetime":
-            parsed = self._timestamp(df)
-            what = "valores de data inválidos"
-        else:
+        # Expected type, how to read it, and the complaint.
+        known = {
+            "numeric": ("number", "valores não numéricos"),
+            "datetime": ("timestamp", "valores de data inválidos"),
+        }
+        if self.expected_type not in known:
             return []
-        bad = parsed.isNull() & ~is_missing(df, self.column)
+        kind, what = known[self.expected_type]
+        parse = Parse(self.column, kind)
+        bad = parse.value().isNull() & ~is_missing(df, self.column)
         return [
             Check(
                 self.name, self.column, _sentence(f"Coluna '{self.column}' tem {{n}} {what}"),
-                affected=F.count_if(bad), bad=bad,
+                affected=F.count_if(bad), parses=(parse,), bad=bad,
             )
         ]
 
-    def _timestamp(self, df):
-        cell = _col(self.column)
-        if isinstance(df.schema[self.column].dataType, StringType):
-            cell = F.replace(cell, F.lit("/"), F.lit("-"))
-        return cell.cast("string").try_cast("timestamp")
-
 
 @dataclass(frozen=True)
 class KeywordRange(Rule):
@@ -220,12 +237,17 @@ class KeywordRange(Rule):
     def checks(self, df):
         found = []
         for c in filter(self.matches, df.columns):
-            value = as_number(df, c, self.decimal_comma)
+            parse = Parse(c, decimal_comma=self.decimal_comma)
+            value = parse.value()
             bad = F.lit(False)
             if self.min_value is not None:
                 bad = bad | (value < self.min_value)
             if self.max_value is not None:
                 bad = bad | (value > self.max_value)
             message = _sentence(f"Coluna '{c}' tem {{n}} valores {self.complaint}")
-            found.append(Check(self.name, c, message, F.count_if(bad), severity=self.severity))
+            found.append(
+                Check(
+                    self.name, c, message, F.count_if(bad), severity=self.severity, parses=(parse,)
+                )
+            )
         return found

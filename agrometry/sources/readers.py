@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -17,10 +17,6 @@ WEATHER_HEADER = r'(?i)^"?data[^;:]*;\s*"?hora'
 MAX_LAYOUTS = 500
 
 
-def _decoded(path: Column) -> Column:
-    return F.coalesce(F.try_url_decode(path), path)
-
-
 def with_year_folder(df: DataFrame, root: str) -> DataFrame:
     """Year folder of each row's source file; ``raw`` for files right under ``root``."""
     folder = F.regexp_extract(SOURCE_FILE, r"([^/]+)/[^/]+$", 1)
@@ -40,7 +36,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", year: str | None
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(root)
-        .select(_decoded(F.col("path")).alias(SOURCE_FILE), F.col("length").alias("bytes"))
+        .select(text.decoded_path(F.col("path")).alias(SOURCE_FILE), F.col("length").alias("bytes"))
     )
     found = with_year_folder(found, root)
     return found if year is None else found.where(F.col("year") == str(year))
@@ -82,7 +78,7 @@ def _scan_csv(spark: SparkSession, paths, names: Sequence[str], sep: str, encodi
     kept = rows.where(F.col(CORRUPT).isNull() | (cells <= len(names)))
     return kept.select(
         *[text.missing_to_null(F.col(f"`{n}`")).alias(n) for n in names],
-        _decoded(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        text.decoded_path(F.col("_metadata.file_path")).alias(SOURCE_FILE),
     )
 
 
@@ -159,3 +155,14 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 def read_relation(spark: SparkSession, name: str) -> DataFrame:
     """A table or view by name, such as ``silver.stg_clima``."""
     return spark.table(name)
+
+
+def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer tasks than the session has cores.
+
+    A table stored as one row group is read by a single task, and so would be
+    all work up to the next shuffle.  Scans with enough splits stay as they are.
+    """
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(*keys)
