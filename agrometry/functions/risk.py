@@ -17,21 +17,32 @@ from agrometry.functions.numeric import first_below
 RISK_CLASSES = ((2.0, "Baixo"), (4.5, "Medio"), (7.0, "Alto"))
 RISK_WORST = "Critico"
 
-_SCORE = "decimal(16,1)"
+_SCORE = "decimal(6,1)"
 
 
 def _dec(value, kind: str) -> Column:
     return F.lit(value).cast(kind)
 
 
-def drought_risk(rain_mm: Column, water: Column, drought_tolerant: Column) -> Column:
-    # A decimal(18,0) divisor makes Spark keep 20 digits of the quotient, as
-    # many as the warehouse engine keeps; ties at the last digit depend on it.
-    share = _dec(1, "decimal(1,0)") - rain_mm.cast("decimal(9,1)") / _dec(300, "decimal(18,0)")
-    relief = F.when(drought_tolerant, _dec("0.7", "decimal(2,1)")).otherwise(_dec(1, "decimal(2,1)"))
-    raw = share * water.cast("decimal(3,0)") * relief
-    clamped = F.greatest(_dec(0, "decimal(2,0)"), F.least(_dec(10, "decimal(2,0)"), raw))
-    return F.round(clamped * _dec(10, "decimal(2,0)"), 1).cast(_SCORE)
+def dryness(rain_mm: Column) -> Column:
+    """Missing share of 300 mm of rain; belongs to a season, whatever the crop.
+
+    A decimal(18,0) divisor makes Spark keep 20 digits of the quotient, as
+    many as the warehouse engine keeps; ties at the last digit depend on it.
+    """
+    return _dec(1, "decimal(1,0)") - rain_mm.cast("decimal(9,1)") / _dec(300, "decimal(18,0)")
+
+
+def thirst(water: Column, drought_tolerant: Column) -> Column:
+    """Weight of dryness for a crop, whatever the season: tenfold, less 30 % if tolerant."""
+    relief = F.when(drought_tolerant, _dec(7, "decimal(2,0)")).otherwise(_dec(10, "decimal(2,0)"))
+    return water.cast("decimal(3,0)") * relief
+
+
+def drought_risk(dry: Column, thirsty: Column) -> Column:
+    weighted = dry * thirsty
+    clamped = F.greatest(_dec(0, "decimal(3,0)"), F.least(_dec(100, "decimal(3,0)"), weighted))
+    return F.round(clamped, 1).cast(_SCORE)
 
 
 def _excess(degrees: Column, sensitive: Column) -> Column:

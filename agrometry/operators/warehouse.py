@@ -102,17 +102,18 @@ def risk_mart(seasonal: DataFrame, staged: DataFrame) -> DataFrame:
         "temp_min_ideal", "temp_max_ideal", "necessidade_agua_score",
         "tolerante_seca", "tolerante_frio", "sensivel_frio", "sensivel_calor",
     )
+    # What depends on one side only is worked out before the rows multiply.
+    dry = risk.dryness(F.col("precipitacao_total_mm")).alias("_seca")
+    thirsty = risk.thirst(F.col("necessidade_agua_score"), F.col("tolerante_seca")).alias("_sede")
     pairs = pair_all(
-        seasonal.select(*STATION, "ano", "estacao_ano", *climate),
-        staged.select("cultura", "categoria", *limits),
+        seasonal.select(*STATION, "ano", "estacao_ano", *climate, dry),
+        staged.select("cultura", "categoria", *limits, thirsty),
     )
     parts = [F.col(c) for c in ("risco_seca", "risco_frio", "risco_calor")]
     return (
         pairs.withColumns(
             {
-                "risco_seca": risk.drought_risk(
-                    F.col("precipitacao_total_mm"), F.col("necessidade_agua_score"), F.col("tolerante_seca")
-                ),
+                "risco_seca": risk.drought_risk(F.col("_seca"), F.col("_sede")),
                 "risco_frio": risk.cold_risk(
                     F.col("temp_min_c"), F.col("temp_min_ideal"), F.col("tolerante_frio"), F.col("sensivel_frio")
                 ),
