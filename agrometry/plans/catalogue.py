@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -54,9 +54,8 @@ def seasonal(spark, folder):
 
 
 def season_order(spark, folder):
-    """Place of each season of each year; all years hold few rows, so one task numbers them."""
-    place = F.row_number().over(Window.orderBy(season_place(F.col("estacao")), "ano"))
-    return seasonal(spark, folder).transform(silver.in_season_order).select(place.alias("ordem"), "ano", "estacao")
+    place = season_place(F.col("estacao")).alias("ordem")
+    return seasonal(spark, folder).transform(silver.in_season_order).select(place, "ano", "estacao")
 
 
 def fact(spark, folder):

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrometry.operators import bronze, gold, silver
 from agrometry.operators.metrics import layer_totals
-from agrometry.sources.readers import read_layer, read_raw, read_raw_many, read_reference_csv, read_weather_csv
-from agrometry.sources.writers import write_layer
+from agrometry.plans import jobs
+from agrometry.sources.readers import read_layer
 
 
 def lake_paths(lake: str) -> dict[str, str]:
@@ -15,61 +14,39 @@ def lake_paths(lake: str) -> dict[str, str]:
     layout = {
         "bronze": ("clima", "culturas"),
         "silver": ("dim_tempo", "clima_diario", "clima_mensal", "clima_estacional", "culturas"),
-        "gold": ("fato_risco_climatico", "relatorios/ranking_culturas", "relatorios/distribuicao_risco"),
+        "gold": ("fato_risco_climatico", "relatorios"),
     }
-    return {f"{layer}.{name.rsplit('/', 1)[-1]}": f"{lake}/{layer}/{name}" for layer, names in layout.items() for name in names}
+    return {f"{layer}.{name}": f"{lake}/{layer}/{name}" for layer, names in layout.items() for name in names}
 
 
-def _is_csv(path: str) -> bool:
-    return path.lower().endswith(".csv")
-
-
-def read_climate(spark: SparkSession, path: str) -> DataFrame:
-    """Raw weather rows from CSV files or from a raw Parquet tree."""
-    return read_weather_csv(spark, path) if _is_csv(path) else read_raw(spark, path)
-
-
-def read_crops(spark: SparkSession, paths: str | list[str] | tuple[str, ...]) -> list[DataFrame]:
-    many = [paths] if isinstance(paths, str) else list(paths)
-    return [read_reference_csv(spark, p) if _is_csv(p) else read_raw_many(spark, [p]) for p in many]
-
-
-def bronze_layer(spark: SparkSession, climate: DataFrame, crops: list[DataFrame], lake: str) -> DataFrame:
+def bronze_layer(spark: SparkSession, raw_climate: str, raw_crops, lake: str) -> DataFrame:
     """Write both bronze tables; returns their row counts and the total."""
     at = lake_paths(lake)
-    write_layer(bronze.bronze_climate(climate), at["bronze.clima"])
-    write_layer(bronze.bronze_crops(crops), at["bronze.culturas"])
     return layer_totals(
-        {name: read_layer(spark, at[f"bronze.{name}"]) for name in ("clima", "culturas")}
+        {
+            "clima": jobs.processar_clima_bronze(spark, raw_climate, at["bronze.clima"]),
+            "culturas": jobs.processar_culturas_bronze(spark, raw_crops, at["bronze.culturas"]),
+        }
     )
 
 
 def silver_layer(spark: SparkSession, lake: str) -> None:
     """Write the silver tables, each from the written level below it."""
     at = lake_paths(lake)
-
-    def layer(name: str) -> DataFrame:
-        return read_layer(spark, at[name])
-
-    write_layer(silver.time_dimension(layer("bronze.clima")), at["silver.dim_tempo"])
-    daily = silver.daily_climate(layer("bronze.clima"))
-    write_layer(daily.transform(bronze.with_layer, "silver"), at["silver.clima_diario"])
-    write_layer(silver.monthly_climate(layer("silver.clima_diario")), at["silver.clima_mensal"])
-    write_layer(silver.seasonal_climate(layer("silver.clima_mensal")), at["silver.clima_estacional"])
-    write_layer(silver.enrich_crops(layer("bronze.culturas")), at["silver.culturas"])
+    jobs.criar_dim_tempo(spark, read_layer(spark, at["bronze.clima"]), at["silver.dim_tempo"])
+    jobs.agregar_clima_diario(spark, at["bronze.clima"], at["silver.clima_diario"])
+    jobs.agregar_clima_mensal(spark, at["silver.clima_diario"], at["silver.clima_mensal"])
+    jobs.agregar_clima_estacional(spark, at["silver.clima_mensal"], at["silver.clima_estacional"])
+    jobs.enriquecer_culturas(spark, at["bronze.culturas"], at["silver.culturas"])
 
 
 def gold_layer(spark: SparkSession, lake: str) -> None:
     """Write the risk fact by season, and its two reports."""
     at = lake_paths(lake)
-    fact = gold.crop_risk_fact(
-        read_layer(spark, at["silver.clima_estacional"]), read_layer(spark, at["silver.culturas"])
+    jobs.gerar_fato_risco_climatico(
+        spark, at["silver.clima_estacional"], at["silver.culturas"], at["gold.fato_risco_climatico"]
     )
-    stamped = fact.transform(bronze.with_layer, "gold").drop("camada")
-    write_layer(stamped, at["gold.fato_risco_climatico"], partition_by="estacao")
-    written = read_layer(spark, at["gold.fato_risco_climatico"])
-    write_layer(gold.crop_ranking(written), at["gold.ranking_culturas"])
-    write_layer(gold.risk_distribution(written), at["gold.distribuicao_risco"])
+    jobs.gerar_relatorio_resumido(spark, at["gold.fato_risco_climatico"], at["gold.relatorios"])
 
 
 def run(spark: SparkSession, raw_climate: str, raw_crops, lake: str) -> dict[str, DataFrame]:
@@ -78,12 +55,7 @@ def run(spark: SparkSession, raw_climate: str, raw_crops, lake: str) -> dict[str
     Every layer is a written table, which also cuts the lineage: an executor
     lost in a late step never makes an early one run again.
     """
-    bronze_layer(spark, read_climate(spark, raw_climate), read_crops(spark, raw_crops), lake)
+    bronze_layer(spark, raw_climate, raw_crops, lake)
     silver_layer(spark, lake)
     gold_layer(spark, lake)
-    fact = read_layer(spark, lake_paths(lake)["gold.fato_risco_climatico"])
-    return {
-        "resumo_executivo": gold.executive_summary(fact),
-        "top_versateis": gold.most_versatile_crops(fact),
-        "top_arriscadas": gold.riskiest_crops(fact),
-    }
+    return jobs.exibir_resposta_pergunta(spark, lake_paths(lake)["gold.fato_risco_climatico"])

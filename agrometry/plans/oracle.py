@@ -446,8 +446,7 @@ def sql() -> dict[str, str]:
         "clima_estacional": _with([*LAKE, SEASONAL], "select * from estacional"),
         "season_order": _with(
             [*LAKE, SEASONAL],
-            """select cast(row_number() over (order by
-                 case estacao when 'Verão' then 1 when 'Outono' then 2 when 'Inverno' then 3 else 4 end, ano) as int) as ordem,
+            """select case estacao when 'Verão' then 1 when 'Outono' then 2 when 'Inverno' then 3 else 4 end as ordem,
                ano, estacao from estacional""",
         ),
         "silver_culturas": _with(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from agrometry.functions import text
 from agrometry.operators.bronze import SOURCE_FILE, union_sources
+from agrometry.sources.scratch import scratch_folder
 
 CORRUPT = "_corrupt_record"
 # A weather header starts with a date column followed by an hour column.
@@ -42,31 +44,71 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", year: str | None
     return found if year is None else found.where(F.col("year") == str(year))
 
 
-def _unique(headers: Sequence[str]) -> list[str]:
+def _cells(header: str, sep: str) -> list[str]:
     """Header cells as column names: blanks and repeats get a position."""
     names = []
-    for i, cell in enumerate(headers):
-        name = cell.strip().strip('"') or f"Unnamed: {i}"
+    for i, cell in enumerate(next(csv.reader([header.lstrip("\ufeff")], delimiter=sep))):
+        name = cell.strip() or f"Unnamed: {i}"
         names.append(name if name not in names else f"{name}.{i}")
     return names
 
 
-def weather_layouts(spark: SparkSession, paths: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
-    """Distinct header lines of weather files, with the files that have them."""
-    line = F.decode(F.col("value").cast("binary"), encoding)
-    found = spark.read.option("recursiveFileLookup", True).text(paths).select(
-        line.alias("header"), F.col("_metadata.file_path").alias("file")
+def _lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+    """Text lines with their file; ``start`` is where the file split begins."""
+    return spark.read.option("recursiveFileLookup", True).text(paths).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("header"),
+        text.decoded_path(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    return found.where(F.col("header").rlike(WEATHER_HEADER)).distinct()
 
 
-def _scan_csv(spark: SparkSession, paths, names: Sequence[str], sep: str, encoding: str) -> DataFrame:
+def weather_layouts(spark: SparkSession, paths: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
+    """Header line of each weather file, wherever the preamble ends."""
+    found = _lines(spark, paths, encoding).where(F.col("header").rlike(WEATHER_HEADER))
+    return found.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+
+
+def reference_layouts(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """First line of each file."""
+    first = _lines(spark, paths, encoding).where((F.col("start") == 0) & (F.trim("header") != ""))
+    return first.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+
+
+def _scan_by_layout(spark: SparkSession, paths, layouts: DataFrame, scan, sep: str) -> DataFrame:
+    """One scan per distinct header line, united by name.
+
+    The layout of each file is written once, so that the files are read a
+    single time to learn it.  Header lines and, for several layouts, file
+    names come to the driver; rows never do.
+    """
+    place = scratch_folder(spark, "cabecalhos")
+    layouts.write.parquet(place)
+    layouts = spark.read.parquet(place)
+    headers = [r[0] for r in layouts.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if not headers:
+        raise ValueError(f"nenhum cabeçalho em {paths}")
+    if len(headers) > MAX_LAYOUTS:
+        raise ValueError(f"mais de {MAX_LAYOUTS} cabeçalhos distintos; leia por partes com columns=")
+    if len(headers) == 1:
+        return scan(paths, _cells(headers[0], sep))
+    parts = []
+    for header in sorted(headers):
+        files = [r[0] for r in layouts.where(F.col("header") == header).select("file").collect()]
+        parts.append(scan(files, _cells(header, sep)))
+    return union_sources(parts)
+
+
+def _scan_csv(
+    spark: SparkSession, paths, names: Sequence[str], sep: str, encoding: str, header: bool = False
+) -> DataFrame:
     """All-string scan that drops rows with too many cells and pads short ones."""
     fields = [StructField(n, StringType()) for n in [*names, CORRUPT]]
     rows = (
         spark.read.option("recursiveFileLookup", True)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         # Pruned columns would hide rows with a wrong number of cells.
@@ -91,44 +133,36 @@ def read_weather_csv(
     """Hourly weather files: ``;``-separated, with a preamble above the header.
 
     All columns are strings, plus the source file name.  With ``columns`` the
-    files are read once.  Without, a first pass finds the header lines; files
-    are then read once per distinct layout and united by name.
+    files are read once.  Without, a pass over the lines finds each file's
+    header first.
     """
-    if columns is None:
-        layouts = weather_layouts(spark, paths, encoding)
-        headers = [r[0] for r in layouts.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-        if not headers:
-            raise ValueError(f"nenhum cabeçalho de clima em {paths}")
-        if len(headers) > MAX_LAYOUTS:
-            raise ValueError(f"mais de {MAX_LAYOUTS} cabeçalhos distintos; passe columns=")
-        if len(headers) > 1:
-            parts = []
-            for header in sorted(headers):
-                files = [r[0] for r in layouts.where(F.col("header") == header).select("file").collect()]
-                parts.append(_weather_rows(spark, files, _unique(header.split(";")), encoding))
-            return union_sources(parts)
-        columns = _unique(headers[0].split(";"))
-    return _weather_rows(spark, paths, list(columns), encoding)
-
-
-def _weather_rows(spark, paths, names, encoding) -> DataFrame:
-    rows = _scan_csv(spark, paths, names, ";", encoding)
-    first = F.col(f"`{names[0]}`")
-    preamble = F.coalesce(first.rlike(r":\s*$"), F.lit(False))
-    header = F.coalesce(first == names[0], F.lit(False))
-    return rows.where(~preamble & ~header)
-
-
-def read_reference_csv(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+
+    def scan(some, names):
+        rows = _scan_csv(spark, some, names, ";", encoding)
+        first = F.col(f"`{names[0]}`")
+        preamble = F.coalesce(first.rlike(r":\s*$"), F.lit(False))
+        is_header = F.coalesce(first == names[0], F.lit(False))
+        return rows.where(~preamble & ~is_header)
+
+    if columns is not None:
+        return scan(paths, list(columns))
+    return _scan_by_layout(spark, paths, weather_layouts(spark, paths, encoding), scan, ";")
+
+
+def read_reference_csv(
+    spark: SparkSession,
+    paths: str | list[str],
+    columns: Sequence[str] | None = None,
+    encoding: str = "UTF-8",
+) -> DataFrame:
     """Crop and soil files: ``,``-separated with a header line, all strings."""
-    names = (
-        spark.read.option("recursiveFileLookup", True).option("header", True).option("encoding", encoding).csv(paths).columns
-    )
-    rows = _scan_csv(spark, paths, names, ",", encoding)
-    is_header = F.lit(True)
-    for n in names:
-        is_header = is_header & F.col(f"`{n}`").eqNullSafe(F.lit(n))
-    return rows.where(~is_header)
+
+    def scan(some, names):
+        return _scan_csv(spark, some, names, ",", encoding, header=True)
+
+    if columns is not None:
+        return scan(paths, list(columns))
+    return _scan_by_layout(spark, paths, reference_layouts(spark, paths, encoding), scan, ",")
 
 
 def read_raw(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
