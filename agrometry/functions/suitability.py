@@ -42,14 +42,25 @@ def temperature_score(temp: Column, ideal_min: Column, ideal_max: Column) -> Col
     return score.otherwise(TEMPERATURE_FAR)
 
 
-def _band(need: Column, position: int) -> Column:
-    table = F.create_map(*[F.lit(x) for k, band in RAIN_BANDS.items() for x in (k, band[position])])
-    return F.coalesce(F.try_element_at(table, need), F.lit(RAIN_BANDS[RAIN_BAND_OTHER][position]))
+def rain_band(need: Column) -> tuple[Column, Column, Column]:
+    """Least, most and critical rain for a water need; unknown needs are average."""
 
+    def pick(position: int) -> Column:
+        table = F.create_map(*[F.lit(x) for k, band in RAIN_BANDS.items() for x in (k, band[position])])
+        return F.coalesce(F.try_element_at(table, need), F.lit(RAIN_BANDS[RAIN_BAND_OTHER][position]))
 
-def rain_score(rain_mm: Column, need: Column, rainy_days: Column) -> Column:
+    return pick(0), pick(1), pick(2)
+
+
+def rain_score(
+    rain_mm: Column,
+    need: Column,
+    rainy_days: Column,
+    band: tuple[Column, Column, Column] | None = None,
+) -> Column:
+    """Score of a season's rain; ``band`` takes bounds that were picked before."""
     rain_mm = rain_mm.cast("double")
-    low, high, critical = (_band(need, i) for i in range(3))
+    low, high, critical = band or rain_band(need)
     return (
         F.when(rain_mm.isNull() | need.isNull() | F.isnan(rain_mm), UNKNOWN)
         .when(rain_mm < critical, 15)

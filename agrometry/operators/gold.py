@@ -21,11 +21,20 @@ def score_temperature(df: DataFrame) -> DataFrame:
     )
 
 
+RAIN_BAND = ("_chuva_min", "_chuva_max", "_chuva_critica")
+
+
+def with_rain_band(crops: DataFrame) -> DataFrame:
+    """The rain a crop needs, picked once per crop and not once per season."""
+    return crops.withColumns(dict(zip(RAIN_BAND, suitability.rain_band(F.col("necessidade_de_agua")))))
+
+
 def score_rain(df: DataFrame) -> DataFrame:
+    band = tuple(map(F.col, RAIN_BAND)) if set(RAIN_BAND) <= set(df.columns) else None
     return df.withColumn(
         "score_precipitacao",
         suitability.rain_score(
-            F.col("precipitacao_total_mm"), F.col("necessidade_de_agua"), F.col("dias_chuva")
+            F.col("precipitacao_total_mm"), F.col("necessidade_de_agua"), F.col("dias_chuva"), band
         ),
     )
 
@@ -48,7 +57,7 @@ def crop_risk_fact(seasonal: DataFrame, crops: DataFrame) -> DataFrame:
     """
     station = [c for c in ("estacao_codigo",) if c in seasonal.columns]
     scored = (
-        pair_all(seasonal, crops.select(*CROP_COLUMNS))
+        pair_all(seasonal, crops.select(*CROP_COLUMNS).transform(with_rain_band))
         .transform(score_temperature)
         .transform(score_rain)
         .transform(classify)
