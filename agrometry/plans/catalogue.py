@@ -15,7 +15,9 @@ from agrometry.plans.inputs import HUMIDITY, RAIN, TEMPERATURE, TEMPERATURE_MAX
 from agrometry.sources.scratch import scratch_folder
 from agrometry.quality import rulesets
 from agrometry.quality.rules import DataType, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns
-from agrometry.quality.runner import file_errors, file_status, profile, report, split_by_file
+from agrometry.quality.runner import (
+    file_errors, file_status, file_summary, profile, report, split_by_file, stored_summary,
+)
 from agrometry.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,7 +196,9 @@ def rejected_files(spark, folder):
 
 def _gated(side: int) -> Query:
     def run(spark, folder):
-        parts = split_by_file(inputs.raw_weather(spark, folder), rulesets.CLIMATE, bronze.SOURCE_FILE)
+        rows = inputs.raw_weather(spark, folder)
+        summary = stored_summary(rows, rulesets.CLIMATE, bronze.SOURCE_FILE)
+        parts = split_by_file(rows, summary, bronze.SOURCE_FILE)
         return _decoded_files(parts[side]).select(
             bronze.SOURCE_FILE, F.col("Data").alias("data"), F.col("Hora UTC").alias("hora_utc")
         )
@@ -224,7 +228,8 @@ def ingest_metrics(spark, folder):
     empty = inputs.table(spark, folder, "supplier").select(
         F.concat(F.lit("file:/raw/vazio/"), "s_name").alias(bronze.SOURCE_FILE), F.lit(10).cast("bigint").alias("bytes")
     )
-    status = file_status(full.union(empty), rows, rulesets.CLIMATE, bronze.SOURCE_FILE)
+    summary = file_summary(rows, rulesets.CLIMATE, bronze.SOURCE_FILE)
+    status = file_status(full.union(empty), summary, bronze.SOURCE_FILE)
     return metrics.ingest_metrics(status)
 
 

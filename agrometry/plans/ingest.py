@@ -9,18 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from agrometry.operators.bronze import SOURCE_FILE
 from agrometry.operators.metrics import ingest_metrics, require_ingested
 from agrometry.quality.rules import Rule
-from agrometry.quality.runner import file_status, split_by_file
+from agrometry.quality.runner import file_status, split_by_file, stored_summary
 from agrometry.sources.readers import list_files, with_year_folder
 from agrometry.sources.writers import write_raw
 
 
-def gate_files(rows: DataFrame, listing: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows of files without errors, and one status row per listed file."""
-    rules = list(rules)
-    clean, _bad = split_by_file(rows, rules, SOURCE_FILE)
-    return clean, file_status(listing, rows, rules, SOURCE_FILE)
-
-
 def ingest(
     spark: SparkSession,
     rows: DataFrame,
@@ -31,11 +24,13 @@ def ingest(
 ) -> DataFrame:
     """Write the clean files of ``root`` as raw Parquet; returns the run's metrics.
 
-    ``rows`` is a CSV scan of ``root``.  One bad row rejects its whole file.
+    ``rows`` is a CSV scan of ``root``.  One bad row rejects its whole file, so
+    rows are read twice: once to judge the files, once to write the clean ones.
     """
     dated = with_year_folder(rows, root)
     if year is not None:
         dated = dated.where(dated["year"] == str(year))
-    clean, status = gate_files(dated, list_files(spark, root, year=year), rules)
+    summary = stored_summary(dated.drop("year"), rules, SOURCE_FILE)
+    clean, _bad = split_by_file(dated, summary, SOURCE_FILE)
     write_raw(clean, raw_path)
-    return require_ingested(ingest_metrics(status))
+    return require_ingested(ingest_metrics(file_status(list_files(spark, root, year=year), summary, SOURCE_FILE)))

@@ -18,6 +18,18 @@ from agrometry.functions import text
 
 ERROR, WARNING = "ERROR", "WARNING"
 
+# Message texts; {n} is the number of affected rows.
+MESSAGES = {
+    "not_empty": "DataFrame está vazio",
+    "required_columns": "Colunas obrigatórias ausentes: {columns}",
+    "not_null": "Coluna '{column}' contém {n} valores nulos",
+    "numeric_range": "Coluna '{column}' tem {n} valores {side} de {limit}",
+    "no_duplicates": "Encontradas {n} linhas duplicadas (baseado em: {basis})",
+    "data_type": "Coluna '{column}' tem {n} {what}",
+    "keyword_range": "Coluna '{column}' tem {n} valores {complaint}",
+    "crash": "Erro ao executar regra: {crash}",
+}
+
 
 @dataclass(frozen=True)
 class Parse:
@@ -78,14 +90,12 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _sentence(template: str) -> Callable[[Column], Column]:
-    """Message whose ``{n}`` is the affected count."""
-    before, after = template.split("{n}")
-    return lambda n: F.concat(F.lit(before), n.cast("string"), F.lit(after))
-
-
-def _fixed(message: str) -> Callable[[Column], Column]:
-    return lambda _n: F.lit(message)
+def _says(kind: str, **values) -> Callable[[Column], Column]:
+    """Message of one kind, with the affected count filled in by Spark."""
+    before, *after = MESSAGES[kind].format(n="\0", **values).split("\0")
+    if not after:
+        return lambda _n: F.lit(before)
+    return lambda n: F.concat(F.lit(before), n.cast("string"), F.lit(after[0]))
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
@@ -102,7 +112,7 @@ class NotEmpty(Rule):
     def checks(self, df):
         return [
             Check(
-                self.name, None, _fixed("DataFrame está vazio"),
+                self.name, None, _says("not_empty"),
                 affected=F.lit(0).cast("bigint"), fires=F.count("*") == 0,
             )
         ]
@@ -117,7 +127,7 @@ class RequiredColumns(Rule):
         missing = [c for c in self.columns if c not in df.columns]
         if not missing:
             return []
-        message = _fixed(f"Colunas obrigatórias ausentes: {missing}")
+        message = _says("required_columns", columns=missing)
         return [Check(self.name, None, message, affected=F.count("*"), fires=F.count("*") >= 0)]
 
 
@@ -130,7 +140,7 @@ class NotNull(Rule):
     def checks(self, df):
         return [
             Check(
-                self.name, c, _sentence(f"Coluna '{c}' contém {{n}} valores nulos"),
+                self.name, c, _says("not_null", column=c),
                 affected=F.count_if(is_missing(df, c)), severity=self.severity,
             )
             for c in self.columns
@@ -161,7 +171,7 @@ class NumericRange(Rule):
         return [
             Check(
                 self.name, self.column,
-                _sentence(f"Coluna '{self.column}' tem {{n}} valores {side} de {limit}"),
+                _says("numeric_range", column=self.column, side=side, limit=limit),
                 affected=F.count_if(bad), parses=(parse,),
             )
             for bad, side, limit in sides
@@ -177,7 +187,7 @@ class NoDuplicates(Rule):
 
     def checks(self, df):
         basis = list(self.columns) if self.columns else "todas as colunas"
-        message = _sentence(f"Encontradas {{n}} linhas duplicadas (baseado em: {basis})")
+        message = _says("no_duplicates", basis=basis)
         return [Check(self.name, None, message, duplicate_keys=tuple(self.columns or df.columns))]
 
 
@@ -204,7 +214,7 @@ class DataType(Rule):
         bad = parse.value().isNull() & ~is_missing(df, self.column)
         return [
             Check(
-                self.name, self.column, _sentence(f"Coluna '{self.column}' tem {{n}} {what}"),
+                self.name, self.column, _says("data_type", column=self.column, what=what),
                 affected=F.count_if(bad), parses=(parse,), bad=bad,
             )
         ]
@@ -244,7 +254,7 @@ class KeywordRange(Rule):
                 bad = bad | (value < self.min_value)
             if self.max_value is not None:
                 bad = bad | (value > self.max_value)
-            message = _sentence(f"Coluna '{c}' tem {{n}} valores {self.complaint}")
+            message = _says("keyword_range", column=c, complaint=self.complaint)
             found.append(
                 Check(
                     self.name, c, message, F.count_if(bad), severity=self.severity, parses=(parse,)

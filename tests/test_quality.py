@@ -1,4 +1,4 @@
-"""Rules on small frames: the reference cases, severities, isolation, one scan."""
+"""Rules on small frames: pass and fail pairs, severities, isolation, one scan."""
 
 import math
 from dataclasses import dataclass
@@ -11,7 +11,7 @@ from agrometry.quality.rules import (
     WARNING, Check, DataType, KeywordRange, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns, Rule,
 )
 from agrometry.quality.runner import (
-    ValidationFailed, file_errors, file_status, profile, report, split_by_file, validate, validate_file,
+    ValidationFailed, file_errors, file_status, file_summary, profile, report, split_by_file, stored_summary, validate, validate_file,
 )
 
 
@@ -166,9 +166,26 @@ def test_file_gate(spark):
     )
     errors = {r.arquivo: (r.rule, r.erros) for r in file_errors(df, rulesets.CLIMATE, "arquivo").collect()}
     assert errors == {"bad": ("not_null", 2)}
-    clean, rejected = split_by_file(df, rulesets.CLIMATE, "arquivo")
+    summary = stored_summary(df, rulesets.CLIMATE, "arquivo")
+    clean, rejected = split_by_file(df, summary, "arquivo")
     assert {r.arquivo for r in clean.collect()} == {"good", "warm"} and rejected.count() == 2
     listing = spark.createDataFrame([("good", 7), ("bad", 8), ("warm", 9), ("empty", 0)], "arquivo string, bytes bigint")
-    status = {r.arquivo: (r.linhas, r.sucesso, r.erro) for r in file_status(listing, df, rulesets.CLIMATE, "arquivo").collect()}
+    status = {r.arquivo: (r.linhas, r.sucesso, r.erro) for r in file_status(listing, summary, "arquivo").collect()}
     assert status["good"] == (1, True, None) and status["empty"] == (0, False, "DataFrame está vazio")
     assert status["bad"] == (2, False, "Coluna 'Data' contém 1 valores nulos")
+
+
+def test_file_summary_with_duplicates(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", -1), ("b", 1), ("c", -1)], "arquivo string, AREA int")
+    rules = (NoDuplicates(("AREA",)), rulesets.AREA)
+    got = {r.arquivo: (r.linhas, r.erros, r.rule) for r in file_summary(df, rules, "arquivo").collect()}
+    assert got == {"a": (3, 2, "no_duplicates"), "b": (1, 0, None), "c": (1, 1, "area_valida")}
+    only = {r.arquivo: (r.linhas, r.erros) for r in file_summary(df, rules[:1], "arquivo").collect()}
+    assert only == {"a": (3, 1), "b": (1, 0), "c": (1, 0)}
+
+
+def test_file_summary_reads_once(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "arquivo string, AREA int")
+    df.write.parquet(str(tmp_path / "t"))
+    text = file_summary(spark.read.parquet(str(tmp_path / "t")), rulesets.AGRICULTURE, "arquivo")
+    assert text._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -1,4 +1,4 @@
-"""Files written in the reference formats, read back."""
+"""Station, crop and raw files, written and read back."""
 
 import pytest
 from pyspark.sql import functions as F
