@@ -3,8 +3,8 @@
 A side is broadcast only after its rows and bytes have been measured against a
 bound.  Past the bound the same result comes from a shuffled equi-join whose
 cells are spread by a row hash, so no key, however hot, lands in one task.
-Row hashes (not random numbers) pick the cells: a task that is run again after
-an executor is lost puts each row where it was before.
+Row content and input partition (not random numbers) pick the cells: a task that
+is run again after an executor is lost puts each row where it was before.
 """
 
 from __future__ import annotations
@@ -16,9 +16,15 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 20_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Fewest pieces a hot key or a product is cut into; a session with more
+# shuffle partitions gets one piece per partition.
 SPREAD = 64
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
@@ -31,7 +37,12 @@ def fits_broadcast(
 
 
 def _cell(df: DataFrame, cells: int):
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(cells))
+    """Cell of a row: its content and its input partition decide.
+
+    The partition number spreads equal rows, however many copies there are.
+    """
+    content = [F.col(f"`{c}`") for c in df.columns]
+    return F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(cells))
 
 
 def _every_cell(cells: int):
@@ -50,21 +61,21 @@ def pair_all(
     left row has one cell and each right row is copied to every left cell.
 
     A right side within the bound is broadcast.  Each left row then becomes as
-    many rows as the right side has, so left rows are first dealt out over all
-    shuffle partitions; one row moves for every |right| rows written.  A larger
-    right side is cut into blocks of at most about ``max_rows``; the
+    many rows as the right side has, so left rows are first dealt out evenly
+    over all shuffle partitions; one row moves for every |right| rows written.
+
+    A larger right side is cut into blocks of about ``max_rows`` at most; the
     grid of (left cell, right block) pairs is then a shuffle join in which no
     task holds either side whole.
     """
     if fits_broadcast(right, max_rows, max_bytes):
-        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = left.repartition(tasks, *[F.col(f"`{c}`") for c in left.columns])
+        dealt = left.repartition(_shuffle_partitions(left))
         grid_left = dealt.withColumn("_cell", _cell(left, 2))
         grid_right = F.broadcast(right.select("*", _every_cell(2).alias("_cell")))
         return grid_left.join(grid_right, "_cell").drop("_cell")
 
     blocks = max(2, ceil(right.count() / max_rows))
-    spread = max(2, ceil(SPREAD / blocks))
+    spread = max(2, ceil(max(SPREAD, _shuffle_partitions(left)) / blocks))
     grid_left = left.withColumn("_cell", _cell(left, spread)).select(
         "*", _every_cell(blocks).alias("_block")
     )
@@ -81,19 +92,20 @@ def join_checked(
     how: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """``left_anti``, ``left_semi``, ``left`` or ``inner`` join on a hot column.
 
-    Small right sides are broadcast.  Larger ones are copied ``spread`` times
-    and joined on the key and a salt, which cuts a key that holds a large
-    share of the left rows into ``spread`` pieces.  Each left row keeps exactly
-    one salt, so these join types give the same rows as the plain join.
+    Small right sides are broadcast.  Larger ones are copied once per salt and
+    joined on the key and the salt, which cuts a key that holds a large share
+    of the left rows into at least as many pieces as there are shuffle
+    partitions.  Each left row keeps exactly one salt, so these join types give
+    the same rows as the plain join.
     """
     if how not in ("left_anti", "left_semi", "left", "inner"):
         raise ValueError(f"join type {how!r} cannot be salted on the right side")
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
+    spread = max(SPREAD, _shuffle_partitions(left))
     salted_left = left.withColumn("_salt", _cell(left, spread))
     salted_right = right.select("*", _every_cell(spread).alias("_salt"))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
