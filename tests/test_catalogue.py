@@ -20,7 +20,10 @@ def _names():
 
 
 def test_every_query_has_sql():
-    assert sorted(contract.queries()) == _names()
+    from agrometry.plans import catalogue
+
+    assert sorted(catalogue.queries()) == _names()
+    assert set(_names()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", _names())
