@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrometry.llm import decontamination
+from agrometry.llm import decontamination, minhash_dedup, packing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
+def vocabulary() -> str:
+    """The vocabulary of the packing contract, where the machine keeps it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary()))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.digest(found)
