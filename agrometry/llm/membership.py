@@ -12,26 +12,33 @@ from pyspark.sql import types as T
 BITS = 1 << 26
 
 
+def bitmap(addresses: DataFrame):
+    """Broadcast of a bit for each address (one bigint column, from 0 to ``BITS`` - 1)."""
+    name = addresses.columns[0]
+    found = (
+        addresses.groupBy(F.shiftright(name, 5).alias("word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({name} % 32 as int))")).alias("bits"))
+        .toPandas()
+    )
+    words = np.zeros(BITS // 32, np.uint32)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+    return addresses.sparkSession.sparkContext.broadcast(words)
+
+
+def marked(words: np.ndarray, address: np.ndarray) -> np.ndarray:
+    return (words[address >> 5] >> (address & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
 def _address(key) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
 def may_hold(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """Rows with one more column ``may``, true for all whose key is in ``keys`` (one column) and few others."""
-    key_name = keys.columns[0]
-    found = (
-        keys.select(_address(key_name).alias("bit"))
-        .groupBy(F.shiftright("bit", 5).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("bits"))
-        .toPandas()
-    )
-    words = np.zeros(BITS // 32, np.uint32)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
-    sent = rows.sparkSession.sparkContext.broadcast(words)
+    sent = bitmap(keys.select(_address(keys.columns[0]).alias("bit")))
 
     @F.pandas_udf(T.BooleanType())
     def test(bit: pd.Series) -> pd.Series:
-        at = bit.to_numpy(np.int64)
-        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1)
+        return pd.Series(marked(sent.value, bit.to_numpy(np.int64)))
 
     return rows.withColumn("may", test(_address(key)))

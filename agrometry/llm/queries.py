@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrometry.llm import decontamination, minhash_dedup, packing
+from agrometry.llm import decontamination, minhash_dedup, packing, quality, substring_dedup
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,15 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary()))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.repeats(table(spark, folder, "documents")))
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.digest(quality.score(docs, quality.train(docs, table(spark, folder, "labels"))))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontamination.digest(found)

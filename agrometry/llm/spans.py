@@ -6,7 +6,16 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
+_BLANK = " \t\n\v\f\r"
+
+
+def _left(text: str, found) -> list[str]:
+    pieces, at = [], 0
+    for span in found:
+        pieces.append(text[at : span["begin"]])
+        at = max(at, span["end"])
+    pieces.append(text[at:])
+    return pieces
 
 
 @F.pandas_udf(T.StringType())
@@ -19,11 +28,17 @@ def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
     def one(text, found):
         if text is None or found is None or not len(found):
             return text
-        left, at = [], 0
-        for span in found:
-            left.append(text[at : span["begin"]].strip())
-            at = max(at, span["end"])
-        left.append(text[at:].strip())
-        return " ".join(piece for piece in left if piece)
+        return " ".join(filter(None, (piece.strip(_BLANK) for piece in _left(text, found))))
 
     return pd.Series([one(a, b) for a, b in zip(texts, spans)], dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def kept_words(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """The words (between ASCII white space) outside the spans, joined by one space."""
+
+    def one(text, found):
+        left = text if found is None or not len(found) else " ".join(_left(text, found))
+        return b" ".join(left.encode().split()).decode()
+
+    return pd.Series([one(a or "", b) for a, b in zip(texts, spans)], dtype=object)
