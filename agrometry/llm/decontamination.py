@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from agrometry.llm import arrays
 from agrometry.llm.fm_index import FMIndex
+from agrometry.llm.spans import carried
 
 WINDOW = 13
 #: Bound of one broadcast block of item texts.
@@ -30,17 +31,7 @@ BLOCK_BYTES = 16_000_000
 SHARD_BYTES = 8_000_000
 _PAIR_BITS = 22
 
-_ROW = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("text", pa.string()),
-        ("n_words", pa.int64()),
-        ("n_hit", pa.int64()),
-        ("item_ids", pa.list_(pa.string())),
-        ("marks", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-        ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-    ]
-)
+_ROW = ["doc_id", "text", "n_words", "n_hit", "item_ids", "marks", "spans", "carried"]
 _DDL = (
     "doc_id bigint, text string, n_words bigint, n_hit bigint, item_ids array<string>, "
     "marks array<struct<begin:bigint,end:bigint>>, spans array<struct<begin:bigint,end:bigint>>"
@@ -154,8 +145,8 @@ def occurrences(found: arrays.Words, phrases: Phrases) -> tuple[np.ndarray, np.n
     return np.concatenate(starts or [none]), np.concatenate(lengths or [none]), links[:, 0], links[:, 1]
 
 
-def _pass(block, carried: bool):
-    """A pass of one block over batches of rows; ``carried`` rows hold the marks of earlier passes."""
+def _pass(block, later: bool):
+    """A pass of one block over batches of rows; ``later`` rows hold the marks of earlier passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = None
@@ -163,12 +154,12 @@ def _pass(block, carried: bool):
             if phrases is None:
                 phrases = Phrases(block.value)
             for batch in arrays.slices(whole, "text", SHARD_BYTES):
-                yield _search(batch, phrases, carried)
+                yield _search(batch, phrases, later)
 
     return run
 
 
-def _search(batch: pa.RecordBatch, phrases: Phrases, carried: bool) -> pa.RecordBatch:
+def _search(batch: pa.RecordBatch, phrases: Phrases, later: bool) -> pa.RecordBatch:
     column = batch.column(batch.schema.get_field_index("text"))
     parts, data, offsets = [], *arrays.text_bytes(column)
     at = 0
@@ -192,7 +183,7 @@ def _search(batch: pa.RecordBatch, phrases: Phrases, carried: bool) -> pa.Record
     names: dict[int, set[str]] = {}
     for text, item in zip(texts.tolist(), items.tolist()):
         names.setdefault(text, set()).add(phrases.names[item])
-    if carried:
+    if later:
         for text, (old_names, old_marks) in enumerate(zip(batch.column("item_ids").to_pylist(), batch.column("marks").to_pylist())):
             if old_names:
                 names.setdefault(text, set()).update(old_names)
@@ -221,8 +212,9 @@ def _search(batch: pa.RecordBatch, phrases: Phrases, carried: bool) -> pa.Record
             pa.array([sorted(names.get(i, ())) for i in range(len(column))], pa.list_(pa.string())),
             pair((begin - first_word).astype(np.int64), (end - first_word).astype(np.int64)),
             pair(span_begin.astype(np.int64), span_end.astype(np.int64)),
+            batch.column("carried"),
         ],
-        schema=_ROW,
+        _ROW,
     )
 
 
@@ -237,15 +229,17 @@ def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> list[list[tuple[str, s
         yield [(r[0], r[1]) for r in part.distinct().collect()]
 
 
-def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows (doc_id, text, n_words, n_hit, item_ids, marks, spans) of all documents.
+def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None) -> DataFrame:
+    """Rows (doc_id, text, n_words, n_hit, item_ids, marks, spans, carried) of all documents.
 
-    ``marks`` are covered words by number, ``spans`` the same as characters of the text; both without overlap.
+    ``marks`` are covered words by number, ``spans`` the same as characters of the text; both without overlap;
+    ``carried`` is a struct of the columns in ``carry``.
     """
     context = docs.sparkSession.sparkContext
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(carry))
+    schema = f"{_DDL}, carried {rows.schema['carried'].dataType.simpleString()}"
     for k, block in enumerate(blocks(items, block_bytes)):
-        rows = rows.mapInArrow(_pass(context.broadcast(block), k > 0), _DDL)
+        rows = rows.mapInArrow(_pass(context.broadcast(block), k > 0), schema)
     return rows
 
 

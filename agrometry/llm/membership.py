@@ -33,12 +33,16 @@ def _address(key) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
-def may_hold(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows with one more column ``may``, true for all whose key is in ``keys`` (one column) and few others."""
+def split(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be in ``keys`` (one column), all that are among them, and the other rows."""
     sent = bitmap(keys.select(_address(keys.columns[0]).alias("bit")))
 
     @F.pandas_udf(T.BooleanType())
     def test(bit: pd.Series) -> pd.Series:
         return pd.Series(marked(sent.value, bit.to_numpy(np.int64)))
 
-    return rows.withColumn("may", test(_address(key)))
+    return rows.where(test(_address(key))), rows.where(~test(_address(key)))
+
+
+def may_hold(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    return split(rows, key, keys)[0]

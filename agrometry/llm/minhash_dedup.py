@@ -4,14 +4,21 @@
    fingerprint of the whole set.  Documents with equal sets form a class; only its smallest doc_id goes on.
 2. Inverted lists of the retained values generate overlaps.  Two sketches of similar documents share many values, so
    a document enters only the lists of its rarest values: with ``|S|`` values and ``m`` that must be shared, the
-   ``|S| - m + 1`` rarest ones are enough, and common boilerplate falls out.
+   ``|S| - m + 1`` rarest ones are enough, and common boilerplate falls out.  A first pass with short sketches leaves
+   the documents that overlap with any other; only these get long sketches, whose closer bound on ``m`` also drops
+   copies with too many changes of their own.
 3. Rounds over the lists: the members of each list meet the list's head; pairs inside one component need no more
    test, so a group of near copies shrinks to one component without all its pairs.  When little is left to compare,
-   all remaining pairs of list members from different components are made: no link between components is lost.
-4. The bottom-k sketch of a pair's union estimates the similarity; pairs under half the threshold fall out.  At
-   ``k`` = 48 a pair at the threshold is lost with a probability under 1e-7.
+   or a round has not halved it, all remaining pairs of list members from different components are made: no link
+   between components is lost.
+   A pair is only made if the parities of both sets, by 512 groups of values, differ in no more groups than the sets
+   of similar documents may differ in values.
+4. The bottom-k sketch of a pair's union estimates the similarity; pairs far under the threshold fall out.
 5. The exact Jaccard similarity of the full shingle sets decides.
 
+A bound on shared values lies ``DEVIATIONS`` standard deviations of the estimate under the threshold: a pair at the
+threshold is lost with a probability of about 1e-9, a more similar one with less.  Sets shorter than a sketch are whole.
+
 Shingles are 64-bit fingerprints of runs of lower-cased (A-Z) words; a text of fewer words is one shingle; null or
 empty texts have none and stay alone.  Repeated rows count as documents of their own with the same id; other columns
 are ignored; rows with a null doc_id stay alone.
@@ -32,9 +39,14 @@ from agrometry.llm.membership import may_hold
 from agrometry.llm.staging import staged
 
 SKETCH = 48
+LONG_SKETCH = 400
+DEVIATIONS = 7.5
 #: Rounds with list heads go on while more pairs than this for each list entry are left.
 PAIRS_PER_ENTRY = 2
 _SET = ["n_shingles", "sum_a", "sum_b"]
+#: 64-bit words of a set's parities.
+PARITIES = 8
+_PARITY = [f"parity_{k}" for k in range(PARITIES)]
 
 
 def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -46,6 +58,12 @@ def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
+def _parities(values: np.ndarray) -> np.ndarray:
+    """Whether each of 512 groups of values holds an odd number of them, as bits."""
+    odd = np.bincount((values.view(np.uint64) >> np.uint64(55)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketcher(size: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -59,16 +77,18 @@ def _sketcher(size: int, k: int):
                         pa.array(np.array([s.sum(dtype=np.uint64) for s in unsigned], np.uint64).view(np.int64)),
                         pa.array(np.array([arrays.mixed(s).sum(dtype=np.uint64) for s in unsigned], np.uint64).view(np.int64)),
                         pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
+                        *(pa.array(c) for c in np.array([_parities(s) for s in sets]).reshape(-1, PARITIES).T.copy()),
                     ],
-                    ["doc_id", "n_shingles", "sum_a", "sum_b", "sketch"],
+                    ["doc_id", "n_shingles", "sum_a", "sum_b", "sketch", *_PARITY],
                 )
 
     return run
 
 
 def sketches(docs: DataFrame, size: int, k: int = SKETCH) -> DataFrame:
-    """Size, fingerprint and bottom-k sketch of each document's shingle set."""
+    """Size, fingerprint, bottom-k sketch and parities of each document's shingle set."""
     schema = "doc_id bigint, n_shingles bigint, sum_a bigint, sum_b bigint, sketch array<bigint>"
+    schema = ", ".join([schema, *(f"{c} bigint" for c in _PARITY)])
     return docs.select("doc_id", "text").mapInArrow(_sketcher(size, k), schema)
 
 
@@ -85,8 +105,14 @@ def _verifier(size: int, percent: int):
     return run
 
 
-def inverted_lists(classes: DataFrame, share: float) -> DataFrame:
-    """Rows (value, doc): each class in the lists of its rarest values."""
+def bound(percent: int, k: int) -> float:
+    """Share of its values that a sketch of ``k`` has in common with that of any similar document."""
+    share = percent / 100
+    return max(share / 2, share - DEVIATIONS * (share * (1 - share) / k) ** 0.5)
+
+
+def inverted_lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
+    """Rows (value, doc): each class in the lists of its rarest values; lists have two members or more."""
     entries = classes.select("doc", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     common = entries.groupBy("value").agg(F.count("*").alias("listed")).where("listed > 1")
     shared = entries.join(common, "value")
@@ -97,11 +123,15 @@ def inverted_lists(classes: DataFrame, share: float) -> DataFrame:
             "place": F.row_number().over(by_doc.orderBy("listed", "value")),
         }
     )
-    enough = F.col("held") - F.ceil(F.lit(share) * F.col("held")) + 1
-    return ranked.where(F.col("place") <= enough - F.col("alone")).select("value", "doc")
+    # a set that is whole in its sketch, and in the sketch of any document it may be similar to, shares `percent` of itself
+    whole = F.ceil(F.col("held") * percent / 100)
+    must = F.when(F.col("held") * 100 < k * percent, whole).otherwise(F.ceil(F.col("held") * bound(percent, k)))
+    kept = staged(ranked.where(F.col("place") <= F.col("held") - must + 1 - F.col("alone")).select("value", "doc"), "lists")
+    several = kept.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    return staged(kept.join(several, "value", "left_semi").distinct(), "lists")
 
 
-def union_estimate(a: str, b: str, k: int = SKETCH):
+def union_estimate(a: str, b: str, k: int):
     """Share of a pair's union sketch that both sketches hold."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
@@ -110,15 +140,15 @@ def union_estimate(a: str, b: str, k: int = SKETCH):
 class _Pairs:
     """Tests pairs of classes: first the sketches, then the texts."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, size: int, percent: int, k: int):
-        self.classes, self.texts = classes.select("doc", "sketch"), texts
+    def __init__(self, sketched: DataFrame, texts: DataFrame, size: int, percent: int, k: int):
+        self.sketched, self.texts = sketched.select("doc", "sketch"), texts
         self.size, self.percent, self.k = size, percent, k
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        side = lambda x: self.classes.select(F.col("doc").alias(x), F.col("sketch").alias(f"sketch_{x}"))
+        side = lambda x: self.sketched.select(F.col("doc").alias(x), F.col("sketch").alias(f"sketch_{x}"))
         text = lambda x: self.texts.select(F.col("doc").alias(x), F.col("text").alias(f"text_{x}"))
         likely = pairs.join(side("a"), "a").join(side("b"), "b")
-        likely = likely.where(union_estimate("sketch_a", "sketch_b", self.k) >= self.percent / 200).select("a", "b")
+        likely = likely.where(union_estimate("sketch_a", "sketch_b", self.k) >= bound(self.percent, self.k)).select("a", "b")
         full = likely.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
         return staged(full.mapInArrow(_verifier(self.size, self.percent), "a bigint, b bigint").distinct(), "similar")
 
@@ -131,25 +161,30 @@ def _merge(state: DataFrame, links: DataFrame) -> DataFrame:
     return staged(joined.select("doc", F.coalesce("root", "component").alias("component")), "state")
 
 
-def _by_head(members: DataFrame, turn: int) -> DataFrame:
+def _comparable(percent: int):
+    """Whether sets a and b may be similar: sizes and parities."""
+    apart = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in _PARITY[1:]), F.bit_count(F.col(f"a.{_PARITY[0]}").bitwiseXOR(F.col(f"b.{_PARITY[0]}"))))
+    m, n = F.col("a.n_shingles"), F.col("b.n_shingles")
+    return (100 * F.least(m, n) >= percent * F.greatest(m, n)) & (apart * (100 + percent) <= (100 - percent) * (m + n))
+
+
+def _by_head(members: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a, b): in each list of several components, its head and the members outside the head's component."""
     order = F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc")
-    heads = (
-        members.groupBy("value")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(order.alias("o"), "doc", "component")).alias("head"))
-        .where("low < high")
-        .select("value", F.col("head.doc").alias("a"), F.col("head.component").alias("ca"))
-    )
-    return members.join(heads, "value").where("ca <> component").select("a", F.col("doc").alias("b")).distinct()
+    first = F.min(F.struct(order.alias("order"), "doc", "component", "n_shingles", *_PARITY)).alias("first")
+    spread = (F.min("component") < F.max("component")).alias("spread")
+    heads = members.groupBy("value").agg(first, spread).where("spread").select("value", "first.*").drop("order")
+    meet = (F.col("a.value") == F.col("b.value")) & (F.col("a.component") != F.col("b.component")) & _comparable(percent)
+    return heads.alias("a").join(members.alias("b"), meet).select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b")).distinct()
 
 
-def _by_component(members: DataFrame) -> DataFrame:
+def _by_component(members: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of list members in different components."""
-    groups = members.select("value", "component").distinct()
-    other = groups.select("value", F.col("component").alias("cb"))
-    met = groups.withColumnRenamed("component", "ca").join(other, "value").where("ca < cb")
-    side = lambda x: members.select("value", F.col("doc").alias(x), F.col("component").alias(f"c{x}"))
-    return met.join(side("a"), ["value", "ca"]).join(side("b"), ["value", "cb"]).select("a", "b").distinct()
+    spread = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_lists = staged(members.join(spread, "value", "left_semi"), "members")
+    meet = (F.col("a.value") == F.col("b.value")) & (F.col("a.doc") < F.col("b.doc"))
+    meet = meet & (F.col("a.component") != F.col("b.component")) & _comparable(percent)
+    return open_lists.alias("a").join(open_lists.alias("b"), meet).select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b")).distinct()
 
 
 def _left(members: DataFrame) -> tuple[int, int]:
@@ -160,32 +195,32 @@ def _left(members: DataFrame) -> tuple[int, int]:
     return pairs or 0, entries or 0
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int = SKETCH, long: int = LONG_SKETCH) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept): documents linked at ``percent`` similarity share a component."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = staged(sketches(docs, size, k), "sketches")
+    found = staged(sketches(docs, size, k).drop(*_PARITY), "sketches")
     usable = found.where("n_shingles > 0 and doc_id is not null")
     first = usable.groupBy(*_SET).agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
     classes = staged(first.select(*_SET, F.col("first.doc_id").alias("doc"), F.col("first.sketch").alias("sketch")), "classes")
-    lists = staged(inverted_lists(classes, percent / 200), "lists")
+    near = staged(inverted_lists(classes, percent, k).select("doc").distinct(), "near")
+    listed = may_hold(docs, "doc_id", near).select(F.col("doc_id").alias("doc"), "text")
+    texts = staged(listed.join(near, "doc", "left_semi"), "texts")
+    longer = staged(sketches(texts.withColumnRenamed("doc", "doc_id"), size, long).withColumnRenamed("doc_id", "doc"), "longer")
+    lists = inverted_lists(longer, percent, long)
     state = staged(lists.select("doc", F.col("doc").alias("component")).distinct(), "state")
-    listed = may_hold(docs, "doc_id", state.select("doc")).where("may").select(F.col("doc_id").alias("doc"), "text")
-    pairs = _Pairs(classes, staged(listed.join(state.select("doc"), "doc", "left_semi"), "texts"), size, percent, k)
-    turn = 0
+    facts = longer.select("doc", "n_shingles", *_PARITY)
+    pairs = _Pairs(longer, texts, size, percent, long)
+    turn, before = 0, float("inf")
     while True:
-        members = lists.join(state, "doc")
+        members = lists.join(state, "doc").join(facts, "doc")
         left, entries = _left(members)
         if not left:
             break
-        if left <= PAIRS_PER_ENTRY * entries:
-            state = _merge(state, pairs.links(_by_component(members)))
-            break
-        links = pairs.links(_by_head(members, turn))
-        if links.isEmpty():
-            state = _merge(state, pairs.links(_by_component(members)))
+        if left <= PAIRS_PER_ENTRY * entries or left > before / 2:
+            state = _merge(state, pairs.links(_by_component(members, percent)))
             break
-        state = _merge(state, links)
-        turn += 1
+        state = _merge(state, pairs.links(_by_head(members, percent, turn)))
+        turn, before = turn + 1, left
     of_class = classes.join(state, "doc", "left").select(*_SET, F.coalesce("component", "doc").alias("component"))
     rows = found.drop("sketch").join(of_class, _SET, "left")
     linked = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))

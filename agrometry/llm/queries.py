@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrometry.llm import decontamination, minhash_dedup, packing, quality, substring_dedup
+from agrometry.llm import decontamination, language_id, minhash_dedup, packing, quality, substring_dedup
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.digest(language_id.identify(docs, language_id.learn(docs)))
+
+
 def vocabulary() -> str:
     """The vocabulary of the packing contract, where the machine keeps it."""
     import public_tokenizers

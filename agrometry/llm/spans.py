@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BLANK = " \t\n\v\f\r"
 
 
+def carried(columns: list[str] | None) -> Column:
+    """Columns that an operator takes along as one, so that their names never clash with its own."""
+    kept = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns or [])]
+    return F.struct(*(kept or [F.lit(None).cast("int").alias("c0")])).alias("carried")
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``doc_id`` and ``text`` with the carried columns under their old names."""
+    kept = [F.col(f"carried.c{k}").alias(c) for k, c in enumerate(columns)]
+    return rows.select("doc_id", "text", *kept)
+
+
 def _left(text: str, found) -> list[str]:
     pieces, at = [], 0
     for span in found:

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from agrometry.llm import arrays
 from agrometry.llm.fm_index import FMIndex
-from agrometry.llm.membership import BITS, bitmap, marked, may_hold
-from agrometry.llm.spans import kept_words
+from agrometry.llm.membership import BITS, bitmap, marked, may_hold, split
+from agrometry.llm.spans import carried, kept_words
 from agrometry.llm.staging import staged
 
 WINDOW = 20
@@ -190,7 +190,7 @@ def _shard(window: int):
     return run
 
 
-def _finisher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts and spans of texts with the word spans to remove."""
     for whole in batches:
         for batch in arrays.slices(whole, "text"):
@@ -224,8 +224,9 @@ def _finisher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(found.counts().astype(np.int64)),
                     pa.array((total[found.first[1:]] - total[found.first[:-1]]).astype(np.int64)),
                     pa.ListArray.from_arrays(places, spans),
+                    batch.column(3),
                 ],
-                ["doc_id", "text", "n_words", "n_removed", "spans"],
+                ["doc_id", "text", "n_words", "n_removed", "spans", "carried"],
             )
 
 
@@ -244,7 +245,7 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     unclear = staged(distinct.join(several, "anchor").select("anchor", "doc", "start", "windows", (F.col("kinds") > HOT_SEGMENTS).alias("hot")), "unclear")
     wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "windows", "hot")).alias("listed"))
-    holders = may_hold(docs, "doc", unclear.select("doc").distinct()).where("may").drop("may")
+    holders = may_hold(docs, "doc", unclear.select("doc").distinct())
     words = holders.join(wanted, "doc").select("doc", "text", "listed").mapInArrow(_reader(window), "key bigint, doc bigint, start bigint, words binary")
     total = unclear.agg(F.sum(F.when(F.col("hot"), F.col("windows") * window).otherwise(F.col("windows") + window))).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
@@ -258,16 +259,20 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     return staged(both.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("listed")), "removals")
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows (doc_id, text, n_words, n_removed, spans) of all documents; spans are places of characters to cut out."""
+def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: list[str] | None = None) -> DataFrame:
+    """Rows (doc_id, text, n_words, n_removed, spans, carried) of all documents.
+
+    Spans are places of characters to cut out; ``carried`` is a struct of the columns in ``carry``.
+    """
     found = removals(docs, window, gram)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = may_hold(rows.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID))), "doc", found.select("doc"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(carry))
+    held, free = split(rows.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID))), "doc", found.select("doc"))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    held = rows.where("may").join(found, "doc", "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"))
-    free = rows.where("not may").select("doc_id", "text", none.alias("listed"))
+    held = held.join(found, "doc", "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"), "carried")
+    free = free.select("doc_id", "text", none.alias("listed"), "carried")
     schema = "doc_id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<begin:bigint,end:bigint>>"
-    return held.mapInArrow(_finisher, schema).union(free.mapInArrow(_finisher, schema))
+    schema = f"{schema}, carried {rows.schema['carried'].dataType.simpleString()}"
+    return held.mapInArrow(_finish, schema).union(free.mapInArrow(_finish, schema))
 
 
 def digest(found: DataFrame) -> DataFrame:
