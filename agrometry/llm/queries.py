@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from agrometry.llm import decontamination, language_id, minhash_dedup, packing, quality, substring_dedup
+from agrometry.llm import chat_format, decontamination, language_id, minhash_dedup, packing, quality, substring_dedup, topk_search
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,10 +34,21 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary()))
 
 
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.repeats(table(spark, folder, "documents")))
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    talks = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chat_format.digest(chat_format.examples(talks))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.digest(quality.score(docs, quality.train(docs, table(spark, folder, "labels"))))
@@ -52,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat": chat_format.SQL}
