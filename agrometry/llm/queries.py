@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrometry.llm import chat_format, decontamination, language_id, minhash_dedup, packing, quality, substring_dedup, topk_search
+from agrometry.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, quality, substring_dedup, topk_search
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,12 @@ def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    files = table(spark, folder, "documents").select(license_scan.document_path().alias("path"), "text")
+    number = F.regexp_extract("path", "([^/]*)\\.txt$", 1).cast("bigint")
+    return license_scan.scan(files).withColumn("doc_id", number)
+
+
 def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.repeats(table(spark, folder, "documents")))
 
@@ -64,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": chat_format.SQL}
+    return {"op6_licenses": license_scan.sql(), "op8_chat": chat_format.SQL}
