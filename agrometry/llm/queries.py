@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrometry.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, quality, substring_dedup, topk_search
+from agrometry.llm import chat_format, decontamination, html_extract, language_id, license_scan, minhash_dedup, packing, quality, substring_dedup, topk_search
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary()))
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.digest(html_extract.extract(table(spark, folder, "pages"), html_extract.train()))
+
+
 def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
