@@ -6,7 +6,7 @@ wavelet ranks, their places come from sampled positions, and covered words merge
 never shuffled: a task needs its own texts and the phrases.
 
 Phrases travel to the executors in blocks of at most ``BLOCK_BYTES`` of item text, one pass over the rows for each
-block (a single larger item is a block of its own); all passes run in one stage.
+block (a single larger item is a block of its own), and the rows are written in between.
 
 Null or empty texts have no words and no hits; items without words have no phrase; repeated items count once; repeated
 documents each give a row; other columns are ignored.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from agrometry.llm import arrays
 from agrometry.llm.fm_index import FMIndex
 from agrometry.llm.spans import carried
+from agrometry.llm.staging import staged
 
 WINDOW = 13
 #: Bound of one broadcast block of item texts.
@@ -239,6 +240,7 @@ def find(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, carr
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(carry))
     schema = f"{_DDL}, carried {rows.schema['carried'].dataType.simpleString()}"
     for k, block in enumerate(blocks(items, block_bytes)):
+        rows = staged(rows, "searched") if k else rows
         rows = rows.mapInArrow(_pass(context.broadcast(block), k > 0), schema)
     return rows
 
