@@ -1,46 +1,63 @@
 """Exact means and totals, rounded half-up.
 
 Floating-point sums depend on the order in which partitions arrive, so the
-same table can round to two different values on two runs.  Measurements carry
-at most four decimals (a 32-bit float holds no more), so they are summed as
-whole ten-thousandths in a 64-bit integer instead.  That is exact, independent
-of partitioning, and as cheap as a double sum inside whole-stage codegen.
-Values that are not finite count as missing.
+same table can round to two different values on two runs.  Sums therefore add
+whole parts and billionths in 64-bit integers, which is exact, independent of
+partitioning, and as cheap as double sums inside whole-stage codegen.  A group
+with a value of a billion or more, where the whole parts could overflow, is
+summed as doubles instead; no value is cut off or left out.  Values that are
+not finite count as missing.
 """
 
 from __future__ import annotations
 
+import sys
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS = 10_000
+PART = 1_000_000_000
+BILLIONTH = Decimal("0.000000001")
+
+
+def finite(value: Column) -> Column:
+    """The value as a double; NaN and Inf give NULL."""
+    number = value.cast("double")
+    return F.when(F.abs(number) <= F.lit(sys.float_info.max), number)
 
 
-def units(value: Column) -> Column:
-    """Measurement as a whole number of ten-thousandths; NaN and Inf give NULL."""
-    return F.rint(value.cast("double") * F.lit(float(UNITS))).try_cast("bigint")
+def _sum(value: Column) -> tuple[Column, Column]:
+    """The exact sum as a decimal, NULL for a group with huge values, and the sum as a double."""
+    number = finite(value)
+    small = F.when(F.abs(number) < PART, number)
+    whole = F.floor(small)
+    rest = F.rint((small - whole) * float(PART)).cast("bigint")
+    exact = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * F.lit(BILLIONTH)
+    return F.when(F.max(F.abs(number)) < PART, exact), F.sum(number)
 
 
 def rounded(value: Column, places: int = 1) -> Column:
     """Half-up rounding on exact decimals, never on binary floats."""
-    return F.round(value.cast("decimal(28,6)"), places)
+    return F.round(value.try_cast("decimal(28,6)"), places)
 
 
 def mean(value: Column, places: int = 1) -> Column:
-    u = units(value)
-    return rounded(F.sum(u) / F.lit(float(UNITS)) / F.count(u), places)
+    exact, plain = _sum(value)
+    return rounded(F.coalesce(exact.cast("double"), plain) / F.count(finite(value)), places)
 
 
 def total(value: Column, places: int = 1) -> Column:
-    return rounded(F.sum(units(value)) / F.lit(float(UNITS)), places)
+    exact, plain = _sum(value)
+    return F.coalesce(F.round(exact, places).cast("decimal(28,6)"), rounded(plain, places)).cast(f"decimal(28,{places})")
 
 
 def lowest(value: Column, places: int = 1) -> Column:
-    return rounded(F.min(units(value)) / F.lit(float(UNITS)), places)
+    return rounded(F.min(finite(value)), places)
 
 
 def highest(value: Column, places: int = 1) -> Column:
-    return rounded(F.max(units(value)) / F.lit(float(UNITS)), places)
+    return rounded(F.max(finite(value)), places)
 
 
 def as_double(value: Column) -> Column:

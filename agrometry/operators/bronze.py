@@ -19,34 +19,26 @@ CLIMATE_COLUMNS = ("data", "hora_utc") + MEASURES
 def rename_weather_columns(df: DataFrame) -> DataFrame:
     """Long weather headers to canonical names; unknown headers stay.
 
-    The first header that fits a canonical name takes it.  Later ones keep
-    their own name, so no column name becomes ambiguous.
+    Files of other years spell a header in other ways, and each row has a cell under the spelling of its own file.
+    So a canonical column takes the first filled cell of all headers that fit it, the leftmost first.
     """
-    taken = set()
-    names = []
+    fits: dict[str, list[str]] = {}
     for header in df.columns:
-        name = text.weather_column(header)
-        if name is None or name in taken:
-            name = header
-        taken.add(name)
-        names.append(name)
-    return df.toDF(*names)
+        fits.setdefault(text.weather_column(header) or header, []).append(header)
+    return df.select(
+        *[F.coalesce(*[F.col(f"`{h}`") for h in headers]).alias(name) for name, headers in fits.items()]
+    )
 
 
 def unused_weather_headers(columns: list[str]) -> list[str]:
-    """Headers that fit a canonical name which an earlier header already took."""
-    seen, extra = set(), []
-    for header in columns:
-        name = text.weather_column(header)
-        if name in seen:
-            extra.append(header)
-        elif name is not None:
-            seen.add(name)
-    return extra
+    """Headers that bronze does not take up."""
+    return [h for h in columns if h != SOURCE_FILE and text.weather_column(h) is None]
 
 
 def select_climate_columns(df: DataFrame, *keep: str) -> DataFrame:
-    """The fixed bronze projection; a column the file lacks is a typed NULL."""
+    """The fixed bronze projection; a measure the files lack is a typed NULL, a missing date is an error."""
+    if "data" not in df.columns:
+        raise ValueError(f"nenhuma coluna de data em {df.columns}")
     absent = F.lit(None).cast("string")
     return df.select(
         *[F.col(c) if c in df.columns else absent.alias(c) for c in CLIMATE_COLUMNS], *keep

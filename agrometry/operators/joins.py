@@ -1,8 +1,8 @@
 """Joins whose small side is checked, never assumed.
 
 A side is broadcast only after its rows and bytes have been measured against a
-bound.  Past the bound the same result comes from a shuffled equi-join whose
-cells are spread by a row hash, so no key, however hot, lands in one task.
+bound.  Past the bound the same result comes from a shuffled equi-join: products
+on cells that a row hash spreads, joins on a key with adaptive skew splitting.
 Row content and input partition (not random numbers) pick the cells: a task that
 is run again after an executor is lost puts each row where it was before.
 """
@@ -28,11 +28,9 @@ def _shuffle_partitions(df: DataFrame) -> int:
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure at most ``max_rows + 1`` rows of ``df``: do they stay in bounds?"""
+    """Measure ``df`` by one aggregate that combines in the tasks: do its rows and bytes stay in bounds?"""
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, used = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    )
+    rows, used = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return rows <= max_rows and used <= max_bytes
 
 
@@ -82,7 +80,8 @@ def pair_all(
     grid_right = right.withColumn("_block", _cell(right, blocks)).select(
         "*", _every_cell(spread).alias("_cell")
     )
-    return grid_left.join(grid_right, ["_cell", "_block"]).drop("_cell", "_block")
+    # Spark's size estimate does not see the copies; without the hint it might broadcast them.
+    return grid_left.join(grid_right.hint("merge"), ["_cell", "_block"]).drop("_cell", "_block")
 
 
 def join_checked(
@@ -95,17 +94,12 @@ def join_checked(
 ) -> DataFrame:
     """``left_anti``, ``left_semi``, ``left`` or ``inner`` join on a hot column.
 
-    Small right sides are broadcast.  Larger ones are copied once per salt and
-    joined on the key and the salt, which cuts a key that holds a large share
-    of the left rows into at least as many pieces as there are shuffle
-    partitions.  Each left row keeps exactly one salt, so these join types give
-    the same rows as the plain join.
+    Small right sides are broadcast.  Larger ones are joined by a sort-merge
+    join of two plain shuffles, of which the adaptive engine cuts a partition
+    that a hot key fills; no right row is copied but those of such a key.
     """
     if how not in ("left_anti", "left_semi", "left", "inner"):
-        raise ValueError(f"join type {how!r} cannot be salted on the right side")
+        raise ValueError(f"join type {how!r} cannot be cut on the left side")
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
-    spread = max(SPREAD, _shuffle_partitions(left))
-    salted_left = left.withColumn("_salt", _cell(left, spread))
-    salted_right = right.select("*", _every_cell(spread).alias("_salt"))
-    return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), on, how)

@@ -268,36 +268,84 @@ def gold_partition_roundtrip(spark, folder):
     )
 
 
+# Other spellings of the rain header; they mean the same column.
+RAIN_SPELLINGS = (RAIN, "PRECIPITACAO TOTAL HORARIO", "Precipitação Total (mm)")
+
+
+def _station_files(spark, folder, spellings) -> str:
+    """Station files in three parts: a preamble line, a header, rows; each part's header spells rain its own way."""
+    path = scratch_folder(spark, "csv")
+    rows = inputs.raw_weather(spark, folder)
+    part = F.pmod(F.col("Hora UTC").substr(1, 2).cast("int"), F.lit(3))
+    names = [c for c in rows.columns if c != bronze.SOURCE_FILE]
+    cells = F.concat_ws(";", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names])
+    lines = rows.select(part.alias("part"), F.lit(2).alias("kind"), cells.alias("value"))
+    head = ";".join(names)
+    tops = []
+    for k in range(3):
+        tops += [(k, 0, "ESTACAO;" + str(k)), (k, 1, head.replace(RAIN, spellings[k]))]
+    every = lines.union(spark.createDataFrame(tops, "part int, kind int, value string"))
+    every.repartition("part").sortWithinPartitions("part", "kind").drop("kind").write.partitionBy("part").text(path)
+    return path
+
+
 def csv_weather_scan(spark, folder):
     """Write station files with a preamble, read them back."""
-    path = scratch_folder(spark, "csv")
-    rows = inputs.raw_weather(spark, folder).drop(bronze.SOURCE_FILE)
-    preamble = inputs.table(spark, folder, "supplier").select(
-        F.lit("ESTACAO:").alias(rows.columns[0]),
-        F.col("s_name").alias(rows.columns[1]),
-        *[F.lit(None).cast("string").alias(c) for c in rows.columns[2:]],
-    )
-    (
-        rows.unionByName(preamble)
-        .write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    )
-    return readers.read_weather_csv(spark, path).select(
+    path = _station_files(spark, folder, (RAIN,) * 3)
+    return readers.read_weather_csv(spark, path, encoding="UTF-8").select(
         F.col("Data").alias("data"), F.col("Hora UTC").alias("hora_utc"),
         F.col(f"`{RAIN}`").alias("chuva"), F.col(f"`{HUMIDITY}`").alias("umidade"),
     )
 
 
+def csv_mixed_layouts(spark, folder):
+    """Station files of three header spellings end in one bronze column."""
+    found = readers.read_weather_csv(spark, _station_files(spark, folder, RAIN_SPELLINGS), encoding="UTF-8")
+    return bronze.bronze_climate(found).select("data", "hora_utc", "precipitacao_mm", "umidade_pct")
+
+
 def csv_crop_scan(spark, folder):
     path = scratch_folder(spark, "csv")
     inputs.raw_crops(spark, folder).write.option("header", True).csv(path)
     return bronze.snake_case_columns(readers.read_reference_csv(spark, path).drop(bronze.SOURCE_FILE))
 
 
+def csv_quoted_cells(spark, folder):
+    """Crop files with separators and line breaks inside quoted cells."""
+    path = scratch_folder(spark, "csv")
+    noted = inputs.raw_crops(spark, folder).withColumn("Categoria", F.concat("Categoria", F.lit(", a\nb, "), "Cultura"))
+    noted.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return bronze.snake_case_columns(readers.read_reference_csv(spark, path)).select("cultura", "categoria")
+
+
+def _yearly(spark, folder):
+    rows = _decoded_files(inputs.raw_weather(spark, folder))
+    return rows.withColumn("year", F.substring("Data", 1, 4))
+
+
+def ingest_two_runs(spark, folder):
+    """A second run of one year replaces that year's files and keeps the rest."""
+    path = _written_raw(spark, folder)
+    again = _yearly(spark, folder).where(F.col("year") == "1997")
+    writers.write_raw(again.withColumn(HUMIDITY, F.lit("0")), path)
+    return _raw_columns(readers.read_raw(spark, path)).groupBy("year").agg(F.count("*").alias("linhas"))
+
+
+def raw_mixed_schemas(spark, folder):
+    """A column that only one year's files have is read for all."""
+    path = scratch_folder(spark, "raw")
+    rows = _yearly(spark, folder)
+    recent = F.coalesce(F.col("year") >= "1996", F.lit(False))
+    writers.write_raw(rows.where(~recent).drop(HUMIDITY), path)
+    writers.write_raw(rows.where(recent), path)
+    return readers.read_raw(spark, path).groupBy("year").agg(F.count("*").alias("linhas"), F.count(F.col(f"`{HUMIDITY}`")).alias("com_umidade"))
+
+
 def load_table(spark, folder):
     """Load with some blank states, which the table holds as NULL."""
     uf = F.when(F.col("uf") == "U07", "").otherwise(F.col("uf"))
-    schema = "bronze"
     place = scratch_folder(spark, "tabelas")
+    schema = "carga_" + place.rsplit("-", 1)[-1][:12]
     writers.load_table(dated(spark, folder).withColumn("uf", uf), "clima_horario", schema, location=place)
     loaded = readers.read_relation(spark, f"{schema}.clima_horario")
     return warehouse.rows_per_station(loaded)
@@ -369,6 +417,10 @@ def queries() -> dict[str, Query]:
         "gold_partition_roundtrip": gold_partition_roundtrip,
         "csv_weather_scan": csv_weather_scan,
         "csv_crop_scan": csv_crop_scan,
+        "csv_mixed_layouts": csv_mixed_layouts,
+        "csv_quoted_cells": csv_quoted_cells,
+        "ingest_two_runs": ingest_two_runs,
+        "raw_mixed_schemas": raw_mixed_schemas,
         "load_table": load_table,
     }
     return {name: _plain(query) for name, query in found.items()}

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrometry.operators.bronze import SOURCE_FILE
-from agrometry.sources.readers import spread_if_narrow
 
 # Long headers as weather files have them.
 RAIN = "PRECIPITAÇÃO TOTAL, HORÁRIO (mm)"
@@ -26,7 +25,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_if_narrow(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    return table(spark, folder, "lineitem")
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,10 +6,12 @@ result read the table and never work it out again.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from agrometry.operators import bronze, gold, silver
-from agrometry.sources.readers import read_layer, read_raw, read_reference_csv, read_weather_csv
+from agrometry.sources.readers import list_files, read_layer, read_raw, read_reference_csv, read_weather_csv
 from agrometry.sources.writers import write_layer
 
 
@@ -18,22 +20,26 @@ def _stored(df: DataFrame, path: str, partition_by: str | None = None) -> DataFr
     return read_layer(df.sparkSession, path)
 
 
-def _is_csv(path: str) -> bool:
-    return path.lower().endswith(".csv")
+def _is_csv(spark: SparkSession, path: str) -> bool:
+    """A CSV file by its name, or a folder with CSV files at any depth."""
+    return path.lower().endswith(".csv") or not list_files(spark, path, "*.[cC][sS][vV]").isEmpty()
 
 
 def read_climate(spark: SparkSession, path: str) -> DataFrame:
     """Raw weather rows from CSV files or from a raw Parquet tree."""
-    return read_weather_csv(spark, path) if _is_csv(path) else read_raw(spark, path)
+    return read_weather_csv(spark, path) if _is_csv(spark, path) else read_raw(spark, path)
 
 
 def read_crops(spark: SparkSession, paths: str | list[str] | tuple[str, ...]) -> list[DataFrame]:
     many = [paths] if isinstance(paths, str) else list(paths)
-    return [read_reference_csv(spark, p) if _is_csv(p) else read_raw(spark, p) for p in many]
+    return [read_reference_csv(spark, p) if _is_csv(spark, p) else read_raw(spark, p) for p in many]
 
 
 def processar_clima_bronze(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
-    return _stored(bronze.bronze_climate(read_climate(spark, input_path)), output_path)
+    raw = read_climate(spark, input_path)
+    if unused := bronze.unused_weather_headers(raw.columns):
+        logging.getLogger(__name__).warning("colunas sem uso na camada bronze: %s", unused)
+    return _stored(bronze.bronze_climate(raw), output_path)
 
 
 def processar_culturas_bronze(spark: SparkSession, input_path, output_path: str) -> DataFrame:

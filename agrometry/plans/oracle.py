@@ -101,7 +101,7 @@ soils as (
 
 
 def _exact(c: str) -> str:
-    return f"cast({c} as decimal(14,4))"
+    return f"cast({c} as decimal(38,9))"
 
 
 def _mean(c: str) -> str:
@@ -618,6 +618,24 @@ def sql() -> dict[str, str]:
                 nullif("{HUMIDITY}", '') as umidade from raw_weather""",
         ),
         "csv_crop_scan": _with([RAW_CROPS], "select * from raw_crops"),
+        "csv_mixed_layouts": _with(
+            [RAW_WEATHER],
+            f"""select {lake_day} as data, "Hora UTC" as hora_utc, {_blank(RAIN)} as precipitacao_mm,
+                {_blank(HUMIDITY)} as umidade_pct from raw_weather where {lake_day} is not null""",
+        ),
+        "csv_quoted_cells": _with(
+            [RAW_CROPS], "select cultura, categoria || ', a' || chr(10) || 'b, ' || cultura as categoria from raw_crops"
+        ),
+        "ingest_two_runs": _with(
+            [RAW_WEATHER],
+            """select coalesce(substr("Data", 1, 4), 'raw') as year, count(*) as linhas from raw_weather group by all""",
+        ),
+        "raw_mixed_schemas": _with(
+            [RAW_WEATHER],
+            f"""select coalesce(substr("Data", 1, 4), 'raw') as year, count(*) as linhas,
+                sum(case when substr("Data", 1, 4) >= '1996' and "{HUMIDITY}" is not null then 1 else 0 end)::bigint as com_umidade
+                from raw_weather group by all""",
+        ),
         "load_table": _with(
             [HOURLY, DATED],
             """select estacao_codigo, estacao_nome, nullif(uf, 'U07') as uf, count(*) as registros

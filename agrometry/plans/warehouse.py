@@ -34,6 +34,6 @@ def build_models(
     )
     monthly = keep("int_clima_mensal", warehouse.monthly_climate(stg_climate), "table", "silver")
     seasonal = keep("int_clima_sazonal", warehouse.seasonal_climate(monthly), "table", "silver")
-    mart = warehouse.by_risk(warehouse.risk_mart(seasonal, stg_crops))
+    mart = warehouse.risk_mart(seasonal, stg_crops).sortWithinPartitions(warehouse.RISK_ORDER, ascending=warehouse.RISK_ASCENDING)
     keep("fct_risco_climatico", mart, "table", "gold")
     return models

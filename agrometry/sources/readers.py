@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from agrometry.functions import text
 from agrometry.operators.bronze import SOURCE_FILE, union_sources
-from agrometry.sources.scratch import scratch_folder
+from agrometry.sources.writers import FILE_KEY
 
-CORRUPT = "_corrupt_record"
 # A weather header starts with a date column followed by an hour column.
-WEATHER_HEADER = r'(?i)^"?data[^;:]*;\s*"?hora'
-MAX_LAYOUTS = 500
+WEATHER_HEADER = r'(?i)^\ufeff?"?data[^;:]*;\s*"?hora'
+# Rows of a file that has no header line carry this in place of their cells.
+NO_HEADER = "_sem_cabecalho"
+MULTILINE_OVERFLOW = "_extra"
 
 
 def with_year_folder(df: DataFrame, root: str) -> DataFrame:
@@ -44,109 +44,88 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", year: str | None
     return found if year is None else found.where(F.col("year") == str(year))
 
 
-def _cells(header: str, sep: str) -> list[str]:
-    """Header cells as column names: blanks and repeats get a position."""
-    names = []
-    for i, cell in enumerate(next(csv.reader([header.lstrip("\ufeff")], delimiter=sep))):
-        name = cell.strip() or f"Unnamed: {i}"
-        names.append(name if name not in names else f"{name}.{i}")
-    return names
-
-
 def _lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
-    """Text lines with their file; ``start`` is where the file split begins."""
+    """Text lines with their file and their place in it."""
     return spark.read.option("recursiveFileLookup", True).text(paths).select(
-        F.decode(F.col("value").cast("binary"), encoding).alias("header"),
+        F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), "\r$", "").alias("line"),
         text.decoded_path(F.col("_metadata.file_path")).alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("place"),
     )
 
 
-def weather_layouts(spark: SparkSession, paths: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
-    """Header line of each weather file, wherever the preamble ends."""
-    found = _lines(spark, paths, encoding).where(F.col("header").rlike(WEATHER_HEADER))
-    return found.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+def _split(line: Column, sep: str) -> Column:
+    """Cells of a line; a separator inside quotes does not count."""
+    bare = F.split(line, f"{sep}(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)
+    inner = F.transform(bare, lambda c: F.regexp_extract(c, r'(?s)^\s*"(.*)"\s*$', 1))
+    cells = F.zip_with(bare, inner, lambda c, q: F.when(c.rlike(r'(?s)^\s*".*"\s*$'), F.replace(q, F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(line.contains('"'), cells).otherwise(F.split(line, sep, -1))
 
 
-def reference_layouts(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """First line of each file."""
-    first = _lines(spark, paths, encoding).where((F.col("start") == 0) & (F.trim("header") != ""))
-    return first.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+def _named(header: Column) -> Column:
+    """Header cells as column names: blanks and repeats get a position."""
+    plain = F.transform(header, lambda c: F.trim(F.regexp_replace(c, "^\ufeff", "")))
+    filled = F.transform(plain, lambda c, i: F.when((c == "") | c.isNull(), F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(c))
+    return F.transform(
+        filled,
+        lambda c, i: F.when(F.array_position(filled, c) <= i, F.concat(c, F.lit("."), i.cast("string"))).otherwise(c),
+    )
 
 
-def _scan_by_layout(spark: SparkSession, paths, layouts: DataFrame, scan, sep: str) -> DataFrame:
-    """One scan per distinct header line, united by name.
+def _by_header(rows: DataFrame, headers: DataFrame, paths, fixed: Sequence[str] | None = None) -> DataFrame:
+    """Cells of each row under the names of its own file's header, in one table.
 
-    The layout of each file is written once, so that the files are read a
-    single time to learn it.  Header lines and, for several layouts, file
-    names come to the driver; rows never do.
+    ``rows`` has file, place and cells; ``headers`` file, begin (its place) and names.  Rows up to the header are
+    dropped by place.  Only distinct column names come to the driver.  Rows of a file without a header keep nothing
+    but their file, with ``NO_HEADER`` set.
     """
-    place = scratch_folder(spark, "cabecalhos")
-    layouts.write.parquet(place)
-    layouts = spark.read.parquet(place)
-    headers = [r[0] for r in layouts.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not headers:
-        raise ValueError(f"nenhum cabeçalho em {paths}")
-    if len(headers) > MAX_LAYOUTS:
-        raise ValueError(f"mais de {MAX_LAYOUTS} cabeçalhos distintos; leia por partes com columns=")
-    if len(headers) == 1:
-        return scan(paths, _cells(headers[0], sep))
-    parts = []
-    for header in sorted(headers):
-        files = [r[0] for r in layouts.where(F.col("header") == header).select("file").collect()]
-        parts.append(scan(files, _cells(header, sep)))
-    return union_sources(parts)
-
-
-def _scan_csv(
-    spark: SparkSession, paths, names: Sequence[str], sep: str, encoding: str, header: bool = False
-) -> DataFrame:
-    """All-string scan that drops rows with too many cells and pads short ones."""
-    fields = [StructField(n, StringType()) for n in [*names, CORRUPT]]
-    rows = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # Pruned columns would hide rows with a wrong number of cells.
-        .option("columnPruning", False)
-        .schema(StructType(fields))
-        .csv(paths)
-    )
-    cells = F.size(F.split(F.col(CORRUPT), F.lit("\\" + sep)))
-    kept = rows.where(F.col(CORRUPT).isNull() | (cells <= len(names)))
-    return kept.select(
-        *[text.missing_to_null(F.col(f"`{n}`")).alias(n) for n in names],
-        text.decoded_path(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+    if fixed is None:
+        names = [r[0] for r in headers.select(F.explode("names")).distinct().collect()]
+        if not names:
+            raise ValueError(f"nenhum cabeçalho em {paths}")
+        first = headers.agg(F.min_by("names", "file")).first()[0]
+        names = [*first, *sorted(set(names) - set(first))]
+        known = F.col("names")
+    else:
+        names, known = list(fixed), F.array(*map(F.lit, fixed))
+    joined = rows.join(headers, "file", "left").where(F.col("begin").isNull() | (F.col("place") > F.col("begin")))
+    joined = joined.withColumn("names", known)
+    fits = joined.where(F.col("names").isNull() | (F.size("cells") <= F.size("names")))
+    at = [F.array_position("names", F.lit(n)).cast("int") for n in names]
+    return fits.select(
+        *[text.missing_to_null(F.when(k > 0, F.get("cells", k - 1))).alias(n) for n, k in zip(names, at)],
+        F.col("names").isNull().alias(NO_HEADER),
+        F.col("file").alias(SOURCE_FILE),
     )
 
 
+def _checked(rows: DataFrame, strict: bool) -> DataFrame:
+    """Raise at run time for a file without a header, or leave its rows marked."""
+    if not strict:
+        return rows
+    told = F.concat(F.lit("nenhum cabeçalho em "), F.col(SOURCE_FILE))
+    # The error stands in for a column, so that no filter can be moved away from it.
+    stop = F.when(F.col(NO_HEADER), F.raise_error(told).cast("string")).otherwise(F.col(SOURCE_FILE))
+    return rows.withColumn(SOURCE_FILE, stop).where(F.col(SOURCE_FILE).isNotNull()).drop(NO_HEADER)
+
+
 def read_weather_csv(
     spark: SparkSession,
     paths: str | list[str],
     columns: Sequence[str] | None = None,
     encoding: str = "ISO-8859-1",
+    strict: bool = True,
 ) -> DataFrame:
     """Hourly weather files: ``;``-separated, with a preamble above the header.
 
-    All columns are strings, plus the source file name.  With ``columns`` the
-    files are read once.  Without, a pass over the lines finds each file's
-    header first.
+    All columns are strings, plus the source file name.  Each file is read under its own header line, wherever it
+    stands; rows with too many cells are dropped, short ones padded.  With ``columns`` these names count, by position,
+    in every file, with a header or without.  Else a file without a header is an error, or, unless ``strict``, rows with ``NO_HEADER`` set.
     """
-
-    def scan(some, names):
-        rows = _scan_csv(spark, some, names, ";", encoding)
-        first = F.col(f"`{names[0]}`")
-        preamble = F.coalesce(first.rlike(r":\s*$"), F.lit(False))
-        is_header = F.coalesce(first == names[0], F.lit(False))
-        return rows.where(~preamble & ~is_header)
-
-    if columns is not None:
-        return scan(paths, list(columns))
-    return _scan_by_layout(spark, paths, weather_layouts(spark, paths, encoding), scan, ";")
+    lines = _lines(spark, paths, encoding)
+    found = lines.where(F.col("line").rlike(WEATHER_HEADER)).groupBy("file").agg(F.min(F.struct("place", "line")).alias("h"))
+    headers = found.select("file", F.col("h.place").alias("begin"), _named(_split(F.col("h.line"), ";")).alias("names"))
+    rows = lines.where(F.trim("line") != "").select("file", "place", _split(F.col("line"), ";").alias("cells"))
+    return _checked(_by_header(rows, headers, paths, columns), strict)
 
 
 def read_reference_csv(
@@ -155,22 +134,46 @@ def read_reference_csv(
     columns: Sequence[str] | None = None,
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Crop and soil files: ``,``-separated with a header line, all strings."""
-
-    def scan(some, names):
-        return _scan_csv(spark, some, names, ",", encoding, header=True)
+    """Crop and soil files: ``,``-separated with a header line, all strings.
 
-    if columns is not None:
-        return scan(paths, list(columns))
-    return _scan_by_layout(spark, paths, reference_layouts(spark, paths, encoding), scan, ",")
+    Quoted cells may hold separators and line breaks.  Every file is read whole by one task, as its records may span
+    lines, and under its own header.
+    """
+    first = _lines(spark, paths, encoding).where((F.col("place.start") == 0) & (F.trim("line") != ""))
+    first = first.groupBy("file").agg(F.min(F.struct("place", "line")).alias("h"))
+    width = first.agg(F.max(F.size(_split(F.col("h.line"), ",")))).first()[0] or 0
+    width = max(width, len(columns or ()))
+    if not width:
+        raise ValueError(f"nenhum cabeçalho em {paths}")
+    fields = [f"c{k}" for k in range(width)]
+    records = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("encoding", encoding)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .schema(StructType([StructField(n, StringType()) for n in [*fields, MULTILINE_OVERFLOW]]))
+        .csv(paths)
+    )
+    filled = F.array(*fields, MULTILINE_OVERFLOW)
+    held = F.array_max(F.transform(filled, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))
+    rows = records.select(
+        text.decoded_path(F.col("_metadata.file_path")).alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+        F.slice(filled, F.lit(1), held).alias("cells"),
+    )
+    top = rows.groupBy("file").agg(F.min(F.struct("place", "cells")).alias("h"))
+    headers = top.select("file", F.col("h.place").alias("begin"), _named(F.col("h.cells")).alias("names"))
+    return _by_header(rows, headers, paths, columns).drop(NO_HEADER)
 
 
 def read_raw(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
     """Raw Parquet under ``root/year=*/``, keeping ``year`` as a string.
 
-    A year filter prunes partitions at planning time.
+    A year filter prunes partitions at planning time.  Columns that only some files have are kept, and the partition
+    by file that ``write_raw`` adds is dropped.
     """
-    df = spark.read.option("basePath", root).parquet(root)
+    df = spark.read.option("basePath", root).option("mergeSchema", True).parquet(root).drop(FILE_KEY)
     if "year" in df.columns:
         df = df.withColumn("year", F.col("year").cast("string"))
         if year is not None:
@@ -189,14 +192,3 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 def read_relation(spark: SparkSession, name: str) -> DataFrame:
     """A table or view by name, such as ``silver.stg_clima``."""
     return spark.table(name)
-
-
-def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than the session has cores.
-
-    A table stored as one row group is read by a single task, and so would be
-    all work up to the next shuffle.  Scans with enough splits stay as they are.
-    """
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(*keys)

@@ -11,9 +11,16 @@ from pyspark.sql import SparkSession
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the cluster's shared checkpoint directory.
 
-    Only a session without one (a local test) gets a folder of this machine.
+    The folder is the session's setting, or one set on the context.  Only a local session without either gets a
+    folder of this machine; on a cluster that is an error, since executors would not find each other's files.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _context_folder(spark)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")
+
+
+def _context_folder(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getCheckpointDir()

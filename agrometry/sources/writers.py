@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from agrometry.operators.bronze import SOURCE_FILE
+
 CHUNK_ROWS = 500_000
+# Partition of a raw table that holds one source file.
+FILE_KEY = "arquivo"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -24,11 +28,17 @@ def _balanced(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def write_raw(df: DataFrame, path: str, year_column: str = "year") -> None:
-    """All-string Parquet under ``path/year=<y>/``; rows without a year go to ``raw``."""
+    """All-string Parquet under ``path/year=<y>/arquivo=<file>/``; rows without a year go to ``raw``.
+
+    Only the source files in ``df`` are replaced; what other runs have written of other files stays.
+    """
     text = as_text(df)
     year = F.col(year_column) if year_column in df.columns else F.lit(None).cast("string")
     dated = text.withColumn("year", F.coalesce(year.cast("string"), F.lit("raw")))
-    _balanced(dated, "year").write.mode("overwrite").partitionBy("year").parquet(path)
+    name = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit("")
+    keyed = dated.withColumn(FILE_KEY, F.substring(F.sha2(F.encode(F.coalesce(name, F.lit("")), "UTF-8"), 256), 1, 24))
+    writer = _balanced(keyed, "year", FILE_KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year", FILE_KEY).parquet(path)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -98,7 +108,10 @@ def load_jdbc(df: DataFrame, url: str, table: str, schema: str = "bronze", conne
 def materialize(
     df: DataFrame, name: str, kind: str, schema: str, location: str | None = None
 ) -> DataFrame:
-    """Keep a model as a ``view`` or as a ``table`` of its layer's schema."""
+    """Keep a model as a ``view`` or as a ``table`` of its layer's schema.
+
+    A view lasts for the session: the plan of a DataFrame cannot be stored in a catalog.
+    """
     spark = df.sparkSession
     if kind == "view":
         view = f"{schema}_{name}"

@@ -53,16 +53,10 @@ def test_checked_joins_agree_with_a_hot_key(spark):
             assert sorted(map(tuple, mine.collect()), key=str) == plain, (how, bound)
 
 
-def test_salting_splits_the_hot_key(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        # equal rows in every column, in 32 input partitions
-        left = spark.range(0, 8000, 1, 32).select(F.lit("hot").alias("key"), F.lit(1).alias("v"))
-        right = spark.createDataFrame([("hot",), ("x",), ("y",)], "key string")
-        joined = join_checked(left, right, "key", "left_semi", max_rows=1)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 8000 and len(sizes) >= 5 and max(sizes) < 4000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
+def test_copied_sides_are_never_broadcast(spark):
+    """With the default settings, as a user runs it."""
+    pairs = pair_all(spark.range(40_000).toDF("a"), spark.range(100).toDF("b"), max_rows=10)
+    assert "BroadcastExchange" not in plan(pairs) and "SortMergeJoin" in plan(pairs)
+    checked = join_checked(spark.range(1000).toDF("k"), spark.range(50).toDF("k"), "k", "left_anti", max_rows=10)
+    assert "BroadcastExchange" not in plan(checked) and "Generate" not in plan(checked)
+    assert checked.count() == 950

@@ -1,6 +1,7 @@
 """End-to-end chains, and the shape of physical plans."""
 
 import datetime
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,15 +72,21 @@ def test_warehouse_chain_matches_the_lazy_mart(spark, tmp_path):
 
 def test_scratch_uses_the_shared_folder_when_there_is_one(spark):
     class Session:
-        def __init__(self, shared):
-            self.conf = self
-            self.shared = shared
+        def __init__(self, shared, master="local[2]", context=None):
+            self.conf = self.sparkContext = self
+            self.shared, self.master, self.context = shared, master, context
 
         def get(self, name, default):
             return self.shared if name == "spark.checkpoint.dir" and self.shared else default
 
+        def getCheckpointDir(self):
+            return self.context
+
     assert scratch_folder(Session("hdfs://shared/dir/"), "x").startswith("hdfs://shared/dir/x-")
-    assert scratch_folder(Session(None), "x").startswith("/tmp")
+    assert scratch_folder(Session(None, context="hdfs://other"), "x").startswith("hdfs://other/x-")
+    assert scratch_folder(Session(None), "x").startswith(tempfile.gettempdir())
+    with pytest.raises(ValueError):
+        scratch_folder(Session(None, "spark://host:1"), "x")
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from agrometry.operators.bronze import SOURCE_FILE, bronze_climate
 from agrometry.quality import rulesets
-from agrometry.plans.ingest import ingest
+from agrometry.plans.ingest import ingest, ingest_source
 from agrometry.sources import readers, writers
 
 HEADER = "Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);TEMPERATURA DO AR - BULBO SECO, HORARIA (°C)"
@@ -161,10 +161,55 @@ def test_sample_rows(spark):
     assert writers.sample_rows(spark.range(50), 5).count() == 5
 
 
-def test_narrow_scans_are_spread_and_wide_ones_left(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))
-    one = readers.spread_if_narrow(spark.read.parquet(str(tmp_path / "one")), "id")
-    many = spark.range(0, 100, 1, 16)
-    assert "REPARTITION" in one._jdf.queryExecution().toString().upper()
-    assert readers.spread_if_narrow(many, "id") is many
+def test_files_without_a_header_are_told(spark, weather):
+    (weather / "2025" / "nada.CSV").write_text("x;y\n1;2\n")
+    with pytest.raises(Exception, match="nenhum cabe"):
+        readers.read_weather_csv(spark, str(weather)).collect()
+    marked = readers.read_weather_csv(spark, str(weather), strict=False)
+    assert marked.where(readers.NO_HEADER).count() == 2 and marked.where(f"not {readers.NO_HEADER}").count() == 4
+
+
+def test_many_layouts_and_odd_rows(spark, tmp_path):
+    for k in range(30):
+        station_file(tmp_path / "2025" / f"f{k}.CSV", [f"2025/01/01;0000 UTC;{k}", "obs:;0100 UTC;7"], f"Data;Hora UTC;Medida {k}")
+    (tmp_path / "2025" / "f0.CSV").write_bytes("REGIAO;SE\nData;Hora UTC;Medida 0\n2025/01/01;0000 UTC;0\nobs:;0100 UTC;7\n".encode("latin1"))
+    df = readers.read_weather_csv(spark, str(tmp_path))
+    assert len(df.columns) == 33 and df.count() == 60
+    assert df.where("Data = 'obs:'").count() == 30
+    assert df.where("`Medida 7` = '7' and Data <> 'obs:'").count() == 1
+
+
+def test_spellings_of_one_column_meet(spark):
+    df = spark.createDataFrame([("2025/01/01", "0 UTC", "1", None), ("2025/01/02", "0 UTC", None, "2,5")], "Data string, `Hora UTC` string, `PRECIPITACAO TOTAL` string, `precipitação total (mm)` string")
+    got = bronze_climate(df.withColumn(SOURCE_FILE, F.lit(f"{NAME}.CSV"))).select("precipitacao_mm").collect()
+    assert sorted(r[0] for r in got) == [1.0, 2.5]
+    with pytest.raises(ValueError):
+        bronze_climate(df.drop("Data").withColumn(SOURCE_FILE, F.lit("x")))
+
+
+def test_quoted_separators_and_line_breaks(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('Cultura,Categoria\n"Cafe, milho, soja, uva",grao\n"Linha\nquebrada","diz ""a"""\nLonga,1,2\nCurta\n', encoding="utf-8")
+    rows = readers.read_reference_csv(spark, str(tmp_path)).collect()
+    assert {tuple(r)[:2] for r in rows} == {("Cafe, milho, soja, uva", "grao"), ("Linha\nquebrada", 'diz "a"'), ("Curta", None)}
+
+
+def test_raw_writes_replace_only_their_files(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [("2023", "a", "1"), ("2024", "b", "2"), ("2024", "c", "3")]
+    writers.write_raw(spark.createDataFrame(rows, f"year string, {SOURCE_FILE} string, v string"), path)
+    writers.write_raw(spark.createDataFrame([("2024", "b", "9", "w")], f"year string, {SOURCE_FILE} string, v string, extra string"), path)
+    back = readers.read_raw(spark, path)
+    assert {(r.year, r[SOURCE_FILE], r.v, r.extra) for r in back.collect()} == {("2023", "a", "1", None), ("2024", "b", "9", "w"), ("2024", "c", "3", None)}
+
+
+def test_ingest_of_one_source_filters_files(spark, tmp_path):
+    src = tmp_path / "src"
+    for year in ("2024", "2025"):
+        station_file(src / year / f"{NAME.replace('2025', year)}.CSV", [f"{year}/01/01;0000 UTC;0,2;23,5"])
+    (src / "2025" / "nada.CSV").write_text("x;y\n1;2\n")
+    raw = str(tmp_path / "raw")
+    first = ingest_source(spark, "clima", str(src), raw).first()
+    assert (first.total_arquivos, first.arquivos_ingeridos, first.arquivos_com_erro) == (3, 2, 1)
+    second = ingest_source(spark, "clima", str(src), raw, file_filter=lambda name: name.contains("2024"))
+    assert second.first().total_arquivos == 1
+    assert {r.year for r in readers.read_raw(spark, raw).collect()} == {"2024", "2025"}
