@@ -83,6 +83,38 @@ def crop_risk_fact(seasonal: DataFrame, crops: DataFrame) -> DataFrame:
     )
 
 
+# Pairs that a row of counts stands for; a fact row stands for one.
+PAIRS = "pares"
+_NEEDS = tuple(suitability.RAIN_BANDS)
+
+
+def risk_counts(seasonal: DataFrame, crops: DataFrame, *by: str) -> DataFrame:
+    """How many pairs of a season and a crop fall into each risk class, by season and crop columns.
+
+    A class depends on little: of a season, its temperature and the score of its rain for each water need; of a crop,
+    its range, need and tolerances.  Both sides are first counted by these profiles, so the product grows with the
+    number of different profiles and not with stations and years.
+    """
+    rain = {
+        f"_chuva_{k}": suitability.rain_score(F.col("precipitacao_total_mm"), F.lit(need), F.col("dias_chuva"))
+        for k, need in enumerate(_NEEDS)
+    }
+    seasons = seasonal.withColumns(rain).groupBy("estacao", "temp_media", *rain).agg(F.count("*").alias("_estacoes"))
+    need = F.col("necessidade_de_agua")
+    common = F.when(need.isNotNull(), F.when(need.isin(*_NEEDS), need).otherwise(suitability.RAIN_BAND_OTHER))
+    known = crops.select(*dict.fromkeys((*by, *CROP_COLUMNS[2:]))).withColumn("necessidade_de_agua", common)
+    known = known.groupBy(*known.columns).agg(F.count("*").alias("_culturas"))
+    score = F.when(F.col("necessidade_de_agua").isNull(), suitability.UNKNOWN)
+    for k, name in enumerate(_NEEDS):
+        score = score.when(F.col("necessidade_de_agua") == name, F.col(f"_chuva_{k}"))
+    scored = pair_all(seasons, known).transform(score_temperature).withColumn("score_precipitacao", score).transform(classify)
+    return scored.groupBy("estacao", *by, "risco_geral").agg(F.sum(F.col("_estacoes") * F.col("_culturas")).alias(PAIRS))
+
+
+def _pairs(fact: DataFrame):
+    return F.col(PAIRS) if PAIRS in fact.columns else F.lit(1).cast("bigint")
+
+
 def crop_ranking(fact: DataFrame, best: int = 10) -> DataFrame:
     """Best crops of each season.
 
@@ -102,14 +134,15 @@ def crop_ranking(fact: DataFrame, best: int = 10) -> DataFrame:
 
 
 def risk_distribution(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("estacao", "risco_geral").agg(F.count("*").alias("count"))
+    """Pairs of each season and class, of a fact or of ``risk_counts``."""
+    return fact.groupBy("estacao", "risco_geral").agg(F.sum(_pairs(fact)).alias("count"))
 
 
 def executive_summary(fact: DataFrame) -> DataFrame:
-    """Counts and shares of each risk class per season, in one pass."""
-    every = F.count("*")
+    """Counts and shares of each risk class per season, in one pass over a fact or its ``risk_counts``."""
+    every = F.sum(_pairs(fact))
     classes = {"baixo": "BAIXO", "medio": "MÉDIO", "alto": "ALTO", "critico": "CRÍTICO"}
-    counts = {n: F.count_if(F.col("risco_geral") == label) for n, label in classes.items()}
+    counts = {n: F.sum(F.when(F.col("risco_geral") == label, _pairs(fact)).otherwise(0)) for n, label in classes.items()}
     return fact.groupBy("estacao").agg(
         every.alias("total"),
         *[c.alias(n) for n, c in counts.items()],
@@ -121,7 +154,7 @@ def _most_frequent_crops(fact: DataFrame, risks: tuple[str, ...], best: int) ->
     return (
         fact.where(F.col("risco_geral").isin(*risks))
         .groupBy("cultura", "categoria")
-        .agg(F.count("*").alias("count"))
+        .agg(F.sum(_pairs(fact)).alias("count"))
         .orderBy(F.col("count").desc(), "cultura", "categoria")
         .limit(best)
     )

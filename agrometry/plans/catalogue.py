@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from agrometry.functions.calendar import season_order as season_place
+from agrometry.functions.suitability import advice
 from agrometry.operators import bronze, gold, metrics, silver, warehouse
 from agrometry.plans import inputs
 from agrometry.plans.inputs import HUMIDITY, RAIN, TEMPERATURE, TEMPERATURE_MAX
@@ -71,6 +72,11 @@ def station_fact(spark, folder):
     return gold.crop_risk_fact(by_station, silver.enrich_crops(inputs.crops(spark, folder)))
 
 
+def station_counts(spark, folder, *by):
+    by_station = silver.seasonal_climate(monthly(spark, folder), keep_station=True)
+    return gold.risk_counts(by_station, silver.enrich_crops(inputs.crops(spark, folder)), *by)
+
+
 def temperature_scores(spark, folder):
     return station_fact(spark, folder).select(
         "cultura", "estacao_codigo", "ano", "estacao", "temp_real", "temp_min_ideal", "temp_max_ideal",
@@ -93,7 +99,8 @@ def overall_risks(spark, folder):
 
 
 def advices(spark, folder):
-    return station_fact(spark, folder).groupBy("risco_geral", "recomendacao").agg(F.count("*").alias("linhas"))
+    advised = station_counts(spark, folder).withColumn("recomendacao", advice(F.col("risco_geral")))
+    return advised.groupBy("risco_geral", "recomendacao").agg(F.sum(gold.PAIRS).alias("linhas"))
 
 
 # Bronze -------------------------------------------------------------------
@@ -381,10 +388,10 @@ def queries() -> dict[str, Query]:
         "fato_risco_por_estacao": station_fact,
         "ranking_culturas": lambda s, f: gold.crop_ranking(fact(s, f)),
         "ranking_por_estacao": lambda s, f: gold.crop_ranking(station_fact(s, f)),
-        "distribuicao_risco": lambda s, f: gold.risk_distribution(station_fact(s, f)),
-        "resumo_executivo": lambda s, f: gold.executive_summary(station_fact(s, f)),
-        "top_versateis": lambda s, f: gold.most_versatile_crops(station_fact(s, f)),
-        "top_arriscadas": lambda s, f: gold.riskiest_crops(station_fact(s, f)),
+        "distribuicao_risco": lambda s, f: gold.risk_distribution(station_counts(s, f)),
+        "resumo_executivo": lambda s, f: gold.executive_summary(station_counts(s, f)),
+        "top_versateis": lambda s, f: gold.most_versatile_crops(station_counts(s, f, "cultura", "categoria")),
+        "top_arriscadas": lambda s, f: gold.riskiest_crops(station_counts(s, f, "cultura", "categoria")),
         "dq_not_empty": _quality(_absent_weather, NotEmpty()),
         "dq_required_columns": _quality(weather, RequiredColumns(("Data", "Hora UTC", "Estacao"))),
         "dq_not_null": _quality(weather, NotNull(rulesets.WEATHER_KEYS)),

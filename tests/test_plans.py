@@ -139,3 +139,11 @@ def test_fact_columns(spark):
         "tolerante_frio", "sensivel_frio", "sensivel_calor", "score_temperatura", "score_precipitacao", "score_final",
         "risco_geral", "recomendacao",
     ]
+
+
+def test_reports_over_counts_equal_those_over_the_fact(spark):
+    seasons = catalogue.seasonal(spark, FOLDER)
+    crops = inputs.crops(spark, FOLDER).withColumn("necessidade_de_agua", F.when(F.col("tolerante_frio"), F.lit(None)).otherwise(F.col("necessidade_de_agua")))
+    fact, counts = gold.crop_risk_fact(seasons, crops), gold.risk_counts(seasons, crops, "cultura", "categoria")
+    for report in (gold.risk_distribution, gold.executive_summary, gold.most_versatile_crops, gold.riskiest_crops):
+        assert sorted(map(tuple, report(fact).collect())) == sorted(map(tuple, report(counts).collect()))
