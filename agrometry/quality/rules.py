@@ -51,7 +51,13 @@ class Parse:
         if self.kind == "timestamp":
             if isinstance(kind, StringType):
                 cell = F.replace(cell, F.lit("/"), F.lit("-"))
-            return cell.cast("string").try_cast("timestamp")
+            cell = cell.cast("string")
+            # year first; else month first, or day first where that cannot be a month
+            dated = F.when(cell.rlike(r"^\s*\d{1,2}-\d{1,2}-\d{4}"), F.trim(cell))
+            return F.coalesce(
+                cell.try_cast("timestamp"),
+                *[F.try_to_timestamp(dated, F.lit(f"{order}-yyyy[ H:mm[:ss]]")) for order in ("M-d", "d-M")],
+            )
         if isinstance(kind, (NumericType, BooleanType)):
             return F.nanvl(cell.cast("double"), F.lit(None).cast("double"))
         return text.number(cell.cast("string"), self.decimal_comma)

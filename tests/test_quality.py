@@ -189,3 +189,10 @@ def test_file_summary_reads_once(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     text = file_summary(spark.read.parquet(str(tmp_path / "t")), rulesets.AGRICULTURE, "arquivo")
     assert text._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_dates_may_begin_with_month_or_day(spark):
+    cells = ["2024/12/31", "12/31/2024", "31/12/2024 10:30", "2024-02-30", "13/13/2024", "ontem", None]
+    df = spark.createDataFrame([(c,) for c in cells], "d string")
+    lines = report(df, [DataType("d", "datetime")]).collect()
+    assert [(r.rows_affected, sorted(r.sample_values)) for r in lines] == [(3, ["13/13/2024", "2024-02-30", "ontem"])]
