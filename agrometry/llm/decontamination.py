@@ -29,7 +29,7 @@ from agrometry.llm.staging import staged
 WINDOW = 13
 #: Bound of one broadcast block of item texts.
 BLOCK_BYTES = 16_000_000
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 _PAIR_BITS = 22
 
 _ROW = ["doc_id", "text", "n_words", "n_hit", "item_ids", "marks", "spans", "carried"]
