@@ -170,9 +170,9 @@ def learn(docs: DataFrame) -> Filter:
     cut = (1 << SLOT_BITS) - 1
     places = F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * k).bitwiseAND(F.lit(cut)) for k in range(HASHES)])
     filled = kept.select(F.explode(places).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-    found = staged(filled, "filter").toPandas()
+    found = staged(filled, "filter").toArrow()
     masks = np.zeros(1 << SLOT_BITS, np.uint64)
-    masks[found["slot"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+    masks[found.column("slot").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
     fill = np.array([((masks >> np.uint64(k)) & np.uint64(1)).mean() for k in range(width)])
     return Filter(languages, masks, np.minimum(fill**HASHES, 0.999), int(np.argmax(sizes)))
 

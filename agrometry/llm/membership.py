@@ -3,26 +3,36 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The filter takes 8 MB whatever the list's length; a long list only lets more other rows through.
 BITS = 1 << 26
+#: The filter is collected in blocks of so many 32-bit words.
+_WORDS = 1 << 15
+
+
+def _block(table: pa.Table) -> pa.Table:
+    words = np.zeros(_WORDS, np.uint32)
+    at = table.column("word").to_numpy() % _WORDS
+    words[at] = table.column("bits").to_numpy().astype(np.uint32)
+    return pa.table({"block": table.column("block").slice(0, 1), "words": pa.array([words.tobytes()], pa.binary())})
 
 
 def bitmap(addresses: DataFrame):
     """Broadcast of a bit for each address (one bigint column, from 0 to ``BITS`` - 1)."""
     name = addresses.columns[0]
-    found = (
-        addresses.groupBy(F.shiftright(name, 5).alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({name} % 32 as int))")).alias("bits"))
-        .toPandas()
+    words = addresses.groupBy(F.shiftright(name, 5).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({name} % 32 as int))")).alias("bits")
     )
-    words = np.zeros(BITS // 32, np.uint32)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
-    return addresses.sparkSession.sparkContext.broadcast(words)
+    blocks = words.withColumn("block", F.floor(F.col("word") / _WORDS)).groupBy("block")
+    found = blocks.applyInArrow(_block, "block bigint, words binary").toArrow().to_pydict()
+    every = np.zeros(BITS // 32, np.uint32)
+    for block, part in zip(found["block"], found["words"]):
+        every[block * _WORDS : (block + 1) * _WORDS] = np.frombuffer(part, np.uint32)
+    return addresses.sparkSession.sparkContext.broadcast(every)
 
 
 def marked(words: np.ndarray, address: np.ndarray) -> np.ndarray:
@@ -37,9 +47,9 @@ def split(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFr
     """Rows whose key may be in ``keys`` (one column), all that are among them, and the other rows."""
     sent = bitmap(keys.select(_address(keys.columns[0]).alias("bit")))
 
-    @F.pandas_udf(T.BooleanType())
-    def test(bit: pd.Series) -> pd.Series:
-        return pd.Series(marked(sent.value, bit.to_numpy(np.int64)))
+    @F.arrow_udf(T.BooleanType())
+    def test(bit: pa.Array) -> pa.Array:
+        return pa.array(marked(sent.value, bit.to_numpy(zero_copy_only=False)))
 
     return rows.where(test(_address(key))), rows.where(~test(_address(key)))
 
