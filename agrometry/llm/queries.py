@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrometry.llm import chat_format, decontamination, html_extract, language_id, license_scan, minhash_dedup, packing, quality, substring_dedup, topk_search
+from agrometry.llm.staging import small_batches
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

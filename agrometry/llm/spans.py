@@ -1,11 +1,9 @@
-"""Cut spans of characters out of texts."""
+"""Cut spans of characters out of texts, with built-in expressions."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _BLANK = " \t\n\v\f\r"
 
@@ -22,36 +20,29 @@ def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("doc_id", "text", *kept)
 
 
-def _left(text: str, found) -> list[str]:
-    pieces, at = [], 0
-    for span in found:
-        pieces.append(text[at : span["begin"]])
-        at = max(at, span["end"])
-    pieces.append(text[at:])
-    return pieces
+def _pieces(text: Column, spans: str) -> Column:
+    """What lies before, between and after the spans."""
+    count = F.size(spans)
 
+    def piece(k: Column) -> Column:
+        begin = F.when(k > 0, F.get(spans, k - 1)["end"]).otherwise(F.lit(0))
+        end = F.when(k < count, F.get(spans, k)["begin"]).otherwise(F.length(text))
+        return F.substr(text, (begin + 1).cast("int"), (end - begin).cast("int"))
 
-@F.pandas_udf(T.StringType())
-def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    """Each text without its spans (places of characters, end excluded); what stays is joined by one space.
+    return F.transform(F.sequence(F.lit(0), count), piece)
 
-    A null text stays null, and a text without spans stays as it is.
-    """
 
-    def one(text, found):
-        if text is None or found is None or not len(found):
-            return text
-        return " ".join(filter(None, (piece.strip(_BLANK) for piece in _left(text, found))))
+def cut(text: str, spans: str) -> Column:
+    """A text without its spans (places of characters, end excluded); what stays is joined by one space.
 
-    return pd.Series([one(a, b) for a, b in zip(texts, spans)], dtype=object)
+    A null text stays null, and a text without spans stays as it is.
+    """
+    trimmed = F.transform(_pieces(F.col(text), spans), lambda p: F.btrim(p, F.lit(_BLANK)))
+    return F.when(F.size(spans) > 0, F.array_join(F.filter(trimmed, lambda p: p != ""), " ")).otherwise(F.col(text))
 
 
-@F.pandas_udf(T.StringType())
-def kept_words(texts: pd.Series, spans: pd.Series) -> pd.Series:
+def kept_words(text: str, spans: str) -> Column:
     """The words (between ASCII white space) outside the spans, joined by one space."""
-
-    def one(text, found):
-        left = text if found is None or not len(found) else " ".join(_left(text, found))
-        return b" ".join(left.encode().split()).decode()
-
-    return pd.Series([one(a or "", b) for a, b in zip(texts, spans)], dtype=object)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    left = F.when(F.size(spans) > 0, F.array_join(_pieces(whole, spans), " ")).otherwise(whole)
+    return F.trim(F.regexp_replace(left, "[\\x09-\\x0D ]+", " "))

@@ -20,6 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers take ``rows`` rows at a time: texts can be long, and results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again, which cuts its lineage."""
     spark = df.sparkSession
