@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,10 @@ TOKEN_PENALTY = 32
 FREE_STEP = 64
 #: Windows at the end of a block that may still change.
 OPEN_WINDOWS = 4
-#: A worker forgets its words beyond so many (a cache, not a limit of results).
-REMEMBERED = 300_000
+#: A worker forgets its words, and their parts, beyond so many (a cache, not a limit of results).
+REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 800_000
 
-_SENTENCE_ENDS = (b".", b"!", b"?", "…".encode(), "。".encode())
+_SENTENCE_ENDS = tuple(end + quote for end in (b".", b"!", b"?", "…".encode(), "。".encode()) for quote in (b"", b'"', b"'", b")", b'")', "”".encode(), "»".encode()))
 _ROW = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -53,7 +54,11 @@ _DDL = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigin
 
 
 class Encoder:
-    """Token ids of texts.  The vocabulary drops white space, so each blank-separated word is encoded once and kept."""
+    """Token ids of texts.
+
+    The vocabulary drops white space, lowers case and parts letters from signs.  So each blank-separated word is looked
+    up once and kept; a word of letters with full stops or commas after it is the lower-case word and the signs.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,40 +67,65 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.clear()
+        self.forget_parts()
 
-    def clear(self) -> None:
-        self.known: dict[bytes | None, int] = {None: 0}
+    def forget_parts(self) -> None:
+        """Part 0 is the end token, part 1 is nothing."""
+        self.parts: dict[str | None, int] = {None: 0, "": 1}
         self.ids = np.array([END_TOKEN], np.uint32)
-        self.first = np.array([0, 1])
+        self.first = np.array([0, 1, 1])
+        self.forget_words()
+
+    def forget_words(self) -> None:
+        """A word is two parts; word 0 is the end of a text."""
+        self.words: dict[bytes | None, int] = {None: 0}
+        self.pairs = np.array([[0, 1]])
         self.ends_sentence = np.array([False])
 
     def learn(self, new: list[bytes]) -> None:
-        encoded = [x.ids for x in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        parts, unknown, pairs = self.parts, [], []
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(".,")
+            if core.isalpha() and max(core) < "\u0130":
+                key, tail = core.lower(), text[len(core) :]
+            else:
+                key, tail = text, ""
+            for part in (key, tail):
+                if part not in parts:
+                    parts[part] = len(parts)
+                    unknown.append(part)
+            pairs.append((parts[key], parts[tail]))
+        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((x for ids in encoded for x in ids), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        closed = [w.rstrip(b"\"')]}").endswith(_SENTENCE_ENDS) for w in new]
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        self.pairs = np.concatenate([self.pairs, np.array(pairs)])
+        closed = [w.endswith(_SENTENCE_ENDS) for w in new]
         self.ends_sentence = np.concatenate([self.ends_sentence, np.array(closed, bool)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row with their end tokens, the end of each text, and the ends of sentences."""
-        if len(self.known) > REMEMBERED:
-            self.clear()
+        if len(self.parts) > REMEMBERED_PARTS:
+            self.forget_parts()
+        elif len(self.words) > REMEMBERED_WORDS:
+            self.forget_words()
         found: list[bytes | None] = []
         for text in texts:
             found += text.split()
             found.append(None)
-        new = set(found) - self.known.keys()
+        new = set(found) - self.words.keys()
         if new:
-            self.learn(sorted(new))
-        word = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-        sizes = self.first[word + 1] - self.first[word]
+            self.learn(list(new))
+        word = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
+        part = self.pairs[word].ravel()
+        sizes = self.first[part + 1] - self.first[part]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(self.first[word], sizes)
+        place = np.arange(total) - np.repeat(ends - sizes - self.first[part], sizes)
+        ends = ends[1::2]
         sentence = np.unique(ends[self.ends_sentence[word] & (ends > 0)])
         return self.ids[place], ends[word == 0], sentence
 
