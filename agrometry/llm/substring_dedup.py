@@ -10,9 +10,11 @@ only segments whose anchor occurs twice can hold a repeat:
 3. The first copies of the other segments go to shards by anchor.  Each shard is a compressed FM-index (wavelet
    matrix, sampled places) in the order of the corpus; its windows stream through backward search, with one step for
    all of them at a time, until they are found unique or the match is a whole window.  The earliest place of each
-   matched row interval tells whether a window began before.  Anchors with more than ``HOT_SEGMENTS`` segments are
-   dealt by single windows instead of segments, so no shard grows with a frequent passage.
-4. Reported windows merge into spans for each document.
+   matched row interval tells whether a window began before.
+4. Anchors with more than ``HOT_SEGMENTS`` segments go to no shard.  Their windows are told apart by fingerprints:
+   partial aggregates find the earliest place of each, and all later places are joined to it, so no task holds a
+   frequent passage whole.
+5. Reported windows merge into spans for each document.
 
 Two filters of fixed size spare shuffling of segments and texts that have no part in this; results do not depend on
 them.  Null texts have no words; documents under ``window`` words are never cut; rows with the same doc_id and text
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrometry.llm import arrays
@@ -108,7 +110,7 @@ def _lister(window: int, gram: int, sent):
 
 
 def _reader(window: int):
-    """The words (as fingerprints) of listed segments, or of each of their windows where the anchor is a hot one."""
+    """The words (as fingerprints) of listed segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -120,12 +122,7 @@ def _reader(window: int):
                     values = found.hashes[found.first[k] : found.first[k + 1]]
                     for x in listed:
                         a, n = x["start"], x["windows"]
-                        if x["hot"]:
-                            at = np.arange(a, a + n)
-                            keys = arrays.span_hashes(values, at, at + window).view(np.int64).tolist()
-                            rows += [(key, docs[k], s, values[s : s + window].tobytes()) for key, s in zip(keys, at.tolist())]
-                        else:
-                            rows.append((x["anchor"], docs[k], a, values[a : a + n + window - 1].tobytes()))
+                        rows.append((x["anchor"], docs[k], a, values[a : a + n + window - 1].tobytes()))
                 for at in range(0, len(rows), 20_000):
                     columns = list(zip(*rows[at : at + 20_000]))
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -134,6 +131,24 @@ def _reader(window: int):
     return run
 
 
+def _window_reader(window: int):
+    """Fingerprint and place of every window of listed segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in arrays.slices(whole, "text"):
+                found = arrays.words(*arrays.text_bytes(batch.column(1)))
+                docs = batch.column(0).to_numpy(zero_copy_only=False)
+                for k, listed in enumerate(batch.column(2).to_pylist()):
+                    values = found.hashes[found.first[k] : found.first[k + 1]]
+                    at = np.concatenate([np.arange(x["start"], x["start"] + x["windows"]) for x in listed])
+                    at = at[at + window <= len(values)]
+                    keys = arrays.span_hashes(values, at, at + window).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(at), docs[k])), pa.array(at)], ["key", "doc", "start"])
+
+    return run
+
+
 def repeated_windows(docs: np.ndarray, starts: np.ndarray, pieces: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     """Documents and starts of all windows in a shard that begin earlier in it.
 
@@ -230,6 +245,23 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _listed_texts(docs: DataFrame, unclear: DataFrame) -> DataFrame:
+    """Rows (doc, text, listed) of the documents that hold some of the segments."""
+    wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("listed"))
+    return may_hold(docs, "doc", unclear.select("doc").distinct()).join(wanted, "doc").select("doc", "text", "listed")
+
+
+def _later_windows(docs: DataFrame, hot: DataFrame, window: int) -> DataFrame:
+    """Rows (doc, begin, end): neighbouring windows of the segments that begin earlier in another or the same segment."""
+    windows = _listed_texts(docs, hot).mapInArrow(_window_reader(window), "key bigint, doc bigint, start bigint")
+    windows = staged(windows, "windows")
+    place = F.struct("doc", "start")
+    several = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    later = windows.join(several.select("key", "first"), "key").where(place > F.col("first")).select("doc", "start")
+    run = F.col("start") - F.dense_rank().over(Window.partitionBy("doc").orderBy("start"))
+    return later.withColumn("run", run).groupBy("doc", "run").agg(F.min("start").alias("begin"), (F.max("start") + window).alias("end")).drop("run")
+
+
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Rows (doc, listed): spans of words, which may overlap, that an earlier window repeats."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
@@ -244,13 +276,14 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     distinct = staged(distinct.select("anchor", "segment", "first.*", "n"), "distinct")
     several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     unclear = staged(distinct.join(several, "anchor").select("anchor", "doc", "start", "windows", (F.col("kinds") > HOT_SEGMENTS).alias("hot")), "unclear")
-    wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "windows", "hot")).alias("listed"))
-    holders = may_hold(docs, "doc", unclear.select("doc").distinct())
-    words = holders.join(wanted, "doc").select("doc", "text", "listed").mapInArrow(_reader(window), "key bigint, doc bigint, start bigint, words binary")
-    total = unclear.agg(F.sum(F.when(F.col("hot"), F.col("windows") * window).otherwise(F.col("windows") + window))).first()[0] or 0
+    few, hot = unclear.where("not hot"), unclear.where("hot")
+    words = _listed_texts(docs, few).mapInArrow(_reader(window), "key bigint, doc bigint, start bigint, words binary")
+    total = few.agg(F.sum(F.col("windows") + window)).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
     dealt = words.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     searched = dealt.groupBy("shard").applyInArrow(_shard(window), "doc bigint, begin bigint, end bigint")
+    if not hot.isEmpty():
+        searched = searched.union(_later_windows(docs, hot, window))
 
     copied = distinct.where("n > 1").select("anchor", "segment", F.col("doc").alias("d"), F.col("start").alias("s"))
     copies = listed.join(copied, ["anchor", "segment"]).where("doc <> d or start <> s")

@@ -37,3 +37,26 @@ def test_removed_words_are_those_of_earlier_windows(docs, rows, window, hot, sha
         words, gone = want[r["doc_id"]]
         kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
         assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == (len(words), len(gone), brute.sha(kept))
+
+
+def test_no_shard_holds_a_passage_of_many_documents(spark, monkeypatch):
+    shard = substring_dedup._shard
+
+    def bounded(window):
+        def run(table):
+            words = sum(len(w.as_py()) // 8 for w in table.column("words"))
+            if words > 3000:
+                raise ValueError(f"{words} words in a shard")
+            return shard(window)(table)
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "HOT_SEGMENTS", 50)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 1000)
+    monkeypatch.setattr(substring_dedup, "_shard", bounded)
+    footer = " ".join(f"f{i}" for i in range(25))
+    rows = [(k, f"{' '.join(f'a{k}x{i}' for i in range(30))} {footer} {' '.join(f'b{k}x{i}' for i in range(30))}") for k in range(300)]
+    rows += [(300, rows[7][1]), (301, f"{footer} {footer}"), (302, footer)]
+    want = brute.repeats(rows, 20)
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 20).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {d: len(gone) for d, (_, gone) in want.items()}
