@@ -1,12 +1,12 @@
 """Language of a text by a bit-sliced Bloom filter of n-grams.
 
-Slot s of the filter holds one bit for each language; a language sets its bits at the slots of its n-grams.  A look-up
+Slot s of the filter holds one bit for each language, in as many 64-bit words as it takes; a language sets its bits at the slots of its n-grams.  A look-up
 takes the AND of an n-gram's slots: the mask of all languages that may have it.  Over a text, each language counts its
 bits (popcount of its slice); ``n`` n-grams of which a share ``p`` would hit by chance, from the filter's fill, make
 ``(count - n p) / (1 - p)`` the corrected count.  The largest count decides.
 
-Learning: a language has an n-gram if at least ``SHARE`` of the n-gram's documents, each language weighted alike, are
-in that language.  Learning takes at most ``PER_LANGUAGE`` documents of each language, those with the smallest hash of
+Learning: a language has an n-gram if the share of its documents with it is at least ``SHARE`` of that in the language
+where it is most frequent, so an n-gram can belong to any number of languages.  Learning takes at most ``PER_LANGUAGE`` documents of each language, those with the smallest hash of
 their doc_id; the filter has a fixed size.
 
 N-grams are runs of ``GRAM`` bytes of lower-cased text with everything but letters turned into single blanks, with one before and after.  Null
@@ -31,12 +31,11 @@ from agrometry.llm.membership import may_hold
 from agrometry.llm.staging import staged
 
 GRAM = 4
-#: Slots of the filter, each of one 64-bit mask, so at most 64 languages.
+#: Slots of the filter, each of one 64-bit mask for every 64 languages.
 SLOT_BITS = 21
 HASHES = 3
-SHARE = 0.5
-#: Documents of all languages that an n-gram must be in.
-LEAST = 2
+#: A language has an n-gram that is in its documents at this share of the highest rate; less is taken for quotation.
+SHARE = 0.1
 #: Documents of each language to learn from, at most.
 PER_LANGUAGE = 2_000
 UNKNOWN = "und"
@@ -105,7 +104,7 @@ class Filter:
         for k in range(1, HASHES):
             mask = mask & self.masks[at[k]]
         size = np.bincount(text, minlength=n)
-        count = np.stack([np.bincount(text[((mask >> np.uint64(k)) & np.uint64(1)) == 1], minlength=n) for k in range(width)], 1)
+        count = np.stack([np.bincount(text[((mask[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)) == 1], minlength=n) for k in range(width)], 1)
         right = np.maximum(0, (count - size[:, None] * self.chance) / (1 - self.chance))
         total = right.sum(1)
         best = np.where(total > 0, right.argmax(1), self.common)
@@ -147,33 +146,28 @@ def learn(docs: DataFrame) -> Filter:
     known = known.where("text is not null and lang is not null and doc_id is not null").where(~held_out())
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = staged(known.select("lang", "doc_id").withColumn("turn", turn).where(F.col("turn") <= PER_LANGUAGE), "learned")
-    rows = chosen.groupBy("lang").count().orderBy("lang").limit(65).collect()
-    if len(rows) > 64:
-        raise ValueError("the filter has room for 64 languages")
+    rows = chosen.groupBy("lang").count().orderBy("lang").collect()
     languages, sizes = [r["lang"] for r in rows], [r["count"] for r in rows]
     if not languages:
-        return Filter([], np.zeros(0, np.uint64), np.zeros(0), 0)
+        return Filter([], np.zeros((0, 0), np.uint64), np.zeros(0), 0)
     width = len(languages)
     known = may_hold(known, "doc_id", chosen.select("doc_id"))
     known = known.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
     counts = known.select("lang", "text").mapInArrow(_counter(languages), "gram bigint, language int, n bigint")
     # each gram's documents by language, as shares of the language's documents
-    by_gram = counts.groupBy("gram").agg(
-        F.sum("n").alias("all"), *[F.sum(F.when(F.col("language") == k, F.col("n"))).alias(f"n{k}") for k in range(width)]
-    )
-    rate = [F.coalesce(F.col(f"n{k}"), F.lit(0)) / F.lit(float(sizes[k])) for k in range(width)]
-    whole = sum(rate[1:], rate[0])
-    mask = F.lit(0).cast("bigint")
-    for k in range(width):
-        mask = mask.bitwiseOR(F.when(rate[k] >= SHARE * whole, F.lit(1 << k if k < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("bigint"))
-    kept = by_gram.where(F.col("all") >= LEAST).select("gram", mask.alias("mask")).where("mask <> 0")
+    counts = counts.groupBy("gram", "language").agg(F.sum("n").alias("n"))
+    size = F.element_at(F.array(*[F.lit(float(n)) for n in sizes]), F.col("language") + 1)
+    rates = counts.select("gram", "language", (F.col("n") / size).alias("rate"))
+    most = F.max("rate").over(Window.partitionBy("gram"))
+    kept = rates.withColumn("most", most).where(F.col("rate") >= SHARE * F.col("most"))
+    bits = kept.select("gram", F.floor(F.col("language") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, language % 64)").alias("mask"))
     cut = (1 << SLOT_BITS) - 1
     places = F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * k).bitwiseAND(F.lit(cut)) for k in range(HASHES)])
-    filled = kept.select(F.explode(places).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+    filled = bits.select(F.explode(places).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
     found = staged(filled, "filter").toArrow()
-    masks = np.zeros(1 << SLOT_BITS, np.uint64)
-    masks[found.column("slot").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    fill = np.array([((masks >> np.uint64(k)) & np.uint64(1)).mean() for k in range(width)])
+    masks = np.zeros((1 << SLOT_BITS, -(-width // 64)), np.uint64)
+    masks[found.column("slot").to_numpy(), found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    fill = np.array([((masks[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(width)])
     return Filter(languages, masks, np.minimum(fill**HASHES, 0.999), int(np.argmax(sizes)))
 
 

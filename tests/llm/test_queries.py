@@ -1,5 +1,8 @@
 """Registered queries on the smallest tables: against SQL, or held-out accuracy."""
 
+import random
+import zlib
+
 import numpy as np
 import pytest
 from compare import differences, sql_engine
@@ -95,3 +98,20 @@ def test_viterbi_finds_the_best_labels():
 
     every = [[(n >> k) & 1 for k in range(5)] for n in range(32)]
     assert score(fitted.decode(rows)) == max(map(score, every))
+
+
+def test_close_languages_single_documents_and_many_languages(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    own = {f"l{k:02}": " ".join(word() for _ in range(30)) for k in range(70)}
+    texts = [(text, name) for name, text in own.items() for _ in range(4)]
+    texts += [(f"shared ordinary vocabulary {name}", name) for name in ("xa", "xb", "xc") for _ in range(4)]
+    texts += [("completely different things", "aa")] * 40 + [("quaint solitary paragraph", "zz")]
+    learned = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rows = [(k, *row) for k, row in zip(learned, texts)]
+    fitted = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    asked = [*own.values(), "shared ordinary vocabulary", "solitary"]
+    table = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(table, fitted).collect()}
+    assert [got[k][0] for k in range(72)] == [*own, "xa", "zz"]
+    assert 0.3 < got[70][1] < 0.4
