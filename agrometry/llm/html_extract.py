@@ -1,7 +1,8 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the DOM.
 
 A page is read as markup, leniently: comments, scripts, styles and the like are no text, block elements bound the leaf
-blocks, unclosed paragraphs and items end where the next begins.  Every block has features of its ancestors (element
+blocks, unclosed paragraphs and items end where the next begins.  A drawing (svg) is no text up to its own end; one that
+closes itself or never ends is only its tag.  Formulas (math) and what stands in for an object are text like any other.  Every block has features of its ancestors (element
 names, words of class, id and role) and of its text (length, share of links, signs, place on the page).  The field
 scores a block's features and neighbouring labels; it is trained by maximum likelihood (forward-backward) on labelled
 pages, and the best sequence of labels is found by the Viterbi algorithm.
@@ -31,7 +32,7 @@ EPOCHS = 12
 RATE = 0.15
 
 # Elements of HTML by kind.
-_RAW = "script|style|title|template|textarea|svg|math|iframe|noembed|noframes|object"
+_RAW = "script|style|title|template|textarea|iframe|noembed|noframes"
 _BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre search section "
@@ -42,10 +43,11 @@ _VOID = frozenset("area base br col embed frame hr img input link meta param sou
 _CHAIN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*+)([^>]*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
+_DRAWING = re.compile(r"<(/?)svg(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>", re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -58,6 +60,19 @@ class Block:
     linked: int
 
 
+def _drawings(page: str) -> dict[int, int]:
+    """Begin and end of every svg element that has an end."""
+    ends, begun = {}, []
+    for match in _DRAWING.finditer(page):
+        if not match[1] and page[match.end() - 2] != "/":
+            begun.append(match.start())
+        elif not match[1]:
+            ends[match.start()] = match.end()
+        elif begun:
+            ends[begun.pop()] = match.end()
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks that have text, in page order."""
     found: list[Block] = []
@@ -84,7 +99,8 @@ def blocks(page: str) -> list[Block]:
             if stack[k][0] in bound:
                 return
 
-    for match in _TOKEN.finditer(page):
+    drawings = _drawings(page)
+    while match := _TOKEN.search(page, at):
         if match.start() > at:
             piece = page[at : match.start()]
             held.append(piece)
@@ -97,6 +113,10 @@ def blocks(page: str) -> list[Block]:
                 held.append(" ")
             continue
         name = name.lower()
+        if name == "svg":
+            held.append(" ")
+            at = drawings.get(match.start(), at)
+            continue
         if name in _BLOCKS:
             flush()
         elif name == "br":

@@ -115,3 +115,11 @@ def test_close_languages_single_documents_and_many_languages(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(table, fitted).collect()}
     assert [got[k][0] for k in range(72)] == [*own, "xa", "zz"]
     assert 0.3 < got[70][1] < 0.4
+
+
+def test_only_the_raw_elements_themselves_are_no_text():
+    text = lambda page: [block.text for block in html_extract.blocks(page)]
+    for tag in ("<svg-icon name=x></svg-icon>", "<title-bar>", "<template-x/>", "<svg width='1'/>", "<svg>", "<object-view></object-view>"):
+        assert text(f"<article>{tag}<h1>T</h1><p>Body</p></article><p>End</p>") == ["T", "Body", "End"]
+    assert text("<p>a<svg><text>no</text><svg><title/>no</svg>no</svg>b</p><script>no</script x><p>c") == ["a b", "c"]
+    assert text("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p><object data=a><p>instead</p></object>") == ["If x=1 then", "instead"]
