@@ -6,9 +6,10 @@ wavelet ranks, their places come from sampled positions, and covered words merge
 never shuffled: a task needs its own texts and the phrases.
 
 Phrases travel to the executors in blocks of at most ``BLOCK_BYTES`` of item text, one pass over the rows for each
-block (a single larger item is a block of its own), and the rows are written in between.
+block (a single larger text is a block of its own), and the rows are written in between.
 
-Null or empty texts have no words and no hits; items without words have no phrase; repeated items count once; repeated
+Null or empty texts have no words and no hits; items without words have no phrase; items with a null item_id
+have phrases but no name (they count in ``n_hit`` and spans, not in ``item_ids``); repeated items count once; repeated
 documents each give a row; other columns are ignored.
 """
 
@@ -47,9 +48,9 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
 class Phrases:
     """Distinct windows of item words, by length, with the items that hold each."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        names = sorted({name for name, _ in items})
-        number = {name: i for i, name in enumerate(names)}
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
+        names = sorted({name for name, _ in items if name is not None})
+        number = {name: i for i, name in enumerate(names)} | {None: -1}
         data, offsets = arrays.text_bytes(arrays.strings([text for _, text in items]))
         found = arrays.words(data, offsets, arrays.PLAIN_WORDS, arrays.LOWER)
         self.names = names
@@ -183,7 +184,8 @@ def _search(batch: pa.RecordBatch, phrases: Phrases, later: bool) -> pa.RecordBa
     np.add.at(marks, starts + lengths, -1)
     names: dict[int, set[str]] = {}
     for text, item in zip(texts.tolist(), items.tolist()):
-        names.setdefault(text, set()).add(phrases.names[item])
+        if item >= 0:
+            names.setdefault(text, set()).add(phrases.names[item])
     if later:
         for text, (old_names, old_marks) in enumerate(zip(batch.column("item_ids").to_pylist(), batch.column("marks").to_pylist())):
             if old_names:
@@ -219,14 +221,13 @@ def _search(batch: pa.RecordBatch, phrases: Phrases, later: bool) -> pa.RecordBa
     )
 
 
-def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
-    """Item texts in blocks of about ``limit`` bytes at most, told apart by the item's name."""
+def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
+    """Item texts in blocks of about ``limit`` bytes at most, told apart by the item's name and text."""
     items = items.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    items = items.where("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = 1 if total <= limit else 2 * -(-total // limit)
     for k in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k)
+        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         yield [(r[0], r[1]) for r in part.distinct().collect()]
 
 

@@ -39,3 +39,19 @@ def test_spans_cut_the_hit_words(spark, docs, rows, items):
 def test_nothing_to_look_for(spark, docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert {r["n_hit"] for r in decontamination.find(docs, none).collect()} == {0}
+
+
+@pytest.mark.parametrize("block", [16_000_000, 60])
+def test_items_without_a_name_have_phrases(spark, block):
+    items = [(None, "two words"), (None, "a lost item of the benchmark"), (4, "two words"), (4, "more of it")]
+    docs = [(1, "two words"), (2, "see a lost item of the benchmark here"), (3, "some more of it"), (4, "nothing")]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.find(spark.createDataFrame(docs, "doc_id bigint, text string"), table, block).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in found} == {1: (2, ["4"]), 2: (6, []), 3: (3, ["4"]), 4: (0, [])}
+
+
+def test_blocks_split_the_texts_of_one_item(spark):
+    table = spark.createDataFrame([(1, f"text number {k}") for k in range(200)], "item_id bigint, text string")
+    found = list(decontamination.blocks(table, 500))
+    assert sorted(x for block in found for x in block) == sorted(("1", f"text number {k}") for k in range(200))
+    assert max(sum(len(text) for _, text in block) for block in found) <= 1000
