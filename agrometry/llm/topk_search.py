@@ -5,7 +5,8 @@ sorted by every dimension.  Blocks of queries meet every block of candidates in
 In such a pair the lists are read from the end that a query's sign favours, a step deeper for all dimensions at a
 time; every vector met gets its full score; the sum of the query's weights times the last values read bounds all
 vectors not met, and a query is done when that bound cannot reach its k-th score.  Equal vectors of a block stand in
-its lists once, with all ids that can be among the answers.  The best of all blocks are ranked in the end.
+its lists once, with all ids that can be among the answers; a query whose best vectors share ids is searched again for
+more vectors, until they hold as many ids as asked for.  The best of all blocks are ranked in the end.
 
 Only vectors of equal length are compared.  Rows with a null id, a null vector, or a null or non-finite component take
 no part; rows that repeat an id are one candidate, which counts with its best score, and one query.  Ties go to the
@@ -62,13 +63,12 @@ def _pack(k: int):
         flat = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.int64).reshape(len(ids), size)
         order = np.argsort(ids, kind="stable")
         ids, flat = ids[order], flat[order]
-        fresh = np.concatenate([[True], (ids[1:] != ids[:-1]) | (flat[1:] != flat[:-1]).any(1)])
-        ids, flat = ids[fresh], flat[fresh]
         matrix, which = np.unique(flat, axis=0, return_inverse=True) if size else (flat[:1], np.zeros(len(ids), np.int64))
         which = which.ravel()
         place = np.argsort(which, kind="stable")
-        counts = np.bincount(which)
-        rank = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+        place = place[np.concatenate([[True], (ids[place[1:]] != ids[place[:-1]]) | (which[place[1:]] != which[place[:-1]])])]
+        counts = np.bincount(which[place])
+        rank = np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
         place = place[rank <= k]
         counts = np.minimum(counts, k + 1)
         most = int(np.abs(matrix).max()) if matrix.size else 0
@@ -140,6 +140,22 @@ def threshold_search(matrix: np.ndarray, least: np.ndarray, queries: np.ndarray,
     return kept
 
 
+def _different(matrix: np.ndarray, least: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, vector, score) of each query's best vectors, as many as it takes for ``k`` different ``least``.
+
+    An id on none of them is then behind ``k`` others: their scores are higher, or equal with a smaller id.
+    """
+    parts, left, wide = [], np.arange(len(queries)), k
+    while len(left):
+        query, vector, score = threshold_search(matrix, least, queries[left], wide)
+        held = np.unique(np.stack([query, least[vector]], 1), axis=0)[:, 0]
+        full = (np.bincount(held, minlength=len(left)) >= k) | (wide >= len(matrix))
+        done = full[query]
+        parts.append((left[query[done]], vector[done], score[done]))
+        left, wide = left[~full], min(4 * wide, len(matrix))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _search(k: int):
     def matrix(row: dict, side: str) -> np.ndarray:
         return np.frombuffer(row[f"{side}_matrix"], row[f"{side}_kind"]).astype(np.int64).reshape(-1, row["size"]) if row["size"] else np.zeros((len(row[f"{side}_counts"]) // 8, 0), np.int64)
@@ -150,12 +166,18 @@ def _search(k: int):
                 row = batch.slice(at, 1).to_pylist()[0]
                 ids, counts, firsts = (np.frombuffer(row[f"c_{c}"], np.int64) for c in ("ids", "counts", "firsts"))
                 asked, asked_counts = (np.frombuffer(row[f"q_{c}"], np.int64) for c in ("ids", "counts"))
-                query, vector, score = threshold_search(matrix(row, "c"), ids[firsts], matrix(row, "q"), k + 1)
+                query, vector, score = _different(matrix(row, "c"), ids[firsts], matrix(row, "q"), k + 1)
                 # all ids of each vector, for all ids of each query, without the query itself
                 held = counts[vector]
                 query, score = np.repeat(query, held), np.repeat(score, held)
                 inner = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
                 vec = ids[np.repeat(firsts[vector], held) + inner]
+                # an id counts once, with its best score
+                order = np.lexsort((-score, vec, query))
+                query, vec, score = query[order], vec[order], score[order]
+                fresh = np.ones(len(vec), bool)
+                fresh[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+                query, vec, score = query[fresh], vec[fresh], score[fresh]
                 best = _merge(k + 1, (query[:0], vec[:0], score[:0]), query, np.arange(len(vec)), score, vec)
                 query, vec, score = best[0], vec[best[1]], best[2]
                 first = np.cumsum(asked_counts) - asked_counts

@@ -117,6 +117,19 @@ def test_close_languages_single_documents_and_many_languages(spark):
     assert 0.3 < got[70][1] < 0.4
 
 
+def test_an_id_of_several_vectors_counts_once(spark):
+    draw = np.random.default_rng(4)
+    numbers, ids = draw.integers(-4, 5, size=(300, 4)), draw.integers(1, 40, size=300)
+    numbers[0], ids[0] = [3, -2, 1, 4], 50
+    numbers[1:28], ids[1:28] = numbers[0] * np.arange(2, 29)[:, None], np.tile([7, 50, 8], 9)
+    table = spark.createDataFrame([(int(i), v.astype(float).tolist()) for i, v in zip(ids, numbers)], "vec_id bigint, embedding array<double>")
+    score = (256 * numbers[ids == 50]) @ (256 * numbers.T)
+    best = {int(i): int(score[:, ids == i].max()) for i in set(ids.tolist()) - {50}}
+    want = [(r + 1, i, best[i]) for r, i in enumerate(sorted(best, key=lambda i: (-best[i], i))[:5])]
+    got = topk_search.search(table, F.col("vec_id") == 50).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == want
+
+
 def test_only_the_raw_elements_themselves_are_no_text():
     text = lambda page: [block.text for block in html_extract.blocks(page)]
     for tag in ("<svg-icon name=x></svg-icon>", "<title-bar>", "<template-x/>", "<svg width='1'/>", "<svg>", "<object-view></object-view>"):
