@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrometry.llm import chat_format, decontamination, html_extract, language_id, license_scan, minhash_dedup, packing, quality, substring_dedup, topk_search
+from agrometry.llm import chat_format, decontamination, html_extract, language_id, license_scan, minhash_dedup, packing
+from agrometry.llm import periodic_runs, prefix_trie, quality, quality_rules, substring_dedup, topk_search
 from agrometry.llm.staging import small_batches
 
 
@@ -71,9 +72,28 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.paths(prefix_trie.regrown(table(spark, folder, "conversations"))))
+
+
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.digest(quality_rules.judged(table(spark, folder, "documents")))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("text", periodic_runs.made_periodic())
+    return periodic_runs.digest(periodic_runs.runs(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: call for name, call in globals().items() if name.startswith("op") and callable(call)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_licenses": license_scan.sql(), "op8_chat": chat_format.SQL}
+    return {
+        "op6_licenses": license_scan.sql(),
+        "op8_chat": chat_format.SQL,
+        "op11_prefix_trie": prefix_trie.sql(),
+        "op12_quality_rules": quality_rules.sql(),
+        "op13_periodic_runs": periodic_runs.sql(),
+    }
