@@ -56,9 +56,13 @@ def weather_column(header: str) -> str | None:
     return None
 
 
+# The accented letters of crop headers and their plain forms.
+HEADER_ACCENTS = str.maketrans("áéíóúãõç", "aeiouaoc")
+
+
 def snake_case(header: str) -> str:
-    """Lower case, underscores, and the eight accents that crop headers use."""
-    return header.lower().replace(" ", "_").translate(str.maketrans("áéíóúãõç", "aeiouaoc"))
+    """Lower case, underscores, and plain letters."""
+    return header.lower().replace(" ", "_").translate(HEADER_ACCENTS)
 
 
 def missing_to_null(cell: Column) -> Column:
@@ -81,11 +85,11 @@ def decimal_comma(cell: Column) -> Column:
 
 
 def day(cell: Column) -> Column:
-    """A date written ``yyyy/MM/dd``, and nothing else; a cast reads it much faster than a pattern."""
-    shape = (F.length(F.trim(cell)) == 10) & (F.length(cell) == 10)
-    slashes = (F.substring(cell, 5, 1) == "/") & (F.substring(cell, 8, 1) == "/")
-    digit = F.substring(cell, 1, 1).between("0", "9")
-    return F.when(shape & slashes & digit, F.replace(cell, F.lit("/"), F.lit("-")).try_cast("date"))
+    """A date written ``yyyy/MM/dd``, and nothing else.
+
+    The cell is named once, since a filter on dates carries the cell's own expression down with this one.
+    """
+    return F.replace(F.regexp_extract(cell, r"^\d{4}/\d{2}/\d{2}$", 0), F.lit("/"), F.lit("-")).try_cast("date")
 
 
 def decoded_path(path: Column) -> Column:
@@ -94,16 +98,25 @@ def decoded_path(path: Column) -> Column:
     return F.when(path.contains("%"), F.coalesce(plain, path)).otherwise(path)
 
 
-def station_columns(path: Column) -> dict[str, Column]:
-    """State, code and name of the station that a decoded file path names.
+def station_label(path: Column) -> Column:
+    """The part of a decoded file path that names a station in full, or an empty text."""
+    return F.regexp_extract(path, FILE_STATION_NAME, 0)
+
+
+def station_columns(path: Column, label: Column) -> dict[str, Column]:
+    """State, code and name of the station that a decoded file path and its ``station_label`` name.
 
-    One pattern finds state and code together; only where it fails are they looked for apart.
+    Only paths without a full label are searched for each part.
     """
-    both = F.regexp_extract(path, FILE_UF_STATION, 1)
+    full = label != ""
+    name = F.substr(label, F.length(F.substring_index(label, "_", 4)) + 2)
     return {
-        "uf": F.when(both != "", F.substring(both, 1, 2)).otherwise(F.regexp_extract(path, FILE_UF, 1)),
-        "estacao_codigo": F.when(both != "", F.substr(both, F.lit(4))).otherwise(F.regexp_extract(path, FILE_STATION, 1)),
-        "estacao_nome": F.regexp_extract(path, FILE_STATION_NAME, 1),
+        "uf": F.when(full, F.split_part(label, F.lit("_"), F.lit(3))).otherwise(
+            F.coalesce(F.nullif(F.substring(F.regexp_extract(path, FILE_UF_STATION, 1), 1, 2), F.lit("")), F.regexp_extract(path, FILE_UF, 1))
+        ),
+        "estacao_codigo": F.when(full, F.split_part(label, F.lit("_"), F.lit(4))).otherwise(F.regexp_extract(path, FILE_STATION, 1)),
+        # the label ends in an underscore and a date of ten signs
+        "estacao_nome": F.when(full, F.substr(name, F.lit(1), F.length(name) - 11)).otherwise(F.lit("")),
     }
 
 

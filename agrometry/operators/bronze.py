@@ -71,9 +71,13 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 def with_station(df: DataFrame, path_column: str = SOURCE_FILE) -> DataFrame:
-    """Add state, station code and name, all read from the file name."""
+    """Add state, station code and name, all read from the file name.
+
+    Path and label are columns of their own, so each row decodes and matches once.
+    """
     decoded = df.withColumn("_path", text.decoded_path(F.col(path_column)))
-    return decoded.withColumns(text.station_columns(F.col("_path"))).drop("_path")
+    labelled = decoded.withColumn("_label", text.station_label(F.col("_path")))
+    return labelled.withColumns(text.station_columns(F.col("_path"), F.col("_label"))).drop("_path", "_label")
 
 
 def bronze_climate(raw: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,21 +10,46 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from agrometry.functions import text
 from agrometry.operators.bronze import SOURCE_FILE, union_sources
-from agrometry.sources.writers import FILE_KEY
+from agrometry.operators.joins import join_checked
+from agrometry.sources.raw_store import read_store, store_columns
+from agrometry.sources.scratch import kept_in_scratch
+
+# A condition on the decoded path of a file.
+FileCondition = Callable[[Column], Column]
 
 # A weather header starts with a date column followed by an hour column.
 WEATHER_HEADER = r'(?i)^\ufeff?"?data[^;:]*;\s*"?hora'
 # Rows of a file that has no header line carry this in place of their cells.
 NO_HEADER = "_sem_cabecalho"
 MULTILINE_OVERFLOW = "_extra"
+# Headers of so many files are broadcast to their lines, if they also fit the bound on bytes.
+HEADER_FILES = 200_000
 
 
-def with_year_folder(df: DataFrame, root: str) -> DataFrame:
-    """Year folder of each row's source file; ``raw`` for files right under ``root``."""
-    folder = F.regexp_extract(SOURCE_FILE, r"([^/]+)/[^/]+$", 1)
+def year_folder(path: Column, root: str) -> Column:
+    """Year folder of a file; ``raw`` for files right under ``root``."""
+    folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
     top = root.rstrip("/").rsplit("/", 1)[-1]
-    year = F.when(folder == top, "raw").otherwise(F.regexp_replace(folder, "^year=", ""))
-    return df.withColumn("year", year)
+    return F.when(folder == top, "raw").otherwise(F.regexp_replace(folder, "^year=", ""))
+
+
+def with_year_folder(df: DataFrame, root: str) -> DataFrame:
+    return df.withColumn("year", year_folder(F.col(SOURCE_FILE), root))
+
+
+def of_year(root: str, year: str | None, also: FileCondition | None = None) -> FileCondition | None:
+    """The files in a year's folder under ``root`` that fit another condition as well."""
+    if year is None:
+        return also
+    here = lambda path: year_folder(path, root) == str(year)
+    return here if also is None else lambda path: here(path) & also(path)
+
+
+def _chosen(df: DataFrame, files: FileCondition | None) -> DataFrame:
+    """Rows of the files that fit.  The listing alone tells them, so no byte of another file is read."""
+    if files is None:
+        return df
+    return df.where(F.coalesce(files(text.decoded_path(F.col("_metadata.file_path"))), F.lit(False)))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", year: str | None = None) -> DataFrame:
@@ -44,9 +69,9 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", year: str | None
     return found if year is None else found.where(F.col("year") == str(year))
 
 
-def _lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+def _lines(spark: SparkSession, paths: str | list[str], encoding: str, files: FileCondition | None) -> DataFrame:
     """Text lines with their file and their place in it."""
-    return spark.read.option("recursiveFileLookup", True).text(paths).select(
+    return _chosen(spark.read.option("recursiveFileLookup", True).text(paths), files).select(
         F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), "\r$", "").alias("line"),
         text.decoded_path(F.col("_metadata.file_path")).alias("file"),
         F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("place"),
@@ -74,26 +99,31 @@ def _named(header: Column) -> Column:
 def _by_header(rows: DataFrame, headers: DataFrame, paths, fixed: Sequence[str] | None = None) -> DataFrame:
     """Cells of each row under the names of its own file's header, in one table.
 
-    ``rows`` has file, place and cells; ``headers`` file, begin (its place) and names.  Rows up to the header are
-    dropped by place.  Only distinct column names come to the driver.  Rows of a file without a header keep nothing
-    but their file, with ``NO_HEADER`` set.
+    ``rows`` has file, place and cells; ``headers`` file, begin (its place) and names.  Where each name stands is worked
+    out once a file.  Rows up to the header are dropped by place.  Only distinct column names come to the driver.  Rows
+    of a file without a header keep nothing but their file, with ``NO_HEADER`` set.
     """
+    headers = kept_in_scratch(headers, "cabecalhos")
     if fixed is None:
         names = [r[0] for r in headers.select(F.explode("names")).distinct().collect()]
         if not names:
             raise ValueError(f"nenhum cabeçalho em {paths}")
         first = headers.agg(F.min_by("names", "file")).first()[0]
         names = [*first, *sorted(set(names) - set(first))]
-        known = F.col("names")
     else:
-        names, known = list(fixed), F.array(*map(F.lit, fixed))
-    joined = rows.join(headers, "file", "left").where(F.col("begin").isNull() | (F.col("place") > F.col("begin")))
-    joined = joined.withColumn("names", known)
-    fits = joined.where(F.col("names").isNull() | (F.size("cells") <= F.size("names")))
-    at = [F.array_position("names", F.lit(n)).cast("int") for n in names]
+        names = list(fixed)
+    known = headers.select("file", "begin", F.size("names").alias("width"), "names")
+    at = F.transform(F.array(*map(F.lit, names)), lambda n: (F.nullif(F.array_position("names", n), F.lit(0)) - 1).cast("int"))
+    known = known.withColumn("at", at).drop("names")
+    joined = join_checked(rows, known, "file", "left", max_rows=HEADER_FILES)
+    if fixed is not None:
+        order = F.array(*(F.lit(k) for k in range(len(names))))
+        joined = joined.withColumn("at", order).withColumn("width", F.lit(len(names)))
+    below = joined.where(F.col("begin").isNull() | (F.col("place") > F.col("begin")))
+    fits = below.where(F.col("width").isNull() | (F.size("cells") <= F.col("width")))
     return fits.select(
-        *[text.missing_to_null(F.when(k > 0, F.get("cells", k - 1))).alias(n) for n, k in zip(names, at)],
-        F.col("names").isNull().alias(NO_HEADER),
+        *[text.missing_to_null(F.get("cells", F.get("at", F.lit(k)))).alias(n) for k, n in enumerate(names)],
+        F.col("width").isNull().alias(NO_HEADER),
         F.col("file").alias(SOURCE_FILE),
     )
 
@@ -114,18 +144,24 @@ def read_weather_csv(
     columns: Sequence[str] | None = None,
     encoding: str = "ISO-8859-1",
     strict: bool = True,
+    files: FileCondition | None = None,
+    scan_once: bool = False,
 ) -> DataFrame:
     """Hourly weather files: ``;``-separated, with a preamble above the header.
 
     All columns are strings, plus the source file name.  Each file is read under its own header line, wherever it
     stands; rows with too many cells are dropped, short ones padded.  With ``columns`` these names count, by position,
     in every file, with a header or without.  Else a file without a header is an error, or, unless ``strict``, rows with ``NO_HEADER`` set.
+    Only ``files`` that fit are opened.  Text is read twice, for headers and for rows; with ``scan_once`` it is read once
+    and its cells are kept in the scratch folder, which pays if the rows are used more than once.
     """
-    lines = _lines(spark, paths, encoding)
-    found = lines.where(F.col("line").rlike(WEATHER_HEADER)).groupBy("file").agg(F.min(F.struct("place", "line")).alias("h"))
-    headers = found.select("file", F.col("h.place").alias("begin"), _named(_split(F.col("h.line"), ";")).alias("names"))
-    rows = lines.where(F.trim("line") != "").select("file", "place", _split(F.col("line"), ";").alias("cells"))
-    return _checked(_by_header(rows, headers, paths, columns), strict)
+    lines = _lines(spark, paths, encoding, files).where(F.trim("line") != "")
+    rows = lines.select("file", "place", F.col("line").rlike(WEATHER_HEADER).alias("top"), _split(F.col("line"), ";").alias("cells"))
+    if scan_once:
+        rows = kept_in_scratch(rows, "linhas")
+    found = rows.where("top").groupBy("file").agg(F.min(F.struct("place", "cells")).alias("h"))
+    headers = found.select("file", F.col("h.place").alias("begin"), _named(F.col("h.cells")).alias("names"))
+    return _checked(_by_header(rows.drop("top"), headers, paths, columns), strict)
 
 
 def read_reference_csv(
@@ -133,13 +169,14 @@ def read_reference_csv(
     paths: str | list[str],
     columns: Sequence[str] | None = None,
     encoding: str = "UTF-8",
+    files: FileCondition | None = None,
 ) -> DataFrame:
     """Crop and soil files: ``,``-separated with a header line, all strings.
 
     Quoted cells may hold separators and line breaks.  Every file is read whole by one task, as its records may span
     lines, and under its own header.
     """
-    first = _lines(spark, paths, encoding).where((F.col("place.start") == 0) & (F.trim("line") != ""))
+    first = _lines(spark, paths, encoding, files).where((F.col("place.start") == 0) & (F.trim("line") != ""))
     first = first.groupBy("file").agg(F.min(F.struct("place", "line")).alias("h"))
     width = first.agg(F.max(F.size(_split(F.col("h.line"), ",")))).first()[0] or 0
     width = max(width, len(columns or ()))
@@ -157,7 +194,7 @@ def read_reference_csv(
     )
     filled = F.array(*fields, MULTILINE_OVERFLOW)
     held = F.array_max(F.transform(filled, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))
-    rows = records.select(
+    rows = _chosen(records, files).select(
         text.decoded_path(F.col("_metadata.file_path")).alias("file"),
         F.monotonically_increasing_id().alias("place"),
         F.slice(filled, F.lit(1), held).alias("cells"),
@@ -170,10 +207,13 @@ def read_reference_csv(
 def read_raw(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
     """Raw Parquet under ``root/year=*/``, keeping ``year`` as a string.
 
-    A year filter prunes partitions at planning time.  Columns that only some files have are kept, and the partition
-    by file that ``write_raw`` adds is dropped.
+    A year filter prunes partitions at planning time.  Columns that only some files have are kept.  A store of
+    ``write_raw`` tells its columns, so no file is opened for them; of other trees all files' schemas are merged.
     """
-    df = spark.read.option("basePath", root).option("mergeSchema", True).parquet(root).drop(FILE_KEY)
+    if store_columns(spark, root):
+        df = read_store(spark, root)
+    else:
+        df = spark.read.option("basePath", root).option("mergeSchema", True).parquet(root)
     if "year" in df.columns:
         df = df.withColumn("year", F.col("year").cast("string"))
         if year is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -24,3 +24,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 def _context_folder(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
+
+
+def kept_in_scratch(df: DataFrame, name: str) -> DataFrame:
+    """The table written to a new scratch folder and read again, so that no use of it works it out a second time."""
+    place = scratch_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from agrometry.operators.bronze import SOURCE_FILE
+from agrometry.sources.raw_store import BUCKETS, replace_files
 
 CHUNK_ROWS = 500_000
-# Partition of a raw table that holds one source file.
-FILE_KEY = "arquivo"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -27,18 +25,14 @@ def _balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def write_raw(df: DataFrame, path: str, year_column: str = "year") -> None:
-    """All-string Parquet under ``path/year=<y>/arquivo=<file>/``; rows without a year go to ``raw``.
+def write_raw(df: DataFrame, path: str, year_column: str = "year", buckets: int = BUCKETS) -> None:
+    """All-string Parquet by year in a raw store; rows without a year go to ``raw``.
 
     Only the source files in ``df`` are replaced; what other runs have written of other files stays.
     """
     text = as_text(df)
     year = F.col(year_column) if year_column in df.columns else F.lit(None).cast("string")
-    dated = text.withColumn("year", F.coalesce(year.cast("string"), F.lit("raw")))
-    name = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit("")
-    keyed = dated.withColumn(FILE_KEY, F.substring(F.sha2(F.encode(F.coalesce(name, F.lit("")), "UTF-8"), 256), 1, 24))
-    writer = _balanced(keyed, "year", FILE_KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("year", FILE_KEY).parquet(path)
+    replace_files(text.withColumn("year", F.coalesce(year.cast("string"), F.lit("raw"))), path, buckets)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> None:

@@ -93,7 +93,7 @@ def test_ingest_rejects_whole_files(spark, tmp_path):
     raw = readers.read_raw(spark, str(tmp_path / "raw"))
     assert {r.year for r in raw.collect()} == {"2025"} and set(t for _, t in raw.dtypes) == {"string"}
     with pytest.raises(ValueError):
-        ingest(spark, rows, str(src), str(tmp_path / "raw2"), rulesets.CLIMATE, year="2024")
+        ingest_source(spark, "clima", str(src), str(tmp_path / "raw2"), year="2024")
 
 
 def test_raw_round_trip_keeps_year_and_nulls(spark, tmp_path):
@@ -193,6 +193,42 @@ def test_quoted_separators_and_line_breaks(spark, tmp_path):
     assert {tuple(r)[:2] for r in rows} == {("Cafe, milho, soja, uva", "grao"), ("Linha\nquebrada", 'diz "a"'), ("Curta", None)}
 
 
+def _files(folder):
+    return [f for f in folder.rglob("*.parquet")]
+
+
+def test_raw_store_has_a_bounded_number_of_files(spark, tmp_path):
+    rows = [(str(2000 + k % 3), f"file:/x/{k}.csv", str(k)) for k in range(900)]
+    df = spark.createDataFrame(rows, f"year string, {SOURCE_FILE} string, v string").repartition(8)
+    writers.write_raw(df, str(tmp_path / "r"), buckets=4)
+    assert len(_files(tmp_path / "r")) <= 12
+    writers.write_raw(df.where("v < '5'"), str(tmp_path / "r"), buckets=99)
+    assert len(_files(tmp_path / "r")) <= 12 and readers.read_raw(spark, str(tmp_path / "r")).count() == 900
+
+
+def test_changed_files_and_removed_rows(spark, tmp_path):
+    path, schema = str(tmp_path / "r"), f"year string, {SOURCE_FILE} string, v string"
+    held = {("2024", f"f{k}", f"{k}.{i}") for k in range(40) for i in range(3)} | {("2025", "f1", "z"), ("2024", None, "n")}
+    writers.write_raw(spark.createDataFrame(sorted(held, key=str), schema), path, buckets=3)
+    brought = {("2024", "f1", "1.0"), ("2024", "f7", "7.0"), ("2024", "f7", "new"), ("2026", "f7", "y"), ("2024", None, "m")}
+    writers.write_raw(spark.createDataFrame(sorted(brought, key=str), schema), path)
+    keys = {r[:2] for r in brought}
+    want = {r for r in held if r[:2] not in keys} | brought
+    assert sorted(map(str, (tuple(r) for r in readers.read_raw(spark, path).select("year", SOURCE_FILE, "v").collect()))) == sorted(map(str, want))
+
+
+def test_a_store_is_read_without_its_footers(spark, tmp_path):
+    path, schema = tmp_path / "r", f"year string, {SOURCE_FILE} string, v string"
+    writers.write_raw(spark.createDataFrame([("2024", "a", "1"), ("2025", "b", "2")], schema), str(path))
+    writers.write_raw(spark.createDataFrame([("2025", "c", "3", "w")], schema + ", extra string"), str(path))
+    for part in (path / "year=2024").rglob("*.parquet"):
+        part.write_bytes(b"broken")
+    for check in path.rglob(".*.crc"):
+        check.unlink()
+    back = readers.read_raw(spark, str(path), year="2025")
+    assert {(r.v, r.extra) for r in back.collect()} == {("2", None), ("3", "w")}
+
+
 def test_raw_writes_replace_only_their_files(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = [("2023", "a", "1"), ("2024", "b", "2"), ("2024", "c", "3")]
@@ -213,3 +249,26 @@ def test_ingest_of_one_source_filters_files(spark, tmp_path):
     second = ingest_source(spark, "clima", str(src), raw, file_filter=lambda name: name.contains("2024"))
     assert second.first().total_arquivos == 1
     assert {r.year for r in readers.read_raw(spark, raw).collect()} == {"2024", "2025"}
+
+
+def test_files_that_are_not_chosen_are_never_opened(spark, tmp_path):
+    src = tmp_path / "src"
+    for year in ("2024", "2025"):
+        station_file(src / year / f"{NAME.replace('2025', year)}.CSV", [f"{year}/01/01;0000 UTC;0,2;23,5"])
+    (src / "2025" / "quebrado.csv.gz").write_bytes(b"\x1f\x8bno gzip at all")
+    (src / "2025" / "outro.csv.gz").write_bytes(b"\x1f\x8bno gzip either")
+    with pytest.raises(Exception, match="gz"):
+        ingest_source(spark, "clima", str(src), str(tmp_path / "raw"))
+    chosen = ingest_source(spark, "clima", str(src), str(tmp_path / "raw"), year="2024").first()
+    assert (chosen.total_arquivos, chosen.arquivos_ingeridos) == (1, 1)
+    named = ingest_source(spark, "clima", str(src), str(tmp_path / "raw"), year="2025", file_filter=lambda path: path.endswith(".CSV"))
+    assert named.first().total_arquivos == 1
+    assert readers.read_reference_csv(spark, str(src), encoding="ISO-8859-1", files=lambda path: path.contains("2024")).count() > 0
+
+
+def test_ingest_scans_the_lines_once(spark, tmp_path):
+    station_file(tmp_path / "2025" / f"{NAME}.CSV", ["2025/01/01;0000 UTC;0,2;23,5"])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    once = plan(readers.read_weather_csv(spark, str(tmp_path), strict=False, scan_once=True))
+    assert " text" not in once and once.count("Relation [") <= 2
+    assert plan(readers.read_weather_csv(spark, str(tmp_path), strict=False)).count(" text") == 1
