@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,14 @@ TOKEN_PENALTY = 32
 FREE_STEP = 64
 #: Windows at the end of a block that may still change.
 OPEN_WINDOWS = 4
-#: A worker forgets its words, and their parts, beyond so many (a cache, not a limit of results).
-REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 800_000
+#: A worker forgets its words beyond so many (a cache, not a limit of results).
+REMEMBERED_WORDS = 500_000
 
 _SENTENCE_ENDS = tuple(end + quote for end in (b".", b"!", b"?", "…".encode(), "。".encode()) for quote in (b"", b'"', b"'", b")", b'")', "”".encode(), "»".encode()))
+#: How the vocabulary marks the last token of a word.
+_WORD_END = "</w>"
+#: So many words of letters are encoded as one text.
+_TOGETHER = 1000
 _ROW = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -53,11 +57,34 @@ _ROW = pa.schema(
 _DDL = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+def _divided(texts: list[bytes], control: list[bytes]) -> Iterator[bytes]:
+    """Texts in lower case (A-Z), with a blank before every stop or comma between a letter and white space.
+
+    A text that would hold a control token in lower case keeps its case, as the tokenizer looks for these first.
+    """
+    offsets = np.cumsum([0, *map(len, texts)])
+    # a blank after each text, so that its last sign has one too
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    data = arrays.LOWER[raw]
+    offsets += np.arange(len(offsets))
+    whole = data.tobytes()
+    if any(token in whole for token in control):
+        for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
+            if any(token in text.lower() for token in control):
+                data[a:b] = raw[a:b]
+    stop = np.flatnonzero((data[1:-1] == 0x2E) | (data[1:-1] == 0x2C)) + 1
+    stop = stop[(data[stop - 1] >= 0x61) & (data[stop - 1] <= 0x7A) & ~arrays.BLANK_WORDS[data[stop + 1]]]
+    whole = np.insert(data, stop, 0x20).tobytes()
+    offsets = (offsets + np.searchsorted(stop, offsets)).tolist()
+    return (whole[a:b] for a, b in zip(offsets[:-1], offsets[1:]))
+
+
 class Encoder:
     """Token ids of texts.
 
-    The vocabulary drops white space, lowers case and parts letters from signs.  So each blank-separated word is looked
-    up once and kept; a word of letters with full stops or commas after it is the lower-case word and the signs.
+    The vocabulary drops white space, lowers case and parts letters from signs.  So texts are lowered (A-Z) and a full
+    stop or comma between a letter and white space becomes a word of its own, which changes no id; each blank-separated
+    word is then looked up once and kept.
     """
 
     def __init__(self, path: str):
@@ -67,65 +94,65 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.forget_parts()
-
-    def forget_parts(self) -> None:
-        """Part 0 is the end token, part 1 is nothing."""
-        self.parts: dict[str | None, int] = {None: 0, "": 1}
-        self.ids = np.array([END_TOKEN], np.uint32)
-        self.first = np.array([0, 1, 1])
-        self.forget_words()
-
-    def forget_words(self) -> None:
-        """A word is two parts; word 0 is the end of a text."""
+        self.control = [token.content.lower().encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Word 0 is the end of a text."""
         self.words: dict[bytes | None, int] = {None: 0}
-        self.pairs = np.array([[0, 1]])
+        self.ids = np.array([END_TOKEN], np.uint32)
+        self.first = np.array([0, 1])
         self.ends_sentence = np.array([False])
 
-    def learn(self, new: list[bytes]) -> None:
-        parts, unknown, pairs = self.parts, [], []
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(".,")
-            if core.isalpha() and max(core) < "\u0130":
-                key, tail = core.lower(), text[len(core) :]
-            else:
-                key, tail = text, ""
-            for part in (key, tail):
-                if part not in parts:
-                    parts[part] = len(parts)
-                    unknown.append(part)
-            pairs.append((parts[key], parts[tail]))
-        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
-        self.ids = np.concatenate([self.ids, flat])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        self.pairs = np.concatenate([self.pairs, np.array(pairs)])
-        closed = [w.endswith(_SENTENCE_ENDS) for w in new]
-        self.ends_sentence = np.concatenate([self.ends_sentence, np.array(closed, bool)])
+    def learn(self, new: set[bytes]) -> None:
+        texts = [(word, word.decode("utf-8", "replace")) for word in new]
+        plain, other = [], []
+        for pair in texts:
+            text = pair[1]
+            (plain if text.isalpha() and (text.isascii() or max(text) < "\u0130") else other).append(pair)
+        flat, sizes = self._together([text for _, text in plain])
+        if len(sizes) != len(plain):
+            plain, other, flat, sizes = [], plain + other, flat[:0], sizes[:0]
+        alone = self._encoded([text for _, text in other])
+        more = np.fromiter(map(len, alone), np.int64, len(alone))
+        self.ids = np.concatenate([self.ids, flat, np.fromiter(chain.from_iterable(alone), np.uint32, int(more.sum()))])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([sizes, more]))])
+        known = len(self.words)
+        self.words.update(zip((word for word, _ in chain(plain, other)), range(known, known + len(new))))
+        closed = np.zeros(len(new), bool)
+        closed[len(plain) :] = [word.endswith(_SENTENCE_ENDS) for word, _ in other]
+        self.ends_sentence = np.concatenate([self.ends_sentence, closed])
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters in a row, and how many each has: many are encoded as one text, which blanks divide."""
+        texts = [" ".join(words[at : at + _TOGETHER]) for at in range(0, len(words), _TOGETHER)]
+        flat = np.fromiter(chain.from_iterable(self._encoded(texts)), np.uint32)
+        return flat, np.diff(np.flatnonzero(self.ends_word[flat]), prepend=-1)
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row with their end tokens, the end of each text, and the ends of sentences."""
-        if len(self.parts) > REMEMBERED_PARTS:
-            self.forget_parts()
-        elif len(self.words) > REMEMBERED_WORDS:
-            self.forget_words()
+        if len(self.words) > REMEMBERED_WORDS:
+            self.forget()
         found: list[bytes | None] = []
-        for text in texts:
+        for text in _divided(texts, self.control):
             found += text.split()
             found.append(None)
-        new = set(found) - self.words.keys()
-        if new:
-            self.learn(list(new))
-        word = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
-        part = self.pairs[word].ravel()
-        sizes = self.first[part + 1] - self.first[part]
+        word = np.fromiter(map(self.words.get, found, repeat(-1)), np.int64, len(found))
+        unknown = np.flatnonzero(word < 0)
+        if len(unknown):
+            missed = [found[k] for k in unknown.tolist()]
+            self.learn(set(missed))
+            word[unknown] = np.fromiter(map(self.words.__getitem__, missed), np.int64, len(missed))
+        sizes = self.first[word + 1] - self.first[word]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - sizes - self.first[part], sizes)
-        ends = ends[1::2]
+        place = np.arange(total) - np.repeat(ends - sizes - self.first[word], sizes)
         sentence = np.unique(ends[self.ends_sentence[word] & (ends > 0)])
         return self.ids[place], ends[word == 0], sentence
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -53,3 +54,18 @@ def test_small_blocks_stay_open(monkeypatch):
         cuts += sum(b.num_rows for b in stream.cut(last=False))
     pieces = sum(b.num_rows for b in stream.cut(last=True))
     assert cuts > 0 and pieces > 0 and len(stream.ids) == 0
+
+
+def test_ids_of_hostile_texts_are_those_of_the_tokenizer():
+    plain, mine = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    draw = random.Random(6)
+    parts = [
+        "a", "Word", "é", "É", "é", "ſ", "K", "İ", "ı", "Σ", "ς", "ß", "ŉ", "ǅ", "ﬁ", "日本", "ّ", "٣", "3", ".", ",", ".,", "...", "…", "”", "'s", "'S", "'re", "$$$", "#", "-", "_", "\\", "<|endoftext|>",
+        "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "</w>", "\x00", "\x1c", "\x85", "\xa0", " ", "​", "　", " ", "\t", "\n", "\r\n", "\x0b", "\x0c", "ing", "THE", "the.", "x.y", "1.5", "😀", "﻿", "�",
+    ]
+    texts = ["".join(draw.choice(parts) + draw.choice(["", "", " "]) for _ in range(draw.randrange(0, 14))) for _ in range(6000)]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        ids, ends, _ = mine.encode([t.encode() for t in some])
+        for text, got in zip(some, np.split(ids, ends)[:-1]):
+            assert got.tolist() == plain.encode(text, add_special_tokens=False).ids + [1], repr(text)
