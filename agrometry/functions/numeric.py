@@ -1,24 +1,27 @@
-"""Exact means and totals, rounded half-up.
+"""Exact means and totals, rounded half-up, once.
 
 Floating-point sums depend on the order in which partitions arrive, so the
 same table can round to two different values on two runs.  Sums therefore add
-whole parts and billionths in 64-bit integers, which is exact, independent of
-partitioning, and as cheap as double sums inside whole-stage codegen.  A group
-with a value of a billion or more, where the whole parts could overflow, is
-summed as doubles instead; no value is cut off or left out.  Values that are
-not finite count as missing.
+thousandths and what is left of them in 64-bit integers, which is exact,
+independent of partitioning, and as cheap as double sums inside whole-stage
+codegen.  Each value counts with the decimals that a double shows: twelve under
+a thousand, nine under a million, six under a billion.  Larger values, where
+the integers could overflow, are added as doubles; no value is cut off or left
+out.  A mean is rounded from the exact quotient, by whole-number division.
+Values that are not finite count as missing.
 """
 
 from __future__ import annotations
 
 import sys
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PART = 1_000_000_000
-BILLIONTH = Decimal("0.000000001")
+# Values from here on are added as doubles.
+LARGE = 1e9
+# The integers count thousandths, and 10**-12 within a thousandth.
+_THOUSANDTHS, _UNITS = 1_000, 1_000_000_000
 
 
 def finite(value: Column) -> Column:
@@ -28,28 +31,47 @@ def finite(value: Column) -> Column:
 
 
 def _sum(value: Column) -> tuple[Column, Column]:
-    """The exact sum as a decimal, NULL for a group with huge values, and the sum as a double."""
+    """The exact sum of a group in units of 10**-12, and the sum of its large values (NULL without any)."""
     number = finite(value)
-    small = F.when(F.abs(number) < PART, number)
-    whole = F.floor(small)
-    rest = F.rint((small - whole) * float(PART)).cast("bigint")
-    exact = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * F.lit(BILLIONTH)
-    return F.when(F.max(F.abs(number)) < PART, exact), F.sum(number)
+    size = F.abs(number)
+    scaled = F.when(size < LARGE, number) * float(_THOUSANDTHS)
+    whole = F.floor(scaled)
+    # more digits than a double holds would turn 0.3 into 0.29999999999
+    step = F.when(size < 1e3, 1.0).when(size < 1e6, 1e3).otherwise(1e6)
+    rest = (F.rint((scaled - whole) * (float(_UNITS) / step)) * step).cast("bigint")
+    exact = F.sum(whole).cast("decimal(38,0)") * F.lit(_UNITS) + F.sum(rest)
+    return exact.cast("decimal(38,0)"), F.sum(F.when(size >= LARGE, number))
 
 
 def rounded(value: Column, places: int = 1) -> Column:
-    """Half-up rounding on exact decimals, never on binary floats."""
-    return F.round(value.try_cast("decimal(28,6)"), places)
+    """Half-up rounding of the decimals that a double shows."""
+    return F.round(value.cast("double"), places)
+
+
+def _quotient(units: Column, count: Column, places: int) -> Column:
+    """Units of 10**-12 divided by a count, rounded half-up in whole numbers."""
+    one = F.lit(_THOUSANDTHS * _UNITS).cast("decimal(13,0)")
+    twice = F.abs(units) * F.lit(2 * 10**places) + count.cast("decimal(20,0)") * one
+    steps = F.call_function("div", twice.cast("decimal(38,0)"), (count.cast("decimal(20,0)") * one * 2).cast("decimal(38,0)"))
+    return F.when(units < 0, -steps).otherwise(steps) / F.lit(float(10**places))
+
+
+def _joined(exact: Column, large: Column, exactly: Column, places: int, count: Column | None = None) -> Column:
+    """The exact result, or, in a group with large values, that of the sum of doubles."""
+    plain = F.coalesce(exact.cast("double") / float(_THOUSANDTHS * _UNITS), F.lit(0.0)) + large
+    plain = plain if count is None else plain / count
+    return F.when(large.isNull(), exactly).otherwise(rounded(plain, places))
 
 
 def mean(value: Column, places: int = 1) -> Column:
-    exact, plain = _sum(value)
-    return rounded(F.coalesce(exact.cast("double"), plain) / F.count(finite(value)), places)
+    exact, large = _sum(value)
+    count = F.count(finite(value))
+    return _joined(exact, large, F.when(count > 0, _quotient(exact, count, places)), places, count)
 
 
 def total(value: Column, places: int = 1) -> Column:
-    exact, plain = _sum(value)
-    return F.coalesce(F.round(exact, places).cast("decimal(28,6)"), rounded(plain, places)).cast(f"decimal(28,{places})")
+    exact, large = _sum(value)
+    return _joined(exact, large, _quotient(exact, F.lit(1), places), places)
 
 
 def lowest(value: Column, places: int = 1) -> Column:
@@ -65,8 +87,8 @@ def as_double(value: Column) -> Column:
 
 
 def as_numeric(value: Column) -> Column:
-    """The type of a one-decimal warehouse measure; fits a long."""
-    return value.cast("decimal(16,1)")
+    """The type of a one-decimal warehouse measure, whatever its size."""
+    return value.cast("decimal(38,1)")
 
 
 def first_below(value: Column, limits, other) -> Column:

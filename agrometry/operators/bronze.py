@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from agrometry.functions import crops, text
+from agrometry.operators.metrics import counted_on_write
 
 SOURCE_FILE = "arquivo_origem"
 
@@ -80,15 +81,17 @@ def with_station(df: DataFrame, path_column: str = SOURCE_FILE) -> DataFrame:
     return labelled.withColumns(text.station_columns(F.col("_path"), F.col("_label"))).drop("_path", "_label")
 
 
-def bronze_climate(raw: DataFrame) -> DataFrame:
-    """Raw weather rows to the bronze climate table."""
-    return (
+def bronze_climate(raw: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Raw weather rows to the bronze climate table; ``counts`` observes rows before and after cleaning."""
+    typed = (
         with_source_file(raw)
         .transform(rename_weather_columns)
         .transform(select_climate_columns, SOURCE_FILE)
         .transform(type_climate_columns)
-        .transform(drop_undated)
-        .transform(with_station)
+    )
+    dated = drop_undated(typed) if counts is None else counted_on_write(typed, counts)
+    return (
+        dated.transform(with_station)
         .drop(SOURCE_FILE)
         .transform(with_layer, "bronze")
     )

@@ -133,6 +133,11 @@ def crop_ranking(fact: DataFrame, best: int = 10) -> DataFrame:
     )
 
 
+def in_crop_order(fact: DataFrame) -> DataFrame:
+    """By crop and season name, then year and station."""
+    return fact.orderBy("cultura", "estacao", *[c for c in ("ano", "estacao_codigo") if c in fact.columns])
+
+
 def risk_distribution(fact: DataFrame) -> DataFrame:
     """Pairs of each season and class, of a fact or of ``risk_counts``."""
     return fact.groupBy("estacao", "risco_geral").agg(F.sum(_pairs(fact)).alias("count"))

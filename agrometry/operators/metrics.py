@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def counted_on_write(typed: DataFrame, counts: Observation, kept: str = "data IS NOT NULL") -> DataFrame:
+    """The rows that a filter keeps; the query that writes them counts all on the way, without a scan of its own."""
+    seen = typed.observe(counts, F.count("*").alias("registros_antes"), F.count_if(F.expr(kept)).alias("registros_depois"))
+    return seen.where(kept)
+
+
+def cleaning_facts(counts: Observation) -> dict[str, int]:
+    """What was counted, once the writing query has ended."""
+    before, after = (counts.get[name] for name in ("registros_antes", "registros_depois"))
+    return {"registros_antes": before, "registros_depois": after, "removidos": before - after}
+
+
 def cleaning_counts(typed: DataFrame, kept: str = "data IS NOT NULL") -> DataFrame:
     """Rows before and after a filter, and how many it removes."""
     before, after = F.count("*"), F.count_if(F.expr(kept))

@@ -79,6 +79,15 @@ def in_season_order(df: DataFrame) -> DataFrame:
     return df.orderBy(calendar.season_order(F.col("estacao")), *rest)
 
 
+def in_date_order(df: DataFrame) -> DataFrame:
+    """By date, then station."""
+    return df.orderBy("data", *[c for c in ("estacao_codigo", "estacao_nome", "uf") if c in df.columns])
+
+
+def in_month_order(df: DataFrame) -> DataFrame:
+    return df.orderBy("ano", "mes", *[c for c in ("estacao_codigo",) if c in df.columns])
+
+
 def enrich_crops(bronze: DataFrame) -> DataFrame:
     low, high = F.col("temp_min_ideal"), F.col("temp_max_ideal")
     middle = crops.midpoint(low, high)

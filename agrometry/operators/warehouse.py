@@ -17,36 +17,36 @@ from agrometry.operators.joins import pair_all
 STATION = ("estacao_codigo", "estacao_nome", "uf")
 
 
+_DAY = "CAST(data AS date)"
+_CLIMATE = {
+    **{c: c for c in STATION}, "data": _DAY, "hora_utc": "hora_utc", "ano": f"year({_DAY})", "mes": f"month({_DAY})",
+    **{c: f"CAST({c} AS double)" for c in MEASURES},
+}
+_CROPS = {
+    **{c: c for c in ("cultura", "categoria", "clima_ideal")},
+    **{c: f"CAST({c} AS int)" for c in ("temp_min_ideal", "temp_max_ideal")},
+    "necessidade_de_agua": "necessidade_de_agua",
+    "necessidade_agua_score": "CAST(necessidade_agua_score AS int)",
+    **{c: f"CAST({c} AS boolean)" for c in ("tolerante_seca", "tolerante_frio", "sensivel_frio", "sensivel_calor")},
+}
+
+
+def _selected(columns: dict[str, str]) -> str:
+    return ", ".join(f"{value} AS {name}" for name, value in columns.items())
+
+
+# Both staging models as SQL over ``{bronze}``: a table's name makes a view, a DataFrame a plan.
+STAGED_CLIMATE = f"SELECT DISTINCT {_selected(_CLIMATE)} FROM {{bronze}} WHERE data IS NOT NULL AND coalesce(temperatura_c BETWEEN -40 AND 60, true)"
+STAGED_CROPS = f"SELECT {_selected(_CROPS)} FROM {{bronze}} WHERE cultura IS NOT NULL"
+
+
 def staged_climate(bronze: DataFrame) -> DataFrame:
     """Typed hourly rows with a date and a possible temperature, each once."""
-    temp = F.col("temperatura_c")
-    d = F.col("data").cast("date")
-    return (
-        bronze.where(F.col("data").isNotNull() & (temp.isNull() | temp.between(-40, 60)))
-        .select(
-            *STATION,
-            d.alias("data"),
-            "hora_utc",
-            F.year(d).alias("ano"),
-            F.month(d).alias("mes"),
-            *[F.col(c).cast("double").alias(c) for c in MEASURES],
-        )
-        .distinct()
-    )
+    return bronze.sparkSession.sql(STAGED_CLIMATE, bronze=bronze)
 
 
 def staged_crops(bronze: DataFrame) -> DataFrame:
-    ints = {"temp_min_ideal", "temp_max_ideal", "necessidade_agua_score"}
-    flags = {"tolerante_seca", "tolerante_frio", "sensivel_frio", "sensivel_calor"}
-    columns = (
-        "cultura", "categoria", "clima_ideal", "temp_min_ideal", "temp_max_ideal",
-        "necessidade_de_agua", "necessidade_agua_score",
-        "tolerante_seca", "tolerante_frio", "sensivel_frio", "sensivel_calor",
-    )
-    kinds = {**dict.fromkeys(ints, "int"), **dict.fromkeys(flags, "boolean")}
-    return bronze.where(F.col("cultura").isNotNull()).select(
-        *[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in columns]
-    )
+    return bronze.sparkSession.sql(STAGED_CROPS, bronze=bronze)
 
 
 def monthly_climate(staged: DataFrame) -> DataFrame:

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from agrometry.functions.calendar import season_order as season_place
+from agrometry.functions.numeric import as_numeric, highest, lowest, mean, total
 from agrometry.functions.suitability import advice
 from agrometry.operators import bronze, gold, metrics, silver, warehouse
-from agrometry.plans import inputs
+from agrometry.plans import inputs, jobs
+from agrometry.plans.ingest import ingest_source
 from agrometry.plans.inputs import HUMIDITY, RAIN, TEMPERATURE, TEMPERATURE_MAX
+from agrometry.plans.warehouse import build_models
 from agrometry.sources.scratch import scratch_folder
 from agrometry.quality import rulesets
-from agrometry.quality.rules import DataType, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns
+from agrometry.quality.rules import Check, DataType, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns, Rule
 from agrometry.quality.runner import (
-    file_errors, file_status, file_summary, profile, report, split_by_file, stored_summary,
+    file_errors, isolated_lines, profile, report, split_by_file, stored_summary, validate_file,
 )
 from agrometry.sources import readers, writers
 
@@ -177,8 +181,41 @@ def _quality(source: Query, *rules) -> Query:
     return run
 
 
-def _absent_weather(spark, folder):
-    return inputs.raw_weather(spark, folder).where(F.col("Data") == "ausente")
+def not_empty(spark, folder):
+    """Stations without a reading (a join that finds none) beside those with readings."""
+    stations, items = inputs.table(spark, folder, "supplier"), _line_items(spark, folder)
+    idle = stations.join(items, stations["s_suppkey"] == items["l_suppkey"], "left_anti")
+    busy = stations.join(items, stations["s_suppkey"] == items["l_suppkey"], "left_semi")
+    shown = ("rule", "column", "severity", "rows_affected")
+    told = [report(df, [NotEmpty()], samples=False).select(F.lit(name).alias("tabela"), *shown) for name, df in (("sem_leituras", idle), ("com_leituras", busy))]
+    return told[0].union(told[1])
+
+
+class _Failing(Rule):
+    """A rule that raises in the data: on the first date it meets."""
+
+    name = "regra_quebrada"
+
+    def checks(self, df):
+        dated = F.when(F.col("Data").contains("/"), F.raise_error(F.lit("valor impossível")).cast("int"))
+        return [Check(self.name, "Data", lambda n: F.lit("nunca"), affected=F.count(dated))]
+
+
+def rule_crash(spark, folder):
+    rules = [NotNull(rulesets.WEATHER_KEYS), _Failing(), rulesets.TEMPERATURE, rulesets.HUMIDITY]
+    lines = isolated_lines(inputs.raw_weather(spark, folder), rules, samples=False)
+    rows = [(k["rule"], k["column"], k["severity"], k["rows_affected"]) for k in lines]
+    return spark.createDataFrame(rows, "rule string, column string, severity string, rows_affected bigint")
+
+
+def validated_file(spark, folder):
+    """A Parquet file judged by its path: the result's lines, with its totals."""
+    path = scratch_folder(spark, "julgado")
+    inputs.raw_weather(spark, folder).write.parquet(path)
+    found = validate_file(spark, path, rulesets.CLIMATE, fail_on_error=False).to_dict()
+    totals = (found["is_valid"], found["total_rows"], found["error_count"], found["warning_count"])
+    rows = [(kind, k["rule"], k["column"], k["rows_affected"], *totals) for kind in ("errors", "warnings") for k in found[kind]]
+    return spark.createDataFrame(rows, "tipo string, rule string, column string, rows_affected bigint, is_valid boolean, total_rows bigint, error_count bigint, warning_count bigint")
 
 
 def _line_items(spark, folder):
@@ -228,18 +265,6 @@ def table_not_empty(spark, folder):
     return metrics.table_not_empty(inputs.hourly(spark, folder))
 
 
-def ingest_metrics(spark, folder):
-    """Files with rows, plus one empty file per supplier."""
-    rows = inputs.raw_weather(spark, folder)
-    full = rows.groupBy(bronze.SOURCE_FILE).agg((F.count("*") * 10).alias("bytes"))
-    empty = inputs.table(spark, folder, "supplier").select(
-        F.concat(F.lit("file:/raw/vazio/"), "s_name").alias(bronze.SOURCE_FILE), F.lit(10).cast("bigint").alias("bytes")
-    )
-    summary = file_summary(rows, rulesets.CLIMATE, bronze.SOURCE_FILE)
-    status = file_status(full.union(empty), summary, bronze.SOURCE_FILE)
-    return metrics.ingest_metrics(status)
-
-
 # Round trips through files and tables -------------------------------------
 
 
@@ -279,23 +304,67 @@ def gold_partition_roundtrip(spark, folder):
 RAIN_SPELLINGS = (RAIN, "PRECIPITACAO TOTAL HORARIO", "Precipitação Total (mm)")
 
 
-def _station_files(spark, folder, spellings) -> str:
-    """Station files in three parts: a preamble line, a header, rows; each part's header spells rain its own way."""
-    path = scratch_folder(spark, "csv")
-    rows = inputs.raw_weather(spark, folder)
-    part = F.pmod(F.col("Hora UTC").substr(1, 2).cast("int"), F.lit(3))
-    names = [c for c in rows.columns if c != bronze.SOURCE_FILE]
+def _station_number():
+    return F.regexp_extract(bronze.SOURCE_FILE, "_A([0-9]+)_", 1).cast("bigint")
+
+
+def _csv_lines(rows: DataFrame, *folders: str) -> DataFrame:
+    """Rows as lines of a file for each of ``folders``: (folders, kind, value), where kind 2 is a line of data."""
+    names = [c for c in rows.columns if c not in (bronze.SOURCE_FILE, *folders)]
     cells = F.concat_ws(";", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names])
-    lines = rows.select(part.alias("part"), F.lit(2).alias("kind"), cells.alias("value"))
-    head = ";".join(names)
-    tops = []
-    for k in range(3):
-        tops += [(k, 0, "ESTACAO;" + str(k)), (k, 1, head.replace(RAIN, spellings[k]))]
-    every = lines.union(spark.createDataFrame(tops, "part int, kind int, value string"))
-    every.repartition("part").sortWithinPartitions("part", "kind").drop("kind").write.partitionBy("part").text(path)
+    return rows.select(*folders, F.lit(2).alias("kind"), cells.alias("value"))
+
+
+def _write_lines(lines: DataFrame, path: str, *folders: str) -> str:
+    """One file a folder, in the order of kinds."""
+    dealt = lines.repartition(*folders).sortWithinPartitions(*folders, "kind").drop("kind")
+    dealt.write.partitionBy(*folders).text(path)
     return path
 
 
+def _station_files(spark, folder, spellings) -> str:
+    """A file for ten stations each: a preamble line, a header, rows; by turns the header spells rain in three ways."""
+    rows = inputs.raw_weather(spark, folder).withColumn("part", F.floor(_station_number() / 10))
+    head = ";".join(c for c in rows.columns if c not in (bronze.SOURCE_FILE, "part"))
+    heads = F.get(F.array(*[F.lit(head.replace(RAIN, k)) for k in spellings]), F.pmod("part", F.lit(3)))
+    tops = F.array(F.struct(F.lit(0).alias("kind"), F.concat(F.lit("ESTACAO;"), "part").alias("value")), F.struct(F.lit(1).alias("kind"), heads.alias("value")))
+    tops = rows.select("part").distinct().select("part", F.inline(tops))
+    return _write_lines(_csv_lines(rows, "part").union(tops), scratch_folder(spark, "csv"), "part")
+
+
+def _station_tree(spark, folder) -> str:
+    """Weather files by ten stations and year.  Every third ten keeps rows without a date or with a false humidity."""
+    rows = inputs.raw_weather(spark, folder).withColumns(
+        {"part": F.floor(_station_number() / 10), "year": F.regexp_extract(bronze.SOURCE_FILE, "/raw/([0-9]+)/", 1)}
+    )
+    sound = (F.col("Data") != "nan") & F.col(f"`{HUMIDITY}`").cast("int").between(0, 100)
+    rows = rows.where((F.col("part") % 3 == 1) | F.coalesce(sound, F.lit(False)))
+    head = ";".join(c for c in rows.columns if c not in (bronze.SOURCE_FILE, "part", "year"))
+    tops = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(v).alias("value")) for k, v in enumerate(("ESTACOES", head))])
+    tops = rows.select("part", "year").distinct().select("part", "year", F.inline(tops))
+    return _write_lines(_csv_lines(rows, "part", "year").union(tops), scratch_folder(spark, "csv"), "part", "year")
+
+
+def ingest_metrics(spark, folder):
+    """All weather files judged and stored."""
+    return ingest_source(spark, "clima", _station_tree(spark, folder), scratch_folder(spark, "raw"), encoding="UTF-8")
+
+
+def ingest_filtered(spark, folder):
+    """One year's files of every second ten stations."""
+    tree, raw = _station_tree(spark, folder), scratch_folder(spark, "raw")
+    even = lambda path: path.rlike("part=[0-9]*[02468]/")
+    return ingest_source(spark, "clima", tree, raw, year="1997", file_filter=even, encoding="UTF-8")
+
+
+def ingest_stored(spark, folder):
+    """What an ingest leaves in the raw store: rows by year and file."""
+    raw = scratch_folder(spark, "raw")
+    ingest_source(spark, "clima", _station_tree(spark, folder), raw, encoding="UTF-8")
+    part = F.regexp_extract(bronze.SOURCE_FILE, "part=([0-9]+)/", 1).cast("bigint").alias("part")
+    return readers.read_raw(spark, raw).groupBy("year", part).agg(F.count("*").alias("linhas"))
+
+
 def csv_weather_scan(spark, folder):
     """Write station files with a preamble, read them back."""
     path = _station_files(spark, folder, (RAIN,) * 3)
@@ -348,16 +417,90 @@ def raw_mixed_schemas(spark, folder):
     return readers.read_raw(spark, path).groupBy("year").agg(F.count("*").alias("linhas"), F.count(F.col(f"`{HUMIDITY}`")).alias("com_umidade"))
 
 
+def _place(spark) -> tuple[str, str]:
+    """A new folder for tables, and a prefix for the names of new schemas."""
+    place = scratch_folder(spark, "tabelas")
+    return place, "carga_" + place.rsplit("-", 1)[-1][:12]
+
+
 def load_table(spark, folder):
     """Load with some blank states, which the table holds as NULL."""
     uf = F.when(F.col("uf") == "U07", "").otherwise(F.col("uf"))
-    place = scratch_folder(spark, "tabelas")
-    schema = "carga_" + place.rsplit("-", 1)[-1][:12]
+    place, schema = _place(spark)
     writers.load_table(dated(spark, folder).withColumn("uf", uf), "clima_horario", schema, location=place)
     loaded = readers.read_relation(spark, f"{schema}.clima_horario")
     return warehouse.rows_per_station(loaded)
 
 
+def load_again(spark, folder):
+    """A second load replaces the rows; a third one breaks half-way and changes nothing."""
+    place, schema = _place(spark)
+    rows = dated(spark, folder)
+    tables = {"clima": rows, "culturas": inputs.raw_crops(spark, folder)}
+    writers.load_tables(tables, "clima", schema, location=place)
+    writers.load_tables(tables | {"clima": rows.where("hora_utc <> '0100 UTC'")}, "todas", schema, location=place)
+    broken = F.when(F.col("hora_utc") == "0200 UTC", F.raise_error(F.lit("linha quebrada")).cast("string")).otherwise(F.col("uf"))
+    try:
+        writers.load_table(rows.withColumn("uf", broken), "clima", schema, location=place)
+    except PySparkException:
+        pass
+    return warehouse.rows_per_station(readers.read_relation(spark, f"{schema}.clima"))
+
+
+def warehouse_models(spark, folder):
+    """The mart as a table of its layer, built from stored models, read by another session."""
+    place, prefix = _place(spark)
+    build_models(spark, inputs.hourly(spark, folder), inputs.crops(spark, folder), place, prefix + "_")
+    return spark.newSession().table(f"{prefix}_gold.fct_risco_climatico")
+
+
+def lasting_view(spark, folder):
+    """A staging view in another session; it follows its table, which is loaded again after the view was made."""
+    place, prefix = _place(spark)
+    rows = inputs.hourly(spark, folder)
+    writers.load_table(rows.where("uf <> 'U07'"), "clima", prefix, location=place)
+    writers.create_view(spark, warehouse.STAGED_CLIMATE.format(bronze=f"`{prefix}`.clima"), "stg_clima", prefix, place)
+    writers.load_table(rows, "clima", prefix, location=place)
+    return warehouse.rows_per_station(spark.newSession().table(f"{prefix}.stg_clima"))
+
+
+def cleaned_on_write(spark, folder):
+    """Rows before and after cleaning, counted by the query that writes bronze."""
+    counts = Observation("limpeza")
+    writers.write_layer(bronze.bronze_climate(inputs.raw_weather(spark, folder), counts), scratch_folder(spark, "bronze"))
+    return spark.createDataFrame([metrics.cleaning_facts(counts)], "registros_antes bigint, registros_depois bigint, removidos bigint")
+
+
+def stored_layers(spark, folder):
+    """Silver tables from written Parquet files, each level from the one below."""
+    place = scratch_folder(spark, "camadas")
+    writers.write_layer(dated(spark, folder), f"{place}/bronze")
+    jobs.agregar_clima_diario(spark, f"{place}/bronze", f"{place}/diario")
+    jobs.agregar_clima_mensal(spark, f"{place}/diario", f"{place}/mensal")
+    return jobs.agregar_clima_estacional(spark, f"{place}/mensal", f"{place}/estacional")
+
+
+def previews(spark, folder):
+    """The first rows of three tables in their orders of display."""
+    shown = lambda df, name, *c: writers.sample_rows(df, 20).select(F.lit(name).alias("tabela"), *[F.col(k).cast("string").alias(f"c{i}") for i, k in enumerate(c)])
+    return (
+        shown(silver.in_date_order(daily(spark, folder)), "diario", "data", "estacao_codigo", "qtd_registros")
+        .union(shown(silver.in_month_order(monthly(spark, folder)), "mensal", "ano", "mes", "estacao_codigo"))
+        .union(shown(gold.in_crop_order(fact(spark, folder)), "fato", "cultura", "estacao", "ano"))
+    )
+
+
+def extreme_means(spark, folder):
+    """Means, limits and totals of values just under a tie, and of values beyond what a long holds."""
+    kind = F.pmod(F.substring("estacao_codigo", 2, 9).cast("bigint"), F.lit(4))
+    value = F.when(kind == 0, 0.0499999).when(kind == 1, 2.0**77).when(kind == 2, 2e15).otherwise(F.col("temperatura_c"))
+    measured = inputs.hourly(spark, folder).withColumn("v", value)
+    return measured.groupBy("estacao_codigo").agg(
+        as_numeric(mean(F.col("v"))).alias("media"), as_numeric(lowest(F.col("v"))).alias("minimo"),
+        as_numeric(highest(F.col("v"))).alias("maximo"), as_numeric(total(F.col("v"))).alias("total"),
+    )
+
+
 def queries() -> dict[str, Query]:
     weather, farms, soils = inputs.raw_weather, inputs.farms, inputs.soils
     found: dict[str, Query] = {
@@ -392,7 +535,9 @@ def queries() -> dict[str, Query]:
         "resumo_executivo": lambda s, f: gold.executive_summary(station_counts(s, f)),
         "top_versateis": lambda s, f: gold.most_versatile_crops(station_counts(s, f, "cultura", "categoria")),
         "top_arriscadas": lambda s, f: gold.riskiest_crops(station_counts(s, f, "cultura", "categoria")),
-        "dq_not_empty": _quality(_absent_weather, NotEmpty()),
+        "dq_not_empty": not_empty,
+        "dq_rule_crash": rule_crash,
+        "dq_validate_file": validated_file,
         "dq_required_columns": _quality(weather, RequiredColumns(("Data", "Hora UTC", "Estacao"))),
         "dq_not_null": _quality(weather, NotNull(rulesets.WEATHER_KEYS)),
         "dq_numeric_range": _quality(weather, NumericRange(TEMPERATURE_MAX, 15, 50)),
@@ -428,7 +573,16 @@ def queries() -> dict[str, Query]:
         "csv_quoted_cells": csv_quoted_cells,
         "ingest_two_runs": ingest_two_runs,
         "raw_mixed_schemas": raw_mixed_schemas,
+        "ingest_filtered": ingest_filtered,
+        "ingest_stored": ingest_stored,
         "load_table": load_table,
+        "load_again": load_again,
+        "warehouse_models": warehouse_models,
+        "lasting_view": lasting_view,
+        "clean_counts_on_write": cleaned_on_write,
+        "stored_layers": stored_layers,
+        "previews": previews,
+        "extreme_means": extreme_means,
     }
     return {name: _plain(query) for name, query in found.items()}
 

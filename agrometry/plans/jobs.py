@@ -1,5 +1,7 @@
 """Path-in, path-out form of each lake step, under its public name.
 
+Fixed values: the names of the jobs and of their parameters.
+
 Each job writes its table and returns it read back, so later actions on the
 result read the table and never work it out again.
 """
@@ -8,9 +10,10 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from agrometry.operators import bronze, gold, silver
+from agrometry.operators.metrics import cleaning_facts
 from agrometry.sources.readers import list_files, read_layer, read_raw, read_reference_csv, read_weather_csv
 from agrometry.sources.writers import write_layer
 
@@ -39,7 +42,10 @@ def processar_clima_bronze(spark: SparkSession, input_path: str, output_path: st
     raw = read_climate(spark, input_path)
     if unused := bronze.unused_weather_headers(raw.columns):
         logging.getLogger(__name__).warning("colunas sem uso na camada bronze: %s", unused)
-    return _stored(bronze.bronze_climate(raw), output_path)
+    counts = Observation("limpeza")
+    stored = _stored(bronze.bronze_climate(raw, counts), output_path)
+    logging.getLogger(__name__).info("limpeza: %s", cleaning_facts(counts))
+    return stored
 
 
 def processar_culturas_bronze(spark: SparkSession, input_path, output_path: str) -> DataFrame:

@@ -100,25 +100,31 @@ soils as (
 )"""
 
 
-def _exact(c: str) -> str:
-    return f"cast({c} as decimal(38,9))"
+def _units(c: str) -> str:
+    """A value in whole units of 10**-12, from its decimals."""
+    return f"cast(replace(cast(cast({c} as decimal(38,12)) as varchar), '.', '') as hugeint)"
+
+
+def _half_up(units: str, count: str, places: int) -> str:
+    """Units divided by a count and rounded once, in whole numbers; written as text, as a double shows it."""
+    steps = f"(abs({units}) * {2 * 10**places} + {count} * {10**12}::hugeint) // ({2 * 10**12}::hugeint * {count})"
+    return f"cast(sign({units}) * cast({steps} as double) / {10**places} as double)"
 
 
 def _mean(c: str) -> str:
-    x = _exact(c)
-    return f"cast(round(cast(cast(sum({x}) as double) / count({x}) as decimal(28,6)), 1) as double)"
+    return _half_up(f"sum({_units(c)})", f"nullif(count({c}), 0)", 1)
 
 
 def _total(c: str, places: int = 1) -> str:
-    return f"cast(round(sum({_exact(c)}), {places}) as double)"
+    return _half_up(f"sum({_units(c)})", "1", places)
 
 
 def _low(c: str) -> str:
-    return f"cast(round(min({_exact(c)}), 1) as double)"
+    return _half_up(f"min({_units(c)})", "1", 1)
 
 
 def _high(c: str) -> str:
-    return f"cast(round(max({_exact(c)}), 1) as double)"
+    return _half_up(f"max({_units(c)})", "1", 1)
 
 
 def _season(month: str, summer: str) -> str:
@@ -357,6 +363,33 @@ por_arquivo as (
 )"""
 
 
+_WEATHER_CELLS = ("Data", "Hora UTC", RAIN, TEMPERATURE, TEMPERATURE_MAX, DEW_MAX, HUMIDITY)
+_LINE = "concat_ws(';', " + ", ".join(f"coalesce(\"{c}\", '')" for c in _WEATHER_CELLS) + ")"
+_SOUND = f"coalesce(\"Data\" <> 'nan' and cast(\"{HUMIDITY}\" as int) between 0 and 100, false)"
+
+# Files by ten stations and year, with a line of title and a header.
+TREE = f"""
+lida as (
+  select *, cast(regexp_extract(arquivo_origem, '_A([0-9]+)_', 1) as bigint) // 10 as part,
+         regexp_extract(arquivo_origem, '/raw/([0-9]+)/', 1) as year, {_SOUND} as boa
+  from raw_weather
+),
+arquivo as (
+  select part, year, count(*) as linhas, count(*) filter (where not boa) as ruins,
+         sum(strlen({_LINE}) + 1) + strlen('ESTACOES') + strlen('{";".join(_WEATHER_CELLS)}') + 2 as bytes
+  from lida where boa or part % 3 = 1 group by part, year
+)"""
+
+
+def _ingested(files: str) -> str:
+    return f"""select count(*) as total_arquivos, count(*) filter (where ruins = 0) as arquivos_ingeridos,
+      count(*) filter (where ruins > 0) as arquivos_com_erro,
+      round(count(*) filter (where ruins = 0) * 100.0::double / count(*), 2) as taxa_sucesso,
+      cast(coalesce(sum(case when ruins = 0 then linhas end), 0) as bigint) as linhas_processadas,
+      cast(coalesce(sum(case when ruins = 0 then bytes end), 0) as bigint) as bytes_processados
+    from {files}"""
+
+
 def _blank(c: str) -> str:
     return f"""case when isnan(try_cast(replace("{c}", ',', '.') as float)) then null
       else try_cast(replace("{c}", ',', '.') as float) end"""
@@ -501,7 +534,21 @@ def sql() -> dict[str, str]:
             FACT_STATION, "select risco_geral, recomendacao, count(*) as linhas from fato_e group by all"
         ),
         # Data quality
-        "dq_not_empty": _with([RAW_WEATHER], _dq([NOT_EMPTY], "(select * from raw_weather where \"Data\" = 'ausente')")),
+        "dq_not_empty": "\nunion all ".join(
+            f"select '{name}' as tabela, * from ({_dq([NOT_EMPTY], f'(select * from supplier where s_suppkey {test} (select l_suppkey from lineitem))')})"
+            for name, test in (("sem_leituras", "not in"), ("com_leituras", "in"))
+        ),
+        "dq_rule_crash": _with(
+            [RAW_WEATHER],
+            _dq([*DQ_NOT_NULL, ("regra_quebrada", None, "ERROR", "0::bigint", "count(*) filter (where \"Data\" like '%/%') > 0"), *DQ_TEMPERATURE, *DQ_HUMIDITY], "raw_weather"),
+        ),
+        "dq_validate_file": _with(
+            [RAW_WEATHER, f"lines as ({_dq([NOT_EMPTY, *DQ_NOT_NULL, *DQ_TEMPERATURE, *DQ_HUMIDITY], 'raw_weather')})"],
+            """select case severity when 'WARNING' then 'warnings' else 'errors' end as tipo, rule, "column", rows_affected,
+                 count(*) filter (where severity = 'ERROR') over () = 0 as is_valid, (select count(*) from raw_weather) as total_rows,
+                 count(*) filter (where severity = 'ERROR') over () as error_count,
+                 count(*) filter (where severity = 'WARNING') over () as warning_count from lines""",
+        ),
         "dq_required_columns": _with([RAW_WEATHER], _dq(DQ_REQUIRED, "raw_weather")),
         "dq_not_null": _with([RAW_WEATHER], _dq(DQ_NOT_NULL, "raw_weather")),
         "dq_numeric_range": _with(
@@ -585,18 +632,9 @@ def sql() -> dict[str, str]:
                union all select 'total', (select count(*) from dated) + (select count(*) from raw_crops), 'success'""",
         ),
         "table_not_empty": _with([HOURLY], "select count(*) > 0 as tem_registros from hourly"),
-        "ingest_metrics": _with(
-            [RAW_WEATHER, FILE_COUNTS],
-            """, estado as (
-                 select linhas, linhas * 10 as bytes, sem_data = 0 and umidade_ruim = 0 as sucesso from por_arquivo
-                 union all select 0, 10, false from supplier)
-               select count(*) as total_arquivos, count(*) filter (where sucesso) as arquivos_ingeridos,
-                 count(*) filter (where not sucesso) as arquivos_com_erro,
-                 round(count(*) filter (where sucesso) * 100.0::double / count(*), 2) as taxa_sucesso,
-                 cast(coalesce(sum(case when sucesso then linhas end), 0) as bigint) as linhas_processadas,
-                 cast(coalesce(sum(case when sucesso then bytes end), 0) as bigint) as bytes_processados
-               from estado""".lstrip(),
-        ),
+        "ingest_metrics": _with([RAW_WEATHER, TREE], _ingested("arquivo")),
+        "ingest_filtered": _with([RAW_WEATHER, TREE], _ingested("(select * from arquivo where year = '1997' and part % 2 = 0)")),
+        "ingest_stored": _with([RAW_WEATHER, TREE], "select year, part, linhas from arquivo where ruins = 0"),
         # Round trips through files and tables
         "raw_roundtrip": _with(
             [RAW_WEATHER],
@@ -641,5 +679,29 @@ def sql() -> dict[str, str]:
             """select estacao_codigo, estacao_nome, nullif(uf, 'U07') as uf, count(*) as registros
                from dated group by all""",
         ),
+        "load_again": _with(
+            [HOURLY, DATED],
+            "select estacao_codigo, estacao_nome, uf, count(*) as registros from dated where hora_utc <> '0100 UTC' group by all",
+        ),
+        "lasting_view": _with([HOURLY, STAGED], "select estacao_codigo, estacao_nome, uf, count(*) as registros from staged group by all"),
+        "previews": _with(
+            FACT,
+            """select 'diario' as tabela, data::varchar as c0, estacao_codigo as c1, qtd_registros::varchar as c2
+                 from (select * from diario order by data, estacao_codigo limit 20)
+               union all select 'mensal', ano::varchar, mes::varchar, estacao_codigo
+                 from (select * from mensal order by ano, mes, estacao_codigo limit 20)
+               union all select 'fato', cultura, estacao, ano::varchar from (select * from fato order by cultura, estacao, ano limit 20)""",
+        ),
+        "extreme_means": _with(
+            [HOURLY],
+            f"""select estacao_codigo, case when large then round(sum(v) / count(v), 1) else {_mean("few")} end as media,
+                  case when large then min(v) else {_low("few")} end as minimo, case when large then max(v) else {_high("few")} end as maximo,
+                  case when large then sum(v) else {_total("few")} end as total
+                from (select *, case when abs(v) < 1e9 then v end as few, max(abs(v)) over (partition by estacao_codigo) >= 1e9 as large from (
+                  select estacao_codigo, case cast(substr(estacao_codigo, 2, 9) as bigint) % 4 when 0 then 0.0499999::double
+                    when 1 then 2.0::double ** 77 when 2 then 2e15::double else temperatura_c end as v from hourly))
+                group by estacao_codigo, large""",
+        ),
     }
-    return queries
+    same = {"warehouse_models": "fct_risco_climatico", "stored_layers": "clima_estacional", "clean_counts_on_write": "clean_counts"}
+    return queries | {name: queries[other] for name, other in same.items()}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from agrometry.operators import warehouse
-from agrometry.sources.readers import read_relation
 from agrometry.sources.writers import load_tables, materialize
 
 
@@ -16,24 +15,24 @@ def risk_mart(bronze_climate: DataFrame, bronze_crops: DataFrame) -> DataFrame:
 
 
 def build_models(
-    spark: SparkSession, climate: DataFrame, crops: DataFrame, location: str | None = None
+    spark: SparkSession, climate: DataFrame, crops: DataFrame, location: str | None = None, prefix: str = ""
 ) -> dict[str, DataFrame]:
-    """Load bronze, then keep staging as views and the rest as tables."""
-    load_tables({"clima": climate, "culturas": crops}, location=location)
-    models = {}
+    """Load bronze, then keep staging as views and the rest as tables, each in its layer's schema.
 
-    def keep(name: str, df: DataFrame, kind: str, schema: str) -> DataFrame:
-        models[name] = materialize(df, name, kind, schema, location)
-        return models[name]
-
-    stg_climate = keep(
-        "stg_clima", warehouse.staged_climate(read_relation(spark, "bronze.clima")), "view", "silver"
-    )
-    stg_crops = keep(
-        "stg_culturas", warehouse.staged_crops(read_relation(spark, "bronze.culturas")), "view", "silver"
-    )
-    monthly = keep("int_clima_mensal", warehouse.monthly_climate(stg_climate), "table", "silver")
-    seasonal = keep("int_clima_sazonal", warehouse.seasonal_climate(monthly), "table", "silver")
-    mart = warehouse.risk_mart(seasonal, stg_crops).sortWithinPartitions(warehouse.RISK_ORDER, ascending=warehouse.RISK_ASCENDING)
-    keep("fct_risco_climatico", mart, "table", "gold")
+    All models are in the catalog, so other sessions read them by name.  ``prefix`` goes before the schemas' names.
+    """
+    bronze, silver, gold = (prefix + layer for layer in ("bronze", "silver", "gold"))
+    load_tables({"clima": climate, "culturas": crops}, schema=bronze, location=location)
+    views = {"stg_clima": (warehouse.STAGED_CLIMATE, "clima"), "stg_culturas": (warehouse.STAGED_CROPS, "culturas")}
+    models = {}
+    for name, (text, source) in views.items():
+        over = text.format(bronze=f"`{bronze}`.`{source}`")
+        models[name] = materialize(over, name, "view", silver, location, spark)
+    monthly = warehouse.monthly_climate(models["stg_clima"])
+    models["int_clima_mensal"] = materialize(monthly, "int_clima_mensal", "table", silver, location)
+    seasonal = warehouse.seasonal_climate(models["int_clima_mensal"])
+    models["int_clima_sazonal"] = materialize(seasonal, "int_clima_sazonal", "table", silver, location)
+    mart = warehouse.risk_mart(models["int_clima_sazonal"], models["stg_culturas"])
+    mart = mart.sortWithinPartitions(warehouse.RISK_ORDER, ascending=warehouse.RISK_ASCENDING)
+    models["fct_risco_climatico"] = materialize(mart, "fct_risco_climatico", "table", gold, location)
     return models

@@ -31,3 +31,12 @@ def kept_in_scratch(df: DataFrame, name: str) -> DataFrame:
     place = scratch_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
+def forget_versions(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all but the last folders, by name, in a folder that only this library writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((status.getPath() for status in files.listStatus(path)), key=lambda p: p.getName())
+    for old in found[:-keep]:
+        files.delete(old, True)

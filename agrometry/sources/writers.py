@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import time
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from agrometry.sources.raw_store import BUCKETS, replace_files
+from agrometry.sources.scratch import forget_versions
 
 CHUNK_ROWS = 500_000
+# Folder of a schema that holds the rows of its tables, one folder for each load.
+VERSIONS_FOLDER = "_versoes"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -60,13 +66,32 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{where}")
 
 
+def _home(spark: SparkSession, schema: str, location: str | None) -> str:
+    return f"{location}/{schema}.db" if location else spark.catalog.getDatabase(schema).locationUri
+
+
 def load_table(df: DataFrame, table: str, schema: str = "bronze", location: str | None = None) -> None:
-    """Replace ``schema.table`` in the session catalog, in ``location`` if one is named."""
-    create_schema(df.sparkSession, schema, location)
-    writer = blank_to_null(df).write.mode("overwrite")
-    if location:
-        writer = writer.option("path", f"{location}/{schema}.db/{table}")
-    writer.saveAsTable(f"`{schema}`.`{table}`")
+    """Replace ``schema.table`` in the session catalog, in ``location`` if one is named.
+
+    Rows are written to a folder of their own beside the present ones.  Then one change in the catalog points the table
+    there, so readers see the old rows or the new, and a load that fails half-way leaves the old table as it was.  Only
+    a table that gets other columns takes two changes.  The version before is kept for its readers, older ones go.
+    """
+    spark = df.sparkSession
+    create_schema(spark, schema, location)
+    versions = f"{_home(spark, schema, location)}/{VERSIONS_FOLDER}/{table}"
+    place, name = f"{versions}/{time.time_ns():020d}-{uuid4().hex[:8]}", f"`{schema}`.`{table}`"
+    rows = blank_to_null(df)
+    rows.write.parquet(place)
+    known = spark.catalog.tableExists(name)
+    if known and spark.table(name).schema.simpleString() == rows.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    else:
+        if known:
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+    forget_versions(spark, versions, keep=2)
 
 
 def load_tables(
@@ -99,21 +124,29 @@ def load_jdbc(df: DataFrame, url: str, table: str, schema: str = "bronze", conne
     )
 
 
-def materialize(
-    df: DataFrame, name: str, kind: str, schema: str, location: str | None = None
-) -> DataFrame:
+def create_view(spark: SparkSession, text: str, name: str, schema: str, location: str | None = None) -> DataFrame:
+    """Keep a query in the catalog; every session on it reads the view, always over the present tables."""
+    create_schema(spark, schema, location)
+    spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS {text}")
+    return spark.table(f"`{schema}`.`{name}`")
+
+
+def materialize(model: DataFrame | str, name: str, kind: str, schema: str, location: str | None = None, spark: SparkSession | None = None) -> DataFrame:
     """Keep a model as a ``view`` or as a ``table`` of its layer's schema.
 
-    A view lasts for the session: the plan of a DataFrame cannot be stored in a catalog.
+    A view is given as SQL over tables and lasts in the catalog; a DataFrame's plan can only be a view of its session.
     """
-    spark = df.sparkSession
-    if kind == "view":
-        view = f"{schema}_{name}"
-        df.createOrReplaceTempView(view)
-        return spark.table(view)
-    if kind != "table":
+    if kind not in ("view", "table"):
         raise ValueError(f"materialização desconhecida: {kind}")
-    load_table(df, name, schema, location)
+    spark = spark or model.sparkSession
+    if isinstance(model, str):
+        if kind == "view":
+            return create_view(spark, model, name, schema, location)
+        model = spark.sql(model)
+    if kind == "view":
+        model.createOrReplaceTempView(f"{schema}_{name}")
+        return spark.table(f"{schema}_{name}")
+    load_table(model, name, schema, location)
     return spark.table(f"`{schema}`.`{name}`")
 
 

@@ -147,3 +147,22 @@ def test_reports_over_counts_equal_those_over_the_fact(spark):
     fact, counts = gold.crop_risk_fact(seasons, crops), gold.risk_counts(seasons, crops, "cultura", "categoria")
     for report in (gold.risk_distribution, gold.executive_summary, gold.most_versatile_crops, gold.riskiest_crops):
         assert sorted(map(tuple, report(fact).collect())) == sorted(map(tuple, report(counts).collect()))
+
+
+def test_cleaning_is_counted_by_the_writing_query(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from agrometry.operators import metrics
+
+    counts = Observation()
+    rows = bronze.bronze_climate(inputs.raw_weather(spark, FOLDER), counts)
+    assert plan(rows).count("FileScan") == 1
+    writers.write_layer(rows, str(tmp_path / "b"))
+    facts = metrics.cleaning_facts(counts)
+    assert facts == metrics.cleaning_counts(inputs.raw_weather(spark, FOLDER).transform(bronze.rename_weather_columns).transform(bronze.type_climate_columns)).first().asDict()
+    assert facts["registros_depois"] == spark.read.parquet(str(tmp_path / "b")).count()
+
+
+def test_dates_and_paths_are_worked_out_once(spark):
+    text = plan(bronze.bronze_climate(inputs.raw_weather(spark, FOLDER)))
+    assert text.count("date_format") <= 2 and text.count("regexp_extract(l_shipdate") == 0

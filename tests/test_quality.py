@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import pytest
 from pyspark.sql import functions as F
 
-from agrometry.quality import rulesets
+from agrometry.quality import rules, rulesets, runner
 from agrometry.quality.rules import (
     WARNING, Check, DataType, KeywordRange, NoDuplicates, NotEmpty, NotNull, NumericRange, RequiredColumns, Rule,
 )
@@ -196,3 +196,22 @@ def test_dates_may_begin_with_month_or_day(spark):
     df = spark.createDataFrame([(c,) for c in cells], "d string")
     lines = report(df, [DataType("d", "datetime")]).collect()
     assert [(r.rows_affected, sorted(r.sample_values)) for r in lines] == [(3, ["13/13/2024", "2024-02-30", "ontem"])]
+
+
+class _Raising(rules.Rule):
+    def __init__(self, name, told):
+        self.name, self.told = name, told
+
+    def checks(self, df):
+        bad = F.when(F.col("v") > 1, F.raise_error(F.lit(self.told)).cast("int"))
+        return [rules.Check(self.name, "v", lambda n: F.lit("-"), affected=F.count(bad))]
+
+
+def test_a_rule_that_fails_in_the_data_stops_no_other(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "v int, w string")
+    chosen = [rules.NotNull(("w",)), _Raising("um", "primeiro erro"), rules.NumericRange("v", 0, 1), _Raising("dois", "segundo"), rules.NotEmpty()]
+    result = runner.validate(df, chosen, fail_on_error=False)
+    lines = [(x["rule"], x["column"], x["rows_affected"], x["severity"]) for x in result.errors]
+    assert lines == [("not_null", "w", 1, "ERROR"), ("um", None, 0, "ERROR"), ("numeric_range", "v", 1, "ERROR"), ("dois", None, 0, "ERROR")]
+    assert "primeiro erro" in result.errors[1]["message"] and result.errors[1]["message"].startswith("Erro ao executar regra")
+    assert runner.validate(df.where("v < 2"), chosen, fail_on_error=False).error_count == 1

@@ -272,3 +272,30 @@ def test_ingest_scans_the_lines_once(spark, tmp_path):
     once = plan(readers.read_weather_csv(spark, str(tmp_path), strict=False, scan_once=True))
     assert " text" not in once and once.count("Relation [") <= 2
     assert plan(readers.read_weather_csv(spark, str(tmp_path), strict=False)).count(" text") == 1
+
+
+def test_a_load_that_fails_leaves_the_old_rows(spark, tmp_path):
+    load = lambda df: writers.load_table(df, "t", "troca", str(tmp_path))
+    load(spark.range(5))
+    reader = spark.newSession()
+    broken = spark.range(100).select(F.when(F.col("id") > 90, F.raise_error(F.lit("parou")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="parou"):
+        load(broken)
+    assert reader.table("troca.t").count() == 5
+    for rows in (7, 8, 9):
+        load(spark.range(rows))
+        assert spark.table("troca.t").count() == rows and spark.newSession().table("troca.t").count() == rows
+    assert len(list((tmp_path / "troca.db" / writers.VERSIONS_FOLDER / "t").iterdir())) == 2
+    load(spark.range(3).withColumn("mais", F.lit("x")))
+    assert spark.newSession().table("troca.t").columns == ["id", "mais"]
+
+
+def test_views_last_and_follow_their_tables(spark, tmp_path):
+    writers.load_table(spark.range(5), "base", "visto", str(tmp_path))
+    writers.materialize("SELECT id * 2 AS dobro FROM visto.base", "v", "view", "visto", str(tmp_path), spark)
+    other = spark.newSession()
+    assert other.table("visto.v").agg(F.sum("dobro")).first()[0] == 20
+    writers.load_table(spark.range(3), "base", "visto", str(tmp_path))
+    assert spark.newSession().table("visto.v").count() == 3
+    writers.materialize("SELECT id FROM visto.base", "copia", "table", "visto", str(tmp_path), spark)
+    assert spark.newSession().table("visto.copia").count() == 3

@@ -39,6 +39,22 @@ def test_rounding_is_half_up_on_exact_means(spark):
     assert float(df.agg(numeric.mean(F.col("v"))).first()[0]) == -0.4
 
 
+@pytest.mark.parametrize("values,want", [
+    ([0.0499999, 0.0499999], (0.0, 0.0, 0.0, 0.1)), ([0.04999999999], (0.0, 0.0, 0.0, 0.0)), ([0.05, 0.05], (0.1, 0.1, 0.1, 0.1)), ([0.1, 0.2], (0.2, 0.1, 0.2, 0.3)),
+    ([-0.1, -0.2], (-0.2, -0.2, -0.1, -0.3)), ([1e23, 3e23], (2e23, 1e23, 3e23, 4e23)), ([2e15], (2e15,) * 4), ([123456.35], (123456.4,) * 4), ([999999999.75], (999999999.8,) * 4),
+    ([2e15, 0.25], (1000000000000000.1, 0.3, 2e15, 2000000000000000.2)), ([], (None,) * 4), ([1e300], (1e300,) * 4), ([1e-320], (0.0,) * 4),
+])
+def test_values_are_rounded_once(spark, values, want):
+    v = F.col("v")
+    df = spark.createDataFrame([(float(x),) for x in values], "v double")
+    assert tuple(df.agg(numeric.mean(v), numeric.lowest(v), numeric.highest(v), numeric.total(v)).first()) == want
+
+
+def test_warehouse_measures_have_any_size(spark):
+    df = spark.createDataFrame([(2e15,), (3e23,), (-0.25,)], "v double").select(numeric.as_numeric(numeric.rounded(F.col("v"))).alias("v"))
+    assert [float(r.v) for r in df.collect()] == [2e15, 3e23, -0.3]
+
+
 def test_means_do_not_depend_on_partitioning(spark):
     df = spark.range(10_000).select((F.rand(7) * 50).cast("float").alias("v"))
     df = spark.createDataFrame(df.collect(), df.schema)
