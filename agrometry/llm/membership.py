@@ -39,19 +39,25 @@ def marked(words: np.ndarray, address: np.ndarray) -> np.ndarray:
     return (words[address >> 5] >> (address & 31).astype(np.uint32)) & np.uint32(1) == 1
 
 
-def _address(key) -> Column:
+def address(key) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
-def split(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key may be in ``keys`` (one column), all that are among them, and the other rows."""
-    sent = bitmap(keys.select(_address(keys.columns[0]).alias("bit")))
+def tester(keys: DataFrame):
+    """The broadcast filter of ``keys`` (one column), and a test of addresses against it."""
+    sent = bitmap(keys.select(address(keys.columns[0]).alias("bit")))
 
     @F.arrow_udf(T.BooleanType())
     def test(bit: pa.Array) -> pa.Array:
         return pa.array(marked(sent.value, bit.to_numpy(zero_copy_only=False)))
 
-    return rows.where(test(_address(key))), rows.where(~test(_address(key)))
+    return sent, test
+
+
+def split(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be in ``keys`` (one column), all that are among them, and the other rows."""
+    _, test = tester(keys)
+    return rows.where(test(address(key))), rows.where(~test(address(key)))
 
 
 def may_hold(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:

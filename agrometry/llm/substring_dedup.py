@@ -17,8 +17,10 @@ only segments whose anchor occurs twice can hold a repeat:
 5. Reported windows merge into spans for each document.
 
 Two filters of fixed size spare shuffling of segments and texts that have no part in this; results do not depend on
-them.  Null texts have no words; documents under ``window`` words are never cut; rows with the same doc_id and text
-are one document's; a null doc_id counts as the smallest; other columns are ignored.
+them.  Null texts have no words; documents under ``window`` words are never cut; a null doc_id counts as the smallest;
+other columns are ignored.  Documents are told apart by doc_id and text: rows that share an id but not the text are
+documents of their own, in the order of a fingerprint of their texts, and rows that share both are one document, with
+the same spans.
 """
 
 from __future__ import annotations
@@ -27,12 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrometry.llm import arrays
+from agrometry.llm import arrays, membership
 from agrometry.llm.fm_index import FMIndex
-from agrometry.llm.membership import BITS, bitmap, marked, may_hold, split
+from agrometry.llm.membership import BITS, bitmap, marked, may_hold
 from agrometry.llm.spans import carried, kept_words
 from agrometry.llm.staging import staged
 
@@ -41,10 +43,17 @@ GRAM = 5
 #: Words of a shard, about.
 SHARD_WORDS = 300_000
 HOT_SEGMENTS = 5_000
-_SEGMENT = "anchor bigint, segment bigint, doc bigint, start bigint, windows bigint"
+_SEGMENT = "anchor bigint, segment bigint, doc bigint, row bigint, start bigint, windows bigint"
+#: A document: its id and a fingerprint of id and text.
+_KEY = ["doc", "row"]
 _NO_ID = -(1 << 63)
 
 
+def _keyed(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NO_ID))
+    return [doc.alias("doc"), F.xxhash64(doc, F.col(text).cast("string")).alias("row")]
+
+
 def _anchors(grams: np.ndarray, reach: int) -> np.ndarray:
     """Place of the leftmost smallest value of each ``reach`` neighbours."""
     value, place = grams, np.arange(len(grams))
@@ -86,7 +95,7 @@ def _counter(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole, "text"):
-                found = arrays.words(*arrays.text_bytes(batch.column(1)))
+                found = arrays.words(*arrays.text_bytes(batch.column(0)))
                 anchor, count = np.unique(segments(found, window, gram)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(count.astype(np.int64))], ["anchor", "n"])
 
@@ -99,12 +108,12 @@ def _lister(window: int, gram: int, sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole, "text"):
-                found = arrays.words(*arrays.text_bytes(batch.column(1)))
+                found = arrays.words(*arrays.text_bytes(batch.column(2)))
                 anchor, mark, owner, start, windows, _ = segments(found, window, gram)
                 keep = marked(sent.value, (anchor & np.uint64(BITS - 1)).astype(np.int64))
-                docs = batch.column(0).to_numpy(zero_copy_only=False)
-                columns = (anchor.view(np.int64), mark.view(np.int64), docs[owner], start, windows)
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "segment", "doc", "start", "windows"])
+                key = [batch.column(k).to_numpy(zero_copy_only=False)[owner] for k in (0, 1)]
+                columns = (anchor.view(np.int64), mark.view(np.int64), *key, start, windows)
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["anchor", "segment", *_KEY, "start", "windows"])
 
     return run
 
@@ -115,18 +124,18 @@ def _reader(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole, "text"):
-                found = arrays.words(*arrays.text_bytes(batch.column(1)))
-                docs = batch.column(0).to_pylist()
+                found = arrays.words(*arrays.text_bytes(batch.column(2)))
+                docs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
                 rows = []
-                for k, listed in enumerate(batch.column(2).to_pylist()):
+                for k, listed in enumerate(batch.column(3).to_pylist()):
                     values = found.hashes[found.first[k] : found.first[k + 1]]
                     for x in listed:
                         a, n = x["start"], x["windows"]
-                        rows.append((x["anchor"], docs[k], a, values[a : a + n + window - 1].tobytes()))
+                        rows.append((x["anchor"], *docs[k], a, values[a : a + n + window - 1].tobytes()))
                 for at in range(0, len(rows), 20_000):
                     columns = list(zip(*rows[at : at + 20_000]))
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "doc", "start", "words"])
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["key", *_KEY, "start", "words"])
 
     return run
 
@@ -137,26 +146,26 @@ def _window_reader(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole, "text"):
-                found = arrays.words(*arrays.text_bytes(batch.column(1)))
-                docs = batch.column(0).to_numpy(zero_copy_only=False)
-                for k, listed in enumerate(batch.column(2).to_pylist()):
+                found = arrays.words(*arrays.text_bytes(batch.column(2)))
+                docs = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+                for k, listed in enumerate(batch.column(3).to_pylist()):
                     values = found.hashes[found.first[k] : found.first[k + 1]]
                     at = np.concatenate([np.arange(x["start"], x["start"] + x["windows"]) for x in listed])
-                    at = at[at + window <= len(values)]
                     keys = arrays.span_hashes(values, at, at + window).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(at), docs[k])), pa.array(at)], ["key", "doc", "start"])
+                    columns = (keys, *(np.full(len(at), d[k]) for d in docs), at)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", *_KEY, "start"])
 
     return run
 
 
-def repeated_windows(docs: np.ndarray, starts: np.ndarray, pieces: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and starts of all windows in a shard that begin earlier in it.
+def repeated_windows(docs: np.ndarray, rows: np.ndarray, starts: np.ndarray, pieces: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """Documents (doc, row) and starts of all windows in a shard that begin earlier in it.
 
-    The index is built in the order of (doc, start), so a row's place tells which of two windows is earlier; windows of
+    The index is built in the order of (doc, row, start), so a place tells which of two windows is earlier; windows of
     one document and start are the same window.
     """
-    order = np.lexsort((starts, docs))
-    docs, starts, pieces = docs[order], starts[order], [pieces[k] for k in order]
+    order = np.lexsort((starts, rows, docs))
+    docs, rows, starts, pieces = docs[order], rows[order], starts[order], [pieces[k] for k in order]
     sizes = np.array([len(p) // 8 for p in pieces])
     hashes = np.frombuffer(b"".join(pieces), np.uint64)
     _, symbols = np.unique(hashes, return_inverse=True)
@@ -176,31 +185,32 @@ def repeated_windows(docs: np.ndarray, starts: np.ndarray, pieces: list[bytes],
         low[live], high[live] = index.extend(text[windows[live] + back], low[live], high[live])
         live = live[high[live] - low[live] > 1]
     if not len(live):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     bounds, which = np.unique(low[live], return_index=True)
     count = high[live][which] - bounds
-    rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(bounds, count)
-    earliest = np.minimum.reduceat(index.locate(rows), np.cumsum(count) - count)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(bounds, count)
+    earliest = np.minimum.reduceat(index.locate(inside), np.cumsum(count) - count)
     before = earliest[np.searchsorted(bounds, low[live])]
     owner = lambda at: np.searchsorted(first, at, side="right") - 1
     mine, other = owner(windows[live]), owner(before)
     start = starts[mine] + windows[live] - first[mine]
-    same = (docs[mine] == docs[other]) & (start == starts[other] + before - first[other])
+    same = (docs[mine] == docs[other]) & (rows[mine] == rows[other]) & (start == starts[other] + before - first[other])
     later = (before < windows[live]) & ~same
-    return docs[mine][later], start[later]
+    return docs[mine][later], rows[mine][later], start[later]
 
 
 def _shard(window: int):
     def run(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).combine_chunks() for c in ("doc", "start", "words")]
-        doc, start = repeated_windows(columns[0].to_numpy(), columns[1].to_numpy(), columns[2].to_pylist(), window)
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
+        *key, start, words = (table.column(c).combine_chunks() for c in (*_KEY, "start", "words"))
+        doc, row, start = repeated_windows(*(c.to_numpy() for c in (*key, start)), words.to_pylist(), window)
+        order = np.lexsort((start, row, doc))
+        doc, row, start = doc[order], row[order], start[order]
         fresh = np.ones(len(doc), bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)
         begin = np.flatnonzero(fresh)
         end = np.append(begin[1:], len(doc))[: len(begin)]
-        return pa.table({"doc": doc[begin], "begin": start[begin], "end": start[end - 1] + window if len(begin) else start[begin]})
+        last = start[end - 1] + window if len(begin) else start[begin]
+        return pa.table({"doc": doc[begin], "row": row[begin], "begin": start[begin], "end": last})
 
     return run
 
@@ -245,51 +255,65 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _finish_others(sent):
+    """The same for texts without spans: those whose bit is not in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            other = ~marked(sent.value, batch.column(4).to_numpy(zero_copy_only=False))
+            yield from _finish([batch.filter(pa.array(other))])
+
+    return run
+
+
 def _listed_texts(docs: DataFrame, unclear: DataFrame) -> DataFrame:
-    """Rows (doc, text, listed) of the documents that hold some of the segments."""
-    wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("listed"))
-    return may_hold(docs, "doc", unclear.select("doc").distinct()).join(wanted, "doc").select("doc", "text", "listed")
+    """Rows (doc, row, text, listed) of the documents that hold some of the segments."""
+    wanted = unclear.groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("listed"))
+    return may_hold(docs, "row", unclear.select("row").distinct()).join(wanted, _KEY).select(*_KEY, "text", "listed")
 
 
 def _later_windows(docs: DataFrame, hot: DataFrame, window: int) -> DataFrame:
-    """Rows (doc, begin, end): neighbouring windows of the segments that begin earlier in another or the same segment."""
-    windows = _listed_texts(docs, hot).mapInArrow(_window_reader(window), "key bigint, doc bigint, start bigint")
+    """Rows (doc, row, begin, end): neighbouring windows of the segments that begin earlier in another or the same segment."""
+    windows = _listed_texts(docs, hot).mapInArrow(_window_reader(window), "key bigint, doc bigint, row bigint, start bigint")
     windows = staged(windows, "windows")
-    place = F.struct("doc", "start")
+    place = F.struct(*_KEY, "start")
     several = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-    later = windows.join(several.select("key", "first"), "key").where(place > F.col("first")).select("doc", "start")
-    run = F.col("start") - F.dense_rank().over(Window.partitionBy("doc").orderBy("start"))
-    return later.withColumn("run", run).groupBy("doc", "run").agg(F.min("start").alias("begin"), (F.max("start") + window).alias("end")).drop("run")
+    later = windows.join(several.select("key", "first"), "key").where(place > F.col("first")).select(*_KEY, "start")
+    run = F.col("start") - F.dense_rank().over(Window.partitionBy(*_KEY).orderBy("start"))
+    found = later.withColumn("run", run).groupBy(*_KEY, "run").agg(F.min("start").alias("begin"), (F.max("start") + window).alias("end"))
+    return found.drop("run")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows (doc, listed): spans of words, which may overlap, that an earlier window repeats."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
+    """Rows (doc, row, listed): spans of words, which may overlap, that an earlier window repeats."""
+    docs = docs.select(*_keyed(), F.col("text").cast("string").alias("text"))
     gram = min(gram, window)
-    counts = docs.mapInArrow(_counter(window, gram), "anchor bigint, n bigint")
+    counts = docs.select("text").mapInArrow(_counter(window, gram), "anchor bigint, n bigint")
     repeated = staged(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
     sent = bitmap(repeated.select(F.col("anchor").bitwiseAND(F.lit(BITS - 1)).alias("bit")))
     listed = docs.mapInArrow(_lister(window, gram, sent), _SEGMENT)
     listed = staged(listed.join(repeated, "anchor", "left_semi"), "segments")
 
-    distinct = listed.groupBy("anchor", "segment").agg(F.min(F.struct("doc", "start", "windows")).alias("first"), F.count("*").alias("n"))
+    place = F.struct(*_KEY, "start", "windows")
+    distinct = listed.groupBy("anchor", "segment").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     distinct = staged(distinct.select("anchor", "segment", "first.*", "n"), "distinct")
     several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    unclear = staged(distinct.join(several, "anchor").select("anchor", "doc", "start", "windows", (F.col("kinds") > HOT_SEGMENTS).alias("hot")), "unclear")
+    unclear = distinct.join(several, "anchor").select("anchor", *_KEY, "start", "windows", (F.col("kinds") > HOT_SEGMENTS).alias("hot"))
+    unclear = staged(unclear, "unclear")
     few, hot = unclear.where("not hot"), unclear.where("hot")
-    words = _listed_texts(docs, few).mapInArrow(_reader(window), "key bigint, doc bigint, start bigint, words binary")
+    words = _listed_texts(docs, few).mapInArrow(_reader(window), "key bigint, doc bigint, row bigint, start bigint, words binary")
     total = few.agg(F.sum(F.col("windows") + window)).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
     dealt = words.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    searched = dealt.groupBy("shard").applyInArrow(_shard(window), "doc bigint, begin bigint, end bigint")
+    searched = dealt.groupBy("shard").applyInArrow(_shard(window), "doc bigint, row bigint, begin bigint, end bigint")
     if not hot.isEmpty():
         searched = searched.union(_later_windows(docs, hot, window))
 
-    copied = distinct.where("n > 1").select("anchor", "segment", F.col("doc").alias("d"), F.col("start").alias("s"))
-    copies = listed.join(copied, ["anchor", "segment"]).where("doc <> d or start <> s")
-    copies = copies.select("doc", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("end"))
+    copied = distinct.where("n > 1").select("anchor", "segment", F.struct(*_KEY, "start").alias("first"))
+    copies = listed.join(copied, ["anchor", "segment"]).where(F.struct(*_KEY, "start") != F.col("first"))
+    copies = copies.select(*_KEY, F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("end"))
     both = searched.union(copies).distinct()
-    return staged(both.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("listed")), "removals")
+    return staged(both.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "end")).alias("listed")), "removals")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: list[str] | None = None) -> DataFrame:
@@ -298,14 +322,15 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: list
     Spans are places of characters to cut out; ``carried`` is a struct of the columns in ``carry``.
     """
     found = removals(docs, window, gram)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(carry))
-    held, free = split(rows.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID))), "doc", found.select("doc"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(carry), *_keyed())
+    sent, test = membership.tester(found.select("row"))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    held = held.join(found, "doc", "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"), "carried")
-    free = free.select("doc_id", "text", none.alias("listed"), "carried")
+    held = rows.where(test(membership.address("row")))
+    held = held.join(found, _KEY, "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"), "carried")
+    free = rows.select("doc_id", "text", none.alias("listed"), "carried", membership.address("row").alias("bit"))
     schema = "doc_id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<begin:bigint,end:bigint>>"
     schema = f"{schema}, carried {rows.schema['carried'].dataType.simpleString()}"
-    return held.mapInArrow(_finish, schema).union(free.mapInArrow(_finish, schema))
+    return held.mapInArrow(_finish, schema).union(free.mapInArrow(_finish_others(sent), schema))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -60,3 +60,22 @@ def test_no_shard_holds_a_passage_of_many_documents(spark, monkeypatch):
     want = brute.repeats(rows, 20)
     got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 20).collect()
     assert {r["doc_id"]: r["n_removed"] for r in got} == {d: len(gone) for d, (_, gone) in want.items()}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    passage, other = (" ".join(f"{x}{i}" for i in range(30)) for x in "pq")
+    rows = [
+        (0, f"{passage} own words"), (1, f"other words first {passage}"), (1, "nothing that any text repeats"), (1, "x " * 200), (2, other), (2, f"{other} more"), (2, other),
+        (None, f"early {passage}"), (None, f"{passage}"), (None, "alone"), (None, None), (3, ""), (3, passage),
+    ]
+    docs = spark.createDataFrame([(*r, 1, "r") for r in rows], "doc_id bigint, text string, row int, doc string").repartition(4)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.repeats(docs).collect()), key=str)
+    mark = {r: k for k, r in enumerate(sorted({(d if d is not None else -(1 << 63), t) for d, t in rows}, key=lambda r: (r[0], _mark(spark, r))))}
+    want = brute.repeats([(k, t) for (d, t), k in mark.items()], 20)
+    found = [want[mark[(d if d is not None else -(1 << 63), t)]] for d, t in rows]
+    assert got == sorted(((d, len(w), len(gone)) for (d, _), (w, gone) in zip(rows, found)), key=str)
+    assert sum(n for _, _, n in got) > 100
+
+
+def _mark(spark, row):
+    return spark.createDataFrame([row], "d bigint, t string").select(F.xxhash64("d", "t")).first()[0]
