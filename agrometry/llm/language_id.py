@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrometry.llm import arrays
-from agrometry.llm.membership import may_hold
 from agrometry.llm.staging import staged
 
 GRAM = 4
@@ -38,6 +37,8 @@ HASHES = 3
 SHARE = 0.1
 #: Documents of each language to learn from, at most.
 PER_LANGUAGE = 2_000
+#: Of a language, so many times as many documents are looked at for those with the smallest hashes.
+SPARE = 4
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -144,14 +145,18 @@ def learn(docs: DataFrame) -> Filter:
     """Fit the filter on texts with a known language that are not held out."""
     known = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where("text is not null and lang is not null and doc_id is not null").where(~held_out())
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = staged(known.select("lang", "doc_id").withColumn("turn", turn).where(F.col("turn") <= PER_LANGUAGE), "learned")
+    # only hashes that a language's first PER_LANGUAGE documents can have are dealt by language
+    found = known.groupBy("lang").count().collect()
+    cuts = [(r["lang"], min((1 << 63) - 1, (SPARE * PER_LANGUAGE << 64) // r["count"] - (1 << 63))) for r in found]
+    cuts = docs.sparkSession.createDataFrame(cuts, "lang string, cut bigint")
+    first = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("mark")).join(F.broadcast(cuts), "lang").where("mark <= cut")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
+    chosen = staged(first.select("lang", "doc_id", turn.alias("turn")).where(F.col("turn") <= PER_LANGUAGE), "learned")
     rows = chosen.groupBy("lang").count().orderBy("lang").collect()
     languages, sizes = [r["lang"] for r in rows], [r["count"] for r in rows]
     if not languages:
         return Filter([], np.zeros((0, 0), np.uint64), np.zeros(0), 0)
     width = len(languages)
-    known = may_hold(known, "doc_id", chosen.select("doc_id"))
     known = known.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
     counts = known.select("lang", "text").mapInArrow(_counter(languages), "gram bigint, language int, n bigint")
     # each gram's documents by language, as shares of the language's documents
