@@ -18,6 +18,10 @@ PASSAGE_WORDS = 40
 ORACLE_SQL = None
 
 
+#: Column of row numbers inside a stage.
+ROW = "_row"
+
+
 def _others(docs: DataFrame) -> list[str]:
     return [c for c in docs.columns if c not in ("doc_id", "text")]
 
@@ -37,11 +41,22 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id (rows with one id stay together)."""
-    found = minhash_dedup.near_duplicates(docs)
-    gone = staged(found.where("not kept").select("doc_id").distinct(), "gone")
-    held, free = membership.split(docs, "doc_id", gone)
-    return held.join(gone, "doc_id", "left_anti").select(docs.columns).union(free)
+    """One row of each group of near duplicates: the one with the smallest doc_id (a null one last).
+
+    Rows are told apart by a number of their own, written with them: rows that share a doc_id, or have none, are compared
+    like any others, so of repeated rows one stays and no other text goes with them.  Rows without words all stay.
+    """
+    rows = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = minhash_dedup.near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    later = found.where("not kept").select(F.col("doc_id").alias(ROW), F.col("component_id").alias("component"))
+    later = staged(later, "later")
+    members = staged(later.union(later.select(F.col("component").alias(ROW), "component").distinct()), "members")
+    named = membership.may_hold(rows.select(ROW, F.col("doc_id").alias("id")), ROW, members.select(ROW)).join(members, ROW)
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", ROW)).alias("first"))
+    gone = members.join(first, "component").where(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW)
+    gone = staged(gone, "gone")
+    held, free = membership.split(rows, ROW, gone)
+    return held.join(gone, ROW, "left_anti").select(docs.columns).union(free.select(docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
