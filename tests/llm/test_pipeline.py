@@ -57,3 +57,33 @@ def test_windows_hold_all_that_is_left(stages):
     assert set(pieces.doc_id) == set(_rows(stages["benchmark"]))
     assert pieces.groupby("sequence_id").length.sum().max() <= packing.LENGTH
     assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, folder):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (1, "alpha beta gamma delta epsilon zeta"), (2, "alpha beta gamma delta epsilon zeta"), (2, "a text that nobody else has at all"),
+        (5, "quick brown foxes jump over lazy dogs"), (5, "quick brown foxes jump over lazy dogs"), (None, "no id but a text of some words"), (None, "no id but a text of some words"),
+        (None, "quick brown foxes jump over lazy dogs"), (9, near), (8, near + " more"), (None, near + " other"), (7, "one"), (7, "two"), (7, ""), (7, None), (None, None),
+    ]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, _row_ int").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    assert kept.columns == docs.columns
+    groups = brute.components([(k, t) for k, (_, t) in enumerate(rows)], 5, 80)
+    members = {}
+    for k, (_, root) in groups.items():
+        members.setdefault(root, []).append(rows[k])
+    want = [min(held, key=lambda r: (r[0] is None, r[0] or 0)) for held in members.values()]
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted((d for d, _ in got), key=str) == sorted((d for d, _ in want), key=str)
+    assert {t for _, t in got} >= {rows[2][1], "one", "two", rows[5][1]} and len(got) == len(want)
+
+
+@pytest.mark.parametrize("shared", [1, None])
+def test_stages_keep_unique_texts_of_shared_ids(spark, folder, shared):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(shared, passage + " a"), (shared, "x y z " + passage), (shared, "unlike all others in every word")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.cut_repeats(spark, corpus_pipeline.drop_near_duplicates(spark, docs, folder), folder)
+    assert sum(passage in r["text"] for r in left.collect()) == 1
+    assert any(r["text"] == rows[2][1] for r in left.collect())
