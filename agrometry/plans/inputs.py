@@ -18,6 +18,10 @@ TEMPERATURE = "TEMPERATURA DO AR - BULBO SECO, HORARIA (°C)"
 TEMPERATURE_MAX = "TEMPERATURA MÁXIMA NA HORA ANT. (AUT) (°C)"
 DEW_MAX = "TEMPERATURA ORVALHO MAX. NA HORA ANT. (AUT) (°C)"
 HUMIDITY = "UMIDADE RELATIVA DO AR, HORARIA (%)"
+TEMPERATURE_MIN = "TEMPERATURA MÍNIMA NA HORA ANT. (AUT) (°C)"
+PRESSURE = "PRESSAO ATMOSFERICA AO NIVEL DA ESTACAO, HORARIA (mB)"
+RADIATION = "RADIACAO GLOBAL (Kj/m²)"
+WIND = "VENTO, VELOCIDADE HORARIA (m/s)"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,6 +94,10 @@ def raw_weather(spark: SparkSession, folder: str) -> DataFrame:
         (5 + q * 0.5).cast("decimal(10,1)").cast("string").alias(DEW_MAX),
         (F.round(F.col("l_discount") * 1000) + F.when((q == 50) & (line == 1), 50).otherwise(0))
         .cast("int").cast("string").alias(HUMIDITY),
+        (10 + q * 0.5 - F.col("l_discount") * 100).cast("decimal(10,1)").cast("string").alias(TEMPERATURE_MIN),
+        F.replace((900 + q).cast("decimal(10,1)").cast("string"), F.lit("."), F.lit(",")).alias(PRESSURE),
+        F.when(line != 2, F.floor("l_extendedprice").cast("string")).alias(RADIATION),
+        F.replace((F.col("l_tax") * 100).cast("decimal(10,1)").cast("string"), F.lit("."), F.lit(",")).alias(WIND),
         F.concat(
             F.lit("file:/raw/"), year, F.lit("/INMET_SE_"), uf, F.lit("_A"), code,
             F.lit("_SERRA%20"), code, F.lit("%20-%20SUL_01-01-"), year, F.lit("_A_31-12-"), year,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from agrometry.plans.inputs import DEW_MAX, HUMIDITY, RAIN, TEMPERATURE, TEMPERATURE_MAX
+from agrometry.plans.inputs import DEW_MAX, HUMIDITY, PRESSURE, RADIATION, RAIN, TEMPERATURE, TEMPERATURE_MAX, TEMPERATURE_MIN, WIND
 
 MEASURES = (
     "precipitacao_mm", "temperatura_c", "temp_max_c", "temp_min_c",
@@ -44,6 +44,10 @@ raw_weather as (
          cast(cast(10 + l_quantity * 0.5 + l_tax * 500 as decimal(10,1)) as varchar) as "{TEMPERATURE_MAX}",
          cast(cast(5 + l_quantity * 0.5 as decimal(10,1)) as varchar) as "{DEW_MAX}",
          cast(cast(round(l_discount * 1000) + case when l_quantity = 50 and l_linenumber = 1 then 50 else 0 end as int) as varchar) as "{HUMIDITY}",
+         cast(cast(10 + l_quantity * 0.5 - l_discount * 100 as decimal(10,1)) as varchar) as "{TEMPERATURE_MIN}",
+         replace(cast(cast(900 + l_quantity as decimal(10,1)) as varchar), '.', ',') as "{PRESSURE}",
+         case when l_linenumber <> 2 then cast(cast(floor(l_extendedprice) as bigint) as varchar) end as "{RADIATION}",
+         replace(cast(cast(l_tax * 100 as decimal(10,1)) as varchar), '.', ',') as "{WIND}",
          'file:/raw/' || year(l_shipdate) || '/INMET_SE_'
            || chr(cast(65 + l_suppkey % 26 as int)) || chr(cast(65 + l_suppkey // 26 % 26 as int))
            || '_A' || lpad(cast(l_suppkey as varchar), 9, '0')
@@ -341,7 +345,7 @@ def _nulls(column: str, severity: str = "ERROR"):
 
 NOT_EMPTY = ("not_empty", None, "ERROR", "0::bigint", "count(*) = 0")
 DQ_TEMPERATURE = [
-    _range("temperatura_valida", c, -15, 50, "WARNING") for c in (TEMPERATURE, TEMPERATURE_MAX, DEW_MAX)
+    _range("temperatura_valida", c, -15, 50, "WARNING") for c in (TEMPERATURE, TEMPERATURE_MAX, DEW_MAX, TEMPERATURE_MIN)
 ]
 DQ_HUMIDITY = [_range("umidade_valida", HUMIDITY, 0, 100)]
 DQ_AREA = [_range("area_valida", "AREA_HECTARE", 0, None)]
@@ -363,7 +367,7 @@ por_arquivo as (
 )"""
 
 
-_WEATHER_CELLS = ("Data", "Hora UTC", RAIN, TEMPERATURE, TEMPERATURE_MAX, DEW_MAX, HUMIDITY)
+_WEATHER_CELLS = ("Data", "Hora UTC", RAIN, TEMPERATURE, TEMPERATURE_MAX, DEW_MAX, HUMIDITY, TEMPERATURE_MIN, PRESSURE, RADIATION, WIND)
 _LINE = "concat_ws(';', " + ", ".join(f"coalesce(\"{c}\", '')" for c in _WEATHER_CELLS) + ")"
 _SOUND = f"coalesce(\"Data\" <> 'nan' and cast(\"{HUMIDITY}\" as int) between 0 and 100, false)"
 
@@ -417,9 +421,9 @@ def sql() -> dict[str, str]:
             [RAW_WEATHER],
             f"""select {lake_day} as data, "Hora UTC" as hora_utc, {_blank(RAIN)} as precipitacao_mm,
                 {_blank(TEMPERATURE)} as temperatura_c, {_blank(TEMPERATURE_MAX)} as temp_max_c,
-                cast(null as float) as temp_min_c, {_blank(HUMIDITY)} as umidade_pct,
-                cast(null as float) as pressao_mb, cast(null as float) as radiacao_kj_m2,
-                cast(null as float) as vento_velocidade_ms,
+                {_blank(TEMPERATURE_MIN)} as temp_min_c, {_blank(HUMIDITY)} as umidade_pct,
+                {_blank(PRESSURE)} as pressao_mb, {_blank(RADIATION)} as radiacao_kj_m2,
+                {_blank(WIND)} as vento_velocidade_ms,
                 regexp_extract(arquivo_origem, 'INMET_[A-Z]+_([A-Z][A-Z])_', 1) as uf,
                 'A' || substr(split_part(arquivo_origem, '_', 4), 2) as estacao_codigo,
                 split_part(arquivo_origem, '_', 5) as estacao_nome, 'bronze' as camada
@@ -429,8 +433,8 @@ def sql() -> dict[str, str]:
             [RAW_WEATHER],
             f"""select "Data" as data, "Hora UTC" as hora_utc, "{RAIN}" as precipitacao_mm,
                 "{TEMPERATURE}" as temperatura_c, "{TEMPERATURE_MAX}" as temp_max_c,
-                null::varchar as temp_min_c, "{HUMIDITY}" as umidade_pct, null::varchar as pressao_mb,
-                null::varchar as radiacao_kj_m2, null::varchar as vento_velocidade_ms from raw_weather""",
+                "{TEMPERATURE_MIN}" as temp_min_c, "{HUMIDITY}" as umidade_pct, "{PRESSURE}" as pressao_mb,
+                "{RADIATION}" as radiacao_kj_m2, "{WIND}" as vento_velocidade_ms from raw_weather""",
         ),
         "bronze_culturas": _with(
             [RAW_CROPS],
