@@ -6,13 +6,15 @@ longer character as part of a word, so bytes and characters give the same words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 500_000
+KEPT_POWERS = SLICE_BYTES + 2
 _ODD = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -38,18 +40,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_tables = {"n": 0}
+_tables: dict[str, np.ndarray] = {}
+
+
+def _powers(odd: int, n: int) -> np.ndarray:
+    found = np.full(n, odd, np.uint64)
+    found[0] = 1
+    return np.cumprod(found, out=found)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    if _tables["n"] < n:
-        n = max(n, SLICE_BYTES)
-        base = np.full(n, _ODD, np.uint64)
-        base[0] = 1
-        back = np.full(n, pow(_ODD, -1, 1 << 64), np.uint64)
-        back[0] = 1
-        _tables.update(n=n, up=np.cumprod(base), down=np.cumprod(back))
+    """Powers of an odd number modulo 2**64, and of its inverse; those of a usual slice are kept."""
+    back = pow(_ODD, -1, 1 << 64)
+    if n > KEPT_POWERS:
+        return _powers(_ODD, n), _powers(back, n)
+    if not _tables:
+        _tables.update(up=_powers(_ODD, KEPT_POWERS), down=_powers(back, KEPT_POWERS))
     return _tables["up"], _tables["down"]
 
 
@@ -73,8 +79,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most ``limit`` bytes of text each, or one row."""
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda keep: 0)
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system, as a worker stays alive with what it holds."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+#: What an operator's worker keeps from one task to the next, and how it is dropped.
+caches: dict[str, Callable[[], None]] = {}
+
+
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES, owner: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``limit`` bytes of text each, or one row; memory is released after the last.
+
+    Workers are shared by all operators of a session, so caches of another one than ``owner`` are dropped first.
+    """
+    for name in [name for name in caches if name != owner]:
+        caches.pop(name)()
     column = batch.column(batch.schema.get_field_index(text))
     _, offsets = text_bytes(column)
     at = 0
@@ -82,6 +106,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    release()
 
 
 @dataclass

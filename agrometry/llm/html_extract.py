@@ -8,8 +8,9 @@ scores a block's features and neighbouring labels; it is trained by maximum like
 pages, and the best sequence of labels is found by the Viterbi algorithm.
 
 Character references are decoded, white space inside a block becomes one space, blocks of main text are joined by line
-ends in page order.  Null and empty pages give an empty text; pages of any length are read whole; repeated rows are
-extracted alike; other columns are ignored.
+ends in page order.  Null and empty pages give an empty text; a null url or
+page_id stays null; pages of any length are read whole; equally good sequences of labels give a block to the side text;
+repeated rows are extracted alike; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ back, the minimum comes from a monotone queue, so every place enters and leaves
 
 The stream is worked on in blocks of bounded size; the last windows of a block stay open and go on into the next.
 
-Null or empty texts are a lone end token; repeated documents are packed each; other columns are ignored; a null doc_id
+Of equal costs the window that begins later counts.  A text of any length goes through in one piece; its windows are
+cut like those of many texts.  Null or empty texts are a lone end token; repeated documents are packed each; other columns are ignored; a null doc_id
 stays null.  The order is that of rows in a partition, so read a written table (a retried task then gets the same).
 """
 
@@ -36,7 +37,7 @@ FREE_STEP = 64
 #: Windows at the end of a block that may still change.
 OPEN_WINDOWS = 4
 #: A worker forgets its words beyond so many (a cache, not a limit of results).
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 
 _SENTENCE_ENDS = tuple(end + quote for end in (b".", b"!", b"?", "…".encode(), "。".encode()) for quote in (b"", b'"', b"'", b")", b'")', "”".encode(), "»".encode()))
 #: How the vocabulary marks the last token of a word.
@@ -163,6 +164,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        arrays.caches["packing"] = _encoders.clear
     return _encoders[path]
 
 
@@ -275,7 +277,7 @@ def _packer(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = Stream(TaskContext.get().partitionId(), length)
         for whole in batches:
-            for batch in arrays.slices(whole, "text"):
+            for batch in arrays.slices(whole, "text", owner="packing"):
                 texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
                 stream.add(batch.column(0).to_pylist(), *encoder(path).encode(texts))
                 yield from stream.cut(last=False)
