@@ -8,9 +8,12 @@
    the documents that overlap with any other; only these get long sketches, whose closer bound on ``m`` also drops
    copies with too many changes of their own.
 3. Rounds over the lists: the members of each list meet the list's head; pairs inside one component need no more
-   test, so a group of near copies shrinks to one component without all its pairs.  When little is left to compare,
-   or a round has not halved it, all remaining pairs of list members from different components are made: no link
-   between components is lost.
+   test, so a group of near copies shrinks to one component without all its pairs.  When little is left to compare, all
+   remaining pairs of list members from different components are made.  When a round has not halved what is left, the
+   open documents share a template but not enough: their whole sets are then ordered, the rarest shingles first, and two
+   documents meet only in a shingle that stands so early in one of the sets that what follows can be similar.  So
+   documents with too many words of their own never meet, however many share the rest.  No link between components is
+   lost in either way.
    A pair is only made if the parities of both sets, by 512 groups of values, differ in no more groups than the sets
    of similar documents may differ in values.
 4. The bottom-k sketch of a pair's union estimates the similarity; pairs far under the threshold fall out.
@@ -20,7 +23,9 @@ A bound on shared values lies ``DEVIATIONS`` standard deviations of the estimate
 threshold is lost with a probability of about 1e-9, a more similar one with less.  Sets shorter than a sketch are whole.
 
 Shingles are 64-bit fingerprints of runs of lower-cased (A-Z) words; a text of fewer words is one shingle; null or
-empty texts have none and stay alone.  Repeated rows count as documents of their own with the same id; other columns
+empty texts have none and stay alone.  Repeated rows count as documents of their own with the same id; different texts
+under one id link it to the similar documents of each, so their groups become one component (number rows first where
+that is not wanted, as the pipeline does); other columns
 are ignored; rows with a null doc_id stay alone.
 """
 
@@ -187,6 +192,44 @@ def _by_component(members: DataFrame, percent: int) -> DataFrame:
     return open_lists.alias("a").join(open_lists.alias("b"), meet).select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b")).distinct()
 
 
+def _exploder(size: int):
+    """All shingles of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in arrays.slices(whole, "text"):
+                sets = _sets(batch.column(1), size)
+                docs = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))], ["doc", "value"])
+
+    return run
+
+
+def _by_prefix(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) from different components that may be similar, by the rarest shingles of their whole sets.
+
+    Sets are ordered by how many open documents hold a shingle.  If the first common shingle of two similar sets has
+    ``i`` and ``j`` others before it, the sets share at most ``min(m - i, n - j)``.  So it stands among the first
+    ``m - percent m + 1`` and ``n - percent n + 1``, and in one of them among the first ``(1 - percent) / (1 + percent)``.
+    """
+    spread = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    docs = staged(members.join(spread, "value", "left_semi").drop("value").distinct(), "open")
+    wanted = may_hold(texts, "doc", docs.select("doc")).join(docs.select("doc"), "doc", "left_semi")
+    rows = staged(wanted.select("doc", "text").mapInArrow(_exploder(size), "doc bigint, value bigint"), "shingles")
+    shared = rows.groupBy("value").agg(F.count("*").alias("listed")).where("listed > 1")
+    by_doc, n = Window.partitionBy("doc"), F.col("n_shingles")
+    alone = n - F.count("*").over(by_doc)
+    place = alone + F.row_number().over(by_doc.orderBy("listed", "value")) - 1
+    ranked = rows.join(shared, "value").join(docs, "doc").withColumn("place", place)
+    prefix = staged(ranked.where(F.col("place") <= n - F.ceil(n * percent / 100)).drop("listed"), "prefix")
+    early = prefix.where(F.col("place") * (100 + percent) <= (100 - percent) * n)
+    rest = F.least(F.col("a.n_shingles") - F.col("a.place"), F.col("b.n_shingles") - F.col("b.place"))
+    enough = rest * (100 + percent) >= percent * (F.col("a.n_shingles") + F.col("b.n_shingles"))
+    meet = (F.col("a.value") == F.col("b.value")) & (F.col("a.component") != F.col("b.component")) & enough & _comparable(percent)
+    pairs = early.alias("a").join(prefix.alias("b"), meet)
+    return pairs.select(F.least("a.doc", "b.doc").alias("a"), F.greatest("a.doc", "b.doc").alias("b")).distinct()
+
+
 def _left(members: DataFrame) -> tuple[int, int]:
     """Pairs from different components in all lists, and list entries."""
     each = members.groupBy("value", "component").agg(F.count("*").cast("double").alias("n"))
@@ -216,9 +259,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
         left, entries = _left(members)
         if not left:
             break
-        if left <= PAIRS_PER_ENTRY * entries or left > before / 2:
+        if left <= PAIRS_PER_ENTRY * entries:
             state = _merge(state, pairs.links(_by_component(members, percent)))
             break
+        if left > before / 2:
+            state = _merge(state, pairs.links(_by_prefix(members, texts, size, percent)))
+            break
         state = _merge(state, pairs.links(_by_head(members, percent, turn)))
         turn, before = turn + 1, left
     of_class = classes.join(state, "doc", "left").select(*_SET, F.coalesce("component", "doc").alias("component"))

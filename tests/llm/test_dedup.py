@@ -1,3 +1,5 @@
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,43 @@ def test_short_sketches_and_forced_rounds_lose_no_link(docs, rows, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == {d: c for d, (_, c) in brute.components(rows, 3, 85).items()}
 
 
+def _template(count, own, words=400):
+    draw = random.Random(5)
+    rows = []
+    for k in range(count):
+        text = [f"t{i}" for i in range(words)]
+        at = words - int(words * own)
+        text[at:] = [f"o{k}x{i}" for i in range(words - at)]
+        rows.append((k, " ".join(text)))
+    for k in range(12):  # copies with a few changes, and with a third of the others' own words
+        text = rows[7 * k][1].split()
+        for _ in range(3):
+            text[draw.randrange(len(text))] = f"z{draw.randrange(10**6)}"
+        rows.append((count + k, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("own", [0.06, 0.1, 0.14])
+def test_documents_on_one_template_do_not_all_meet(spark, monkeypatch, own):
+    monkeypatch.setattr(minhash_dedup, "PAIRS_PER_ENTRY", 0)
+    met = []
+    made = minhash_dedup._by_prefix
+
+    def counted(*given):
+        found = made(*given)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash_dedup, "_by_prefix", counted)
+    rows = _template(150, own)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs, 3, 85).collect()}
+    assert got == {d: c for d, (_, c) in brute.components(rows, 3, 85).items()}
+    assert all(n <= 5 * len(rows) for n in met)
+    if own > 0.09:
+        assert met
+
+
 def test_chain_of_links_is_one_component(spark):
     links = spark.range(1, 60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = {r["node"]: r["root"] for r in components(links, "a", "b").collect()}
