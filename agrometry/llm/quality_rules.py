@@ -6,9 +6,9 @@
    source and measure: counts of values cut to their 7 leading bits, so a value errs by less than a 64th.  Sketches
    merge by adding counts, whatever the partitions, and the same rows always give the same sketch.  A source with less
    than ``LEAST`` documents in its language takes the sketch of the whole language, and a language with less that of all.
-3. A value is too high beyond ``max(Q3 + 3 spread, Q99)``, and (for the length of words) too low beyond
-   ``min(Q1 - 3 spread, Q1%)``, where the spread is ``Q3 - Q1`` or the measure's least spread.  So a rule drops at most
-   a hundredth of a group, and only values far outside.
+3. A value is too high beyond ``Q3 + 3 spread``, and (for the length of words) too low beyond ``Q1 - 3 spread``, where the
+   spread is ``Q3 - Q1`` or the measure's least spread: where the middle half of a group lies close together, the bounds
+   are the usual fixed ones (about 3 % symbols, 30 % repeated lines or words); groups that vary more get wider ones.
 4. Documents are joined with the bounds of their group.  Groups with a ten-thousandth of all documents or more are at
    most 10 000, whose bounds are broadcast; of the other groups none is large, and they are joined by a shuffle.
 
@@ -34,9 +34,9 @@ SYMBOLS = "#*$%&|<>"
 #: Measure, its value as a whole number, the least spread, and whether low values count as well.
 MEASURES = (
     ("symbols", "1000000 * n_symbols div greatest(word_chars, 1)", 10_000, False),
-    ("lines", "1000000 * n_dup_lines div greatest(n_lines, 1)", 10_000, False),
-    ("repeats", "1000000 * n_repeat_words div greatest(n_words, 1)", 10_000, False),
-    ("length", "1000 * word_chars div greatest(n_words, 1)", 250, True),
+    ("lines", "1000000 * n_dup_lines div greatest(n_lines, 1)", 100_000, False),
+    ("repeats", "1000000 * n_repeat_words div greatest(n_words, 1)", 100_000, False),
+    ("length", "1000 * word_chars div greatest(n_words, 1)", 500, True),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -111,12 +111,12 @@ def bounds(sketch: DataFrame, key: list[str]) -> DataFrame:
     group = Window.partitionBy(*key, "measure")
     upto = merged.select(*key, "measure", "cell", F.sum("n").over(group.orderBy("cell")).alias("upto"), F.sum("n").over(group).alias("n"))
     quantile = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("n"), F.col("cell")))
-    found = upto.groupBy(*key, "measure").agg(F.max("n").alias("n"), *(quantile(q).alias(f"q{q}") for q in (1, 25, 75, 99)))
+    found = upto.groupBy(*key, "measure").agg(F.max("n").alias("n"), *(quantile(q).alias(f"q{q}") for q in (25, 75)))
     least = F.get(F.array(*(F.lit(m[2]) for m in MEASURES)), F.col("measure"))
     both = F.get(F.array(*(F.lit(m[3]) for m in MEASURES)), F.col("measure"))
     spread = 3 * F.greatest(F.col("q75") - F.col("q25"), least)
-    low = F.when(both, F.least(F.col("q25") - spread, F.col("q1"))).otherwise(F.lit(0)).cast("bigint")
-    pair = F.struct("measure", low.alias("low"), F.greatest(F.col("q75") + spread, F.col("q99")).alias("high"))
+    low = F.when(both, F.col("q25") - spread).otherwise(F.lit(0)).cast("bigint")
+    pair = F.struct("measure", low.alias("low"), (F.col("q75") + spread).alias("high"))
     return found.groupBy(*key).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(pair)).alias("bounds"))
 
 
@@ -158,11 +158,11 @@ def sql(least: int = LEAST) -> str:
     value = ", ".join(f"({v.replace(' div ', ' // ')})" for _, v, _, _ in MEASURES)
     spread = " ".join(f"WHEN {k} THEN {m[2]}" for k, m in enumerate(MEASURES))
     both = ", ".join(str(k) for k, m in enumerate(MEASURES) if m[3])
-    quantiles = ", ".join(f"min(cell) FILTER (100 * upto >= {q} * total) AS q{q}" for q in (1, 25, 75, 99))
+    quantiles = ", ".join(f"min(cell) FILTER (100 * upto >= {q} * total) AS q{q}" for q in (25, 75))
 
     def limits(name: str, key: str) -> str:
         return f"""{name} AS (
-    SELECT {key}, measure, total, CASE WHEN measure IN ({both}) THEN least(q25 - spread, q1) ELSE 0 END AS low, greatest(q75 + spread, q99) AS high
+    SELECT {key}, measure, total, CASE WHEN measure IN ({both}) THEN q25 - spread ELSE 0 END AS low, q75 + spread AS high
     FROM (SELECT *, 3 * greatest(q75 - q25, CASE measure {spread} END) AS spread FROM (
         SELECT {key}, measure, total, {quantiles} FROM (
             SELECT {key}, measure, cell, sum(n) OVER (PARTITION BY {key}, measure ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY {key}, measure) AS total

@@ -36,11 +36,14 @@ def test_counts_of_awkward_texts(spark, rows):
     assert _judged(spark, []) == []
 
 
+SIGNS = " ".join(f"##{k}" for k in range(20)) + " "
+
+
 def _documents(n=400):
     plain = lambda k: " ".join(f"word{(k * 31 + i * 7) % 997}" for i in range(60))
     rows = [(k, plain(k), "en", "big") for k in range(n)]
-    rows += [(1000 + k, "# " * 12 + plain(k), "en", "code") for k in range(n)]
-    rows += [(2000, "# " * 12 + plain(5), "en", "big"), (2001, "# " * 12 + plain(6), "en", "rare"), (2002, plain(7), "en", "rare"), (2003, plain(8), None, None)]
+    rows += [(1000 + k, SIGNS + plain(k), "en", "code") for k in range(n)]
+    rows += [(2000, SIGNS + plain(5), "en", "big"), (2001, SIGNS + plain(6), "en", "rare"), (2002, plain(7), "en", "rare"), (2003, plain(8), None, None)]
     rows += [(2004, " ".join(["tiny"] * 9 + ["x"] * 40 + [f"y{k}" for k in range(30)]), "de", "few"), (2005, " ".join("q" * 40 + str(k) for k in range(40)), "en", "code")]
     return rows
 
