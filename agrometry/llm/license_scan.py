@@ -1,19 +1,23 @@
 """Licences of files: notices in their text by TF-IDF cosine, else the nearest licensed directory above.
 
-Every line of a text is compared with the notice templates.  Terms are runs of a-z and 0-9 in lower case (A-Z); a
-term's weight is its count times ``ln((1 + N) / (1 + files with it)) + 1``, with files counted over the whole table;
-terms of no template weigh as terms that no file has.  A file's own licence is that of its most similar line, if the
-cosine reaches ``threshold``.  In a file named like a licence file the whole text is compared too.
+Runs of consecutive lines of a text (of the lengths in ``RUNS``, so headers of one line and of many) are compared with
+notice templates: sentences, usual file headers, the text of short licences, and SPDX lines.  Terms are runs of a-z and
+0-9 in lower case (A-Z), so comment signs do not count; a term's weight is its count times
+``ln((1 + N) / (1 + files with it)) + 1``, with files counted over the whole table; terms of no template weigh as terms
+that no file has.  A file's own licence is that of its most similar run, if the cosine reaches the template's threshold
+(SPDX lines need nearly all of it, as they differ in a name alone).  A clause that only one of two nested licences has
+counts before all else.  In a file named like a licence file the whole text
+is compared too.
 
 A licence file, or a text that is a notice for ``share`` of its terms or more, licenses its directory.  A file without
 a notice of its own inherits from the nearest directory above it that is licensed, by joins on directory paths.
 
-Only lines with a rare template term are looked at closely: template terms count as common, the most frequent first,
-only as long as common terms alone cannot reach the threshold with any template, so the others must be present.
+Only runs with a rare template term are looked at: template terms count as common, the most frequent first, only as
+long as common terms alone cannot reach the threshold with any template, so one of the others must be present.
 
-Null or empty texts and paths are empty: no notice, directory ``''``.  Ties go to the first licence by name, then line
-or path.  Rows that repeat a path are one file with several texts and all get its best result; other columns are
-ignored.  All steps are built-in expressions; nothing but term counts and templates is broadcast.
+Null or empty texts and paths are empty: no notice, directory ``''``.  Ties go to the first licence by name, then line,
+then the shorter run, or path.  Rows that repeat a path are one file with several texts and all get its best result;
+other columns are ignored.  All steps are built-in expressions; nothing but term counts and templates is broadcast.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +33,11 @@ from pyspark.sql import functions as F
 from agrometry.llm.staging import staged
 
 THRESHOLD = 0.6
+EXACT = 0.95
+CLAUSE = 0.8
 SHARE = 0.5
+#: Lengths of the runs of lines that are compared.
+RUNS = (1, 2, 3, 4, 6, 8, 11, 14, 18, 22)
 
 # Names and usual notices of licences.
 TEMPLATES = (
@@ -40,10 +49,91 @@ TEMPLATES = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+
+# Usual headers of files and texts of short licences.
+_GNU_HEADER = (
+    "This {thing} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
+    "the Free Software Foundation, either version {version} of the License, or (at your option) any later version. "
+    "This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+    "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. "
+    "You should have received a copy of the GNU {name} along with this {thing}. If not, see https://www.gnu.org/licenses/"
+)
+_GNU = (
+    ("GPL-2.0", "General Public License", "2", "program"),
+    ("GPL-3.0", "General Public License", "3", "program"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1", "library"),
+    ("LGPL-3.0", "Lesser General Public License", "3", "library"),
+    ("AGPL-3.0", "Affero General Public License", "3", "program"),
+)
+HEADERS = (
+    *((short, _GNU_HEADER.format(name=name, version=version, thing=thing)) for short, name, version, thing in _GNU),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to "
+        'in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+        "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+        "so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+)
+# Fixed value: the clause that sets a licence apart from one whose text it holds whole.
+CLAUSES = (
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
+    ),
+)
+# Identifiers of the SPDX list and the licences they stand for.
+SPDX = (
+    *((name, name) for name in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "ISC", "MIT", "MPL-2.0", "Unlicense")),
+    *((short, short + more) for short, *_ in _GNU for more in ("", "-only", "-or-later")),
+)
+
+
+@dataclass(frozen=True)
+class Template:
+    license: str
+    terms: Counter
+    threshold: float
+    #: A notice of higher rank counts before any other of its file.
+    rank: int = 0
+
+
 LICENCE_FILE = "^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,20 +144,25 @@ def _terms(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, _CAPITALS, _SMALL), _BREAK), lambda t: t != "")
 
 
-def template_terms(templates=TEMPLATES) -> dict[str, Counter]:
-    return {name: Counter(t for t in re.split(_BREAK, text.lower()) if t) for name, text in templates}
+def templates() -> list[Template]:
+    """All templates; one of two with the same terms counts."""
+    texts = [(name, text, THRESHOLD, 0) for name, text in (*TEMPLATES, *HEADERS)]
+    texts += [(name, f"SPDX-License-Identifier: {sign}", EXACT, 0) for name, sign in SPDX]
+    texts += [(name, text, CLAUSE, 1) for name, text in CLAUSES]
+    return [Template(name, Counter(t for t in re.split(_BREAK, text.lower()) if t), least, rank) for name, text, least, rank in texts]
 
 
-def _rare(templates: dict[str, Counter], idf: dict[str, float], threshold: float) -> list[str]:
-    """Terms of which a line must have one to reach the threshold with any template."""
-    norms = {name: sum((n * idf[t]) ** 2 for t, n in terms.items()) for name, terms in templates.items()}
+def _rare(known: list[Template], idf: dict[str, float]) -> list[str]:
+    """Terms of which a run must have one to reach the threshold with any template."""
+    weight = lambda t, term: (t.terms[term] * idf[term]) ** 2
+    limits = [(0.999 * t.threshold) ** 2 * sum(weight(t, term) for term in t.terms) for t in known]
+    reached = [0.0] * len(known)
     common: set[str] = set()
     for term in sorted(idf, key=lambda t: (idf[t], t)):
-        tried = common | {term}
-        reach = max(sum((n * idf[t]) ** 2 for t, n in terms.items() if t in tried) / norms[name] for name, terms in templates.items())
-        if reach >= (0.999 * threshold) ** 2:
+        reached = [r + weight(t, term) for r, t in zip(reached, known)]
+        if any(r >= limit for r, limit in zip(reached, limits)):
             break
-        common = tried
+        common.add(term)
     return sorted(set(idf) - common)
 
 
@@ -75,51 +170,69 @@ def _directory(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
 
 
-def own_notices(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def _runs(terms: Column, rare: Column, runs=RUNS) -> Column:
+    """Runs (line, length, terms) of lines, given as arrays of terms, around the lines with a rare term."""
+    count = F.size(terms)
+    marked = F.filter(F.transform(terms, lambda t, i: F.when(F.arrays_overlap(t, rare), i)), lambda i: i.isNotNull())
+
+    def starts(line: Column, n: int) -> Column:
+        first, last = F.greatest(line - F.lit(n - 1), F.lit(0)), F.least(line, count - F.lit(n))
+        places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(i.alias("line"), F.lit(n).alias("length")))
+
+    def around(line: Column) -> Column:
+        return F.concat(*(starts(line, n) for n in runs))
+
+    every = F.array_distinct(F.flatten(F.transform(marked, around)))
+    return F.transform(every, lambda r: F.struct(r["line"].alias("line"), r["length"].alias("length"), F.flatten(F.slice(terms, r["line"] + 1, r["length"])).alias("terms")))
+
+
+def own_notices(files: DataFrame, known: list[Template]) -> DataFrame:
     """Rows (path, license, score, share): the best notice of each file that has one, and its share of the file's terms."""
-    terms = template_terms(templates)
-    vocabulary = sorted({t for counts in terms.values() for t in counts})
-    known = F.array(*map(F.lit, vocabulary))
-    seen = files.select(F.explode(F.concat(F.array_intersect(_terms(F.col("text")), known), F.array(F.lit("")))).alias("term"))
+    vocabulary = sorted({term for t in known for term in t.terms})
+    listed = F.array(*map(F.lit, vocabulary))
+    seen = files.select(F.explode(F.concat(F.array_intersect(_terms(F.col("text")), listed), F.array(F.lit("")))).alias("term"))
     counts = {r["term"]: r["n"] for r in seen.groupBy("term").agg(F.count("*").alias("n")).collect()}
     total = counts.get("", 0)
     weigh = lambda n: math.log((1 + total) / (1 + n)) + 1
     idf = {t: weigh(counts.get(t, 0)) for t in vocabulary}
-    rare = F.array(*map(F.lit, _rare(terms, idf, threshold)))
+    rare = F.array(*map(F.lit, _rare(known, idf)))
 
-    pieces = F.split("text", "\n")
     named = F.regexp_like(F.translate(F.element_at(F.split("path", "/"), -1), _CAPITALS, _SMALL), F.lit(LICENCE_FILE))
-    pieces = F.when(named, F.concat(pieces, F.array("text"))).otherwise(pieces)
-    pieces = F.transform(pieces, lambda p, i: F.struct(i.alias("line"), _terms(p).alias("terms")))
-    pieces = F.filter(pieces, lambda p: F.arrays_overlap(p["terms"], rare))
-    lines = files.select("path", "copy", F.size(_terms(F.col("text"))).alias("whole"), F.explode(pieces).alias("piece"))
-    lines = lines.select("path", "copy", "whole", "piece.line", "piece.terms")
+    whole = files.select("path", "copy", "text", named.alias("named"), _terms(F.col("text")).alias("all"))
+    # the outer arrays give the lines' terms a name, so that they are made once
+    lines = F.transform(F.split("text", "\n"), _terms)
+    found = F.get(F.transform(F.array(lines), lambda held: _runs(held, rare)), F.lit(0))
+    text = F.array(F.struct(F.lit(-1).alias("line"), F.lit(0).alias("length"), F.col("all").alias("terms")))
+    pieces = F.concat(found, F.when(F.col("named"), text).otherwise(F.array_remove(text, text[0])))
+    lines = whole.where(F.arrays_overlap("all", rare)).select("path", "copy", F.size("all").alias("whole"), F.explode(pieces).alias("piece"))
+    lines = lines.select("path", "copy", "whole", "piece.*")
     session = files.sparkSession
     weights = session.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double")
     rows = []
-    for name, found in terms.items():
-        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in found.items()))
-        rows += [(t, name, n * idf[t] / norm) for t, n in found.items()]
-    weighted = session.createDataFrame(rows, "term string, license string, weight double")
-    key = ["path", "copy", "line", "whole", "held"]
-    tf = lines.select("path", "copy", "line", "whole", F.size("terms").alias("held"), F.explode("terms").alias("term"))
+    for number, t in enumerate(known):
+        norm = math.sqrt(sum((n * idf[term]) ** 2 for term, n in t.terms.items()))
+        rows += [(term, number, t.license, t.threshold, -t.rank, n * idf[term] / norm) for term, n in t.terms.items()]
+    weighted = session.createDataFrame(rows, "term string, template int, license string, least double, rank int, weight double")
+    key = ["path", "copy", "line", "length", "whole", "held"]
+    tf = lines.select("path", "copy", "line", "length", "whole", F.size("terms").alias("held"), F.explode("terms").alias("term"))
     tf = tf.groupBy(*key, "term").agg(F.count("*").alias("n")).join(F.broadcast(weights), "term", "left")
     length = F.when(F.col("idf").isNull(), F.col("n") * weigh(0) ** 2).otherwise((F.col("n") * F.col("idf")) ** 2)
     norms = tf.groupBy(*key).agg(F.sum(length).alias("norm"))
-    dots = tf.join(F.broadcast(weighted), "term").groupBy(*key, "license").agg(F.sum(F.col("n") * F.col("idf") * F.col("weight")).alias("dot"))
-    found = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.sqrt("norm"), 6)).where(F.col("score") >= threshold)
-    first = F.min(F.struct((-F.col("score")).alias("order"), "license", "line", "score", (F.col("held") / F.col("whole")).alias("share")))
-    return found.groupBy("path").agg(first.alias("best")).select("path", "best.license", "best.score", "best.share")
+    dots = tf.join(F.broadcast(weighted), "term").groupBy(*key, "template", "license", "least", "rank").agg(F.sum(F.col("n") * F.col("idf") * F.col("weight")).alias("dot"))
+    scored = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.sqrt("norm"), 6)).where("score >= least")
+    first = F.min(F.struct("rank", (-F.col("score")).alias("order"), "license", "line", "length", "score", (F.col("held") / F.col("whole")).alias("share")))
+    return scored.groupBy("path").agg(first.alias("best")).select("path", "best.license", "best.score", "best.share")
 
 
-def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, share: float = SHARE) -> DataFrame:
+def scan(files: DataFrame, known: list[Template] | None = None, share: float = SHARE) -> DataFrame:
     """Rows (path, license, score, evidence, source): one for each row of ``files`` (path, text).
 
     ``evidence`` is ``notice``, ``inherited`` or ``none``; ``source`` is the file itself or the licensed directory.
     """
     files = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # rows of one path are told apart by their text
-    own = staged(own_notices(files.withColumn("copy", F.xxhash64("text")), templates, threshold), "notices")
+    own = staged(own_notices(files.withColumn("copy", F.xxhash64("text")), known or templates()), "notices")
     named = F.regexp_like(F.translate(F.element_at(F.split("path", "/"), -1), _CAPITALS, _SMALL), F.lit(LICENCE_FILE))
     granted = own.where(named | (F.col("share") >= share)).withColumn("directory", _directory(F.col("path")))
     granted = granted.groupBy("directory").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "path", "score")).alias("best"))
@@ -141,44 +254,64 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, sh
 
 
 def document_path(doc_id: str = "doc_id", source: str = "source") -> Column:
-    """Where a document of the given tables lies: by source and ten thousands of its number, nine in ten a step deeper."""
+    """Where a document of the given tables lies: by source and ten thousands of its number, nine in ten a step deeper.
+
+    One in fifty is named like a licence file.
+    """
     number = F.col(doc_id)
     deeper = F.when(number % 10 != 0, F.floor(number / 1000).cast("string"))
     place = [F.coalesce(F.col(source), F.lit("none")), F.floor(number / 10000).cast("string"), deeper]
-    return F.concat_ws("/", *place, F.concat(number.cast("string"), F.lit(".txt")))
+    name = F.concat(F.when(number % 50 == 7, "LICENSE-").otherwise(""), number.cast("string"), F.lit(".txt"))
+    return F.concat_ws("/", *place, name)
+
 
+def sql(share: float = SHARE) -> str:
+    """The scan of documents for DuckDB: every run of lines against every template.
 
-def sql(templates=TEMPLATES, threshold: float = THRESHOLD, share: float = SHARE) -> str:
-    """The scan of documents for DuckDB: every line against every template."""
-    values = ", ".join(f"('{name}', '{term}', {n})" for name, terms in template_terms(templates).items() for term, n in terms.items())
+    Only texts that hold enough of a template's weight for its threshold (by the inequality of Cauchy and Schwarz) are cut into runs.
+    """
+    known = templates()
+    values = ", ".join(f"({k}, '{t.license}', {t.threshold}, {t.rank}, '{term}', {n})" for k, t in enumerate(known) for term, n in t.terms.items())
+    lengths = ", ".join(map(str, RUNS))
     words = f"list_filter(string_split_regex(translate(text, '{_CAPITALS}', '{_SMALL}'), '{_BREAK}'), lambda t: t <> '')"
     return f"""
 WITH files AS (
     SELECT doc_id, coalesce(source, 'none') || '/' || (doc_id // 10000) || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '/' || (doc_id // 1000) END AS directory,
-        doc_id || '.txt' AS name, coalesce(text, '') AS text FROM documents
-), template(license, term, n) AS (VALUES {values}),
+        CASE WHEN doc_id % 50 = 7 THEN 'LICENSE-' ELSE '' END || doc_id || '.txt' AS name, doc_id % 50 = 7 AS named, coalesce(text, '') AS text FROM documents
+), template(template, license, least, rank, term, n) AS (VALUES {values}),
 total AS (SELECT count(*) AS files FROM files),
+held AS (SELECT doc_id, {words} AS words FROM files),
 idf AS (
     SELECT term, ln((1 + any_value(total.files)) / (1 + count(DISTINCT doc_id))) + 1 AS idf
-    FROM (SELECT DISTINCT term FROM template) LEFT JOIN (SELECT doc_id, unnest({words}) AS term FROM files) USING (term), total GROUP BY term
+    FROM (SELECT DISTINCT term FROM template) LEFT JOIN (SELECT doc_id, unnest(words) AS term FROM held) USING (term), total GROUP BY term
 ), unknown AS (SELECT ln(1 + files) + 1 AS idf FROM total),
-weighted AS (SELECT license, term, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY license)) AS weight FROM template JOIN idf USING (term)),
-lines AS (
+weighted AS (SELECT template, license, least, rank, term, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM template JOIN idf USING (term)),
+able AS (
+    SELECT DISTINCT doc_id FROM (
+        SELECT doc_id, template FROM (SELECT DISTINCT doc_id, unnest(words) AS term FROM held) JOIN weighted USING (term)
+        GROUP BY doc_id, template HAVING sqrt(sum(weight ** 2)) >= 0.999 * any_value(least)
+    )
+), line AS (
     SELECT doc_id, line, {words.replace("text", "piece")} AS terms
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS line FROM files)
-), tf AS (SELECT doc_id, line, term, count(*) AS n FROM (SELECT doc_id, line, unnest(terms) AS term FROM lines) GROUP BY ALL),
-norms AS (
-    SELECT doc_id, line, sum(n) AS held, sum(CASE WHEN idf.idf IS NULL THEN n * unknown.idf ** 2 ELSE (n * idf.idf) ** 2 END) AS norm
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS line FROM files SEMI JOIN able USING (doc_id))
+), counted AS (SELECT doc_id, line, term, count(*) AS n FROM (SELECT doc_id, line, unnest(terms) AS term FROM line) GROUP BY ALL),
+lasting AS (SELECT doc_id, max(line) + 1 AS lines FROM line GROUP BY doc_id),
+run AS (SELECT doc_id, length, unnest(range(0, greatest(lines - length + 1, 0))) AS line FROM lasting, (SELECT unnest([{lengths}]) AS length)),
+tf AS (
+    SELECT r.doc_id, r.line, r.length, term, sum(n) AS n FROM run r JOIN counted c ON c.doc_id = r.doc_id AND c.line >= r.line AND c.line < r.line + r.length GROUP BY ALL
+    UNION ALL SELECT doc_id, -1, 0, term, sum(n) FROM counted JOIN files USING (doc_id) WHERE named GROUP BY ALL
+), norms AS (
+    SELECT doc_id, line, length, sum(n) AS held, sum(CASE WHEN idf.idf IS NULL THEN n * unknown.idf ** 2 ELSE (n * idf.idf) ** 2 END) AS norm
     FROM tf LEFT JOIN idf USING (term), unknown GROUP BY ALL
 ), dots AS (
-    SELECT doc_id, line, license, sum(n * idf * weight) AS dot FROM tf JOIN idf USING (term) JOIN weighted USING (term) GROUP BY ALL
+    SELECT doc_id, line, length, template, license, least, rank, sum(n * idf * weight) AS dot FROM tf JOIN idf USING (term) JOIN weighted USING (term) GROUP BY ALL
 ), scored AS (
-    SELECT doc_id, line, license, round(dot / sqrt(norm), 6) AS score, held / len({words}) AS share
-    FROM dots JOIN norms USING (doc_id, line) JOIN files USING (doc_id)
+    SELECT doc_id, line, length, license, least, rank, round(dot / sqrt(norm), 6) AS score, norms.held / len(words) AS share
+    FROM dots JOIN norms USING (doc_id, line, length) JOIN held USING (doc_id)
 ), own AS (
-    SELECT * FROM scored WHERE score >= {threshold} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, line) = 1
+    SELECT * FROM scored WHERE score >= least QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY rank DESC, score DESC, license, line, length) = 1
 ), granted AS (
-    SELECT directory, license AS up_license, score AS up_score FROM own JOIN files USING (doc_id) WHERE share >= {share}
+    SELECT directory, license AS up_license, score AS up_score FROM own JOIN files USING (doc_id) WHERE named OR share >= {share}
     QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, license, directory || '/' || name) = 1
 ), nearest AS (
     SELECT f.doc_id, g.* FROM files f JOIN granted g ON starts_with(f.directory || '/', g.directory || '/')

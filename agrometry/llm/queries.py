@@ -47,7 +47,7 @@ def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     files = table(spark, folder, "documents").select(license_scan.document_path().alias("path"), "text")
-    number = F.regexp_extract("path", "([^/]*)\\.txt$", 1).cast("bigint")
+    number = F.regexp_extract("path", "([0-9]*)\\.txt$", 1).cast("bigint")
     return license_scan.scan(files).withColumn("doc_id", number)
 
 
