@@ -1,6 +1,9 @@
 """The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, packing.
 
-Every stage takes ``(spark, docs, sf_dir)`` and returns a table; all but the last return the columns of documents.
+Every stage takes ``(spark, docs, sf_dir)`` and returns a table; all but the last return the columns of documents, whatever
+they are beside doc_id and text.  Null texts are empty texts: they have a quality score, no duplicates and no passages,
+and pack as a lone end token if they are accepted.  Rows that share a doc_id, or have none, are documents like any
+others; of repeated rows one stays.  Empty tables give empty tables.
 """
 
 from __future__ import annotations
