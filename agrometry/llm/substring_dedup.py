@@ -5,8 +5,9 @@ fingerprint is its anchor; consecutive windows with one anchor form a segment.
 only segments whose anchor occurs twice can hold a repeat:
 
 1. Anchors are counted over all documents (fingerprints only); those that occur once are done.
-2. Segments of repeated anchors are grouped by their words.  A later copy of a segment repeats all its windows.  An
-   anchor with a single distinct segment is then done as well.
+2. Segments of repeated anchors are grouped by their words.  A later copy of a segment repeats all its windows: a document's
+   copies are its segments less those that it is the first to hold.  An anchor with a single distinct segment is then
+   done as well.
 3. The first copies of the other segments go to shards by anchor.  Each shard is a compressed FM-index (wavelet
    matrix, sampled places) in the order of the corpus; its windows stream through backward search, with one step for
    all of them at a time, until they are found unique or the match is a whole window.  The earliest place of each
@@ -47,6 +48,8 @@ _SEGMENT = "anchor bigint, segment bigint, doc bigint, row bigint, start bigint,
 #: A document: its id and a fingerprint of id and text.
 _KEY = ["doc", "row"]
 _NO_ID = -(1 << 63)
+#: A segment's place in a document is its first word, shifted by so many bits, and its number of windows.
+_WINDOW_BITS = 20
 
 
 def _keyed(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -284,6 +287,21 @@ def _later_windows(docs: DataFrame, hot: DataFrame, window: int) -> DataFrame:
     return found.drop("run")
 
 
+def _copies(listed: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
+    """Rows (doc, row, listed): spans of each document's segments that are not the first of their words.
+
+    Documents meet the list of segments that they are the first to hold, so no key is one of many rows.
+    """
+    code = (F.shiftleft("start", _WINDOW_BITS) + F.col("windows")).alias("code")
+    held = listed.groupBy(*_KEY).agg(F.collect_set(code).alias("held"))
+    own = distinct.groupBy(*_KEY).agg(F.collect_set(code).alias("own"))
+    later = F.array_except("held", F.coalesce("own", F.array().cast("array<bigint>")))
+    begin, windows = lambda c: F.shiftright(c, _WINDOW_BITS), lambda c: c.bitwiseAND(F.lit((1 << _WINDOW_BITS) - 1))
+    span = lambda c: F.struct(begin(c).alias("begin"), (begin(c) + windows(c) + F.lit(window - 1)).alias("end"))
+    rows = held.join(own, _KEY, "left").select(*_KEY, F.transform(later, span).alias("listed"))
+    return rows.where(F.size("listed") > 0)
+
+
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Rows (doc, row, listed): spans of words, which may overlap, that an earlier window repeats."""
     docs = docs.select(*_keyed(), F.col("text").cast("string").alias("text"))
@@ -309,11 +327,9 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     if not hot.isEmpty():
         searched = searched.union(_later_windows(docs, hot, window))
 
-    copied = distinct.where("n > 1").select("anchor", "segment", F.struct(*_KEY, "start").alias("first"))
-    copies = listed.join(copied, ["anchor", "segment"]).where(F.struct(*_KEY, "start") != F.col("first"))
-    copies = copies.select(*_KEY, F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("end"))
-    both = searched.union(copies).distinct()
-    return staged(both.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "end")).alias("listed")), "removals")
+    span = F.struct("begin", "end")
+    found = searched.groupBy(*_KEY).agg(F.collect_list(span).alias("listed")).union(_copies(listed, distinct, window))
+    return staged(found.groupBy(*_KEY).agg(F.flatten(F.collect_list("listed")).alias("listed")), "removals")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: list[str] | None = None) -> DataFrame:
