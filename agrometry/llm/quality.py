@@ -2,12 +2,15 @@
 
 A document's score is a weighted sum of features of its text.  The weights make the better document of each preference
 pair (one labelled 1, one labelled 0) score higher: logistic loss on the difference of the pair's features, minimised
-by gradient descent.  The score's threshold is a quantile of the labelled scores: the share of labelled documents that
+by Newton steps.  The score's threshold is a quantile of the labelled scores: the share of labelled documents that
 have label 0.  A logistic curve around the threshold turns scores into values from 0 to 1.
 
 Features count kinds of characters and neighbouring kinds, and measure words and lines; they are made where the text
-is, from the whole text.  Training takes at most ``PER_LABEL`` documents of each label, those with the smallest hash
-of their doc_id, and ``PAIRS`` pairs of them; the fitted weights are a few kilobytes.
+is, from the whole text.  Training takes every labelled document that is not held out.  All pairs would grow with the
+square of the labels, so documents are dealt by hash to groups of about ``GROUP``, and every pair inside a group counts;
+documents of a rare label stand in as many groups as it takes to have ``RARE`` in each.  Each step is one scan of the
+stored features that adds up slopes and curvature task by task; the driver gets sums of a fixed size.  Means, deviations,
+label shares and the threshold are those of all labelled documents, each counted once.
 
 Null and empty texts have features of their own (all counts zero) and a score.  Without labels of both kinds every
 document scores 0.5, and is accepted.  Repeated rows score alike; null labels and other columns are
@@ -16,19 +19,29 @@ ignored; a label without a document is not learned from, but counts in the share
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrometry.llm import arrays
+from agrometry.llm import arrays, membership
+from agrometry.llm.staging import staged
 
-PER_LABEL = 3_000
-PAIRS = 12_000
-ROUNDS = 120
+#: Labelled documents in a group, and how many of a rare label a group has at least, if there are so many.
+GROUP, RARE = 256, 32
+#: Scans of the groups at most; steps end before if they would change nothing.
+ROUNDS = 12
+#: Weight of the squared weights beside the mean loss of the pairs.
+SHRINK = 1e-3
+#: Bins of a scan for the threshold, and so many scores that the driver may sort.
+BINS = 4_096
+#: Tasks' sums are added in so many groups before the driver adds those.
+_SUMMED = 16
 
 _KINDS = 12
 _KIND = np.full(256, 9, np.uint8)  # other signs
@@ -107,38 +120,96 @@ class Ranking:
     threshold: float
     spread: float
 
+    def raw(self, rows: np.ndarray) -> np.ndarray:
+        return np.clip((rows - self.centre) / self.scale, -8, 8) @ self.weights
+
     def score(self, rows: np.ndarray) -> np.ndarray:
-        raw = np.clip((rows - self.centre) / self.scale, -8, 8) @ self.weights
-        return 1 / (1 + np.exp(-np.clip((raw - self.threshold) / self.spread, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip((self.raw(rows) - self.threshold) / self.spread, -30, 30)))
 
 
-def fit(good: np.ndarray, poor: np.ndarray, rejected: float, pairs: int = PAIRS, rounds: int = ROUNDS) -> Ranking:
-    """Learn from feature rows of both labels; ``rejected`` is the share of label 0."""
-    width = FEATURES
+Pairs = tuple[np.ndarray, np.ndarray]
+#: Adds up what a function gives for the rows of label 1 and those of label 0 of every group.
+Summed = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _moments(good: np.ndarray, poor: np.ndarray) -> np.ndarray:
+    rows = np.concatenate([good, poor])
+    return np.concatenate([[len(rows)], rows.sum(0), (rows**2).sum(0)])
+
+
+def _slopes(good: np.ndarray, poor: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Pairs, loss, gradient and curvature of all pairs of two sets of standardised rows."""
     if not len(good) or not len(poor):
-        return Ranking(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 1.0)
-    every = np.concatenate([good, poor])
-    centre, scale = every.mean(0), every.std(0)
-    scale[scale < 1e-9] = 1e9
+        return np.zeros(2 + len(weights) + len(weights) ** 2)
+    ahead = np.clip((good @ weights)[:, None] - (poor @ weights)[None, :], -30, 30)
+    miss = 1 / (1 + np.exp(ahead))
+    bend = miss * (1 - miss)
+    cross = good.T @ bend @ poor
+    curve = (good.T * bend.sum(1)) @ good + (poor.T * bend.sum(0)) @ poor - cross - cross.T
+    slope = poor.T @ miss.sum(0) - good.T @ miss.sum(1)
+    return np.concatenate([[ahead.size, np.log1p(np.exp(-ahead)).sum()], slope, curve.ravel()])
+
+
+def _weights(summed: Summed, once: Summed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centre, scale and weights by Newton steps, halved where the loss would rise; ``once`` leaves copies out."""
+    count, *sums = np.split(once(_moments), [1, 1 + FEATURES])
+    centre, square = (x / max(1, count[0]) for x in sums)
+    scale = np.sqrt(np.maximum(0, square - centre**2))
+    scale[scale < 1e-9 + 1e-6 * np.abs(centre)] = 1e9
     plain = lambda x: np.clip((x - centre) / scale, -8, 8)
-    good, poor = plain(good), plain(poor)
-    draw = np.random.default_rng(7)
-    difference = good[draw.integers(0, len(good), pairs)] - poor[draw.integers(0, len(poor), pairs)]
-    weights, first, second = np.zeros(width), np.zeros(width), np.zeros(width)
-    for turn in range(1, rounds + 1):
-        miss = 1 / (1 + np.exp(np.clip(difference @ weights, -30, 30)))
-        slope = -(miss @ difference) / pairs + 1e-4 * weights
-        first = 0.9 * first + 0.1 * slope
-        second = 0.99 * second + 0.01 * slope**2
-        weights = weights - 0.05 * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
-    # the sample has as many of both labels as it found; the quantile is that of the labelled rows
-    scores = np.concatenate([good @ weights, poor @ weights])
-    share = np.concatenate([np.full(len(good), (1 - rejected) / len(good)), np.full(len(poor), rejected / len(poor))])
-    order = np.argsort(scores)
-    below = np.cumsum(share[order])
-    at = int(np.searchsorted(below, rejected - 1e-12))
-    ordered = scores[order]
-    threshold = float(ordered[at] + ordered[min(at + 1, len(ordered) - 1)]) / 2
+    at, step, least = np.zeros(FEATURES), np.zeros(FEATURES), np.inf
+    for _ in range(ROUNDS):
+        tried = at + step
+        found = summed(lambda good, poor, w=tried: _slopes(plain(good), plain(poor), w))
+        if not found[0]:
+            break
+        found = found / found[0]
+        loss = found[1] + SHRINK / 2 * tried @ tried
+        if loss > least:
+            step = step / 2
+            continue
+        at, least = tried, loss
+        slope = found[2 : 2 + FEATURES] + SHRINK * at
+        step = -np.linalg.solve(found[2 + FEATURES :].reshape(FEATURES, -1) + SHRINK * np.eye(FEATURES), slope)
+        if -step @ slope < 1e-7:
+            break
+    # sums of doubles differ in their last digits with the order of their terms
+    return centre, scale, np.round(at, 9)
+
+
+def _place(scores: np.ndarray, good: np.ndarray, poor: np.ndarray, rejected: float, below: float) -> tuple[int, bool]:
+    """The first of ascending scores up to which lies the rejected share, and whether all rows of that score do.
+
+    ``good`` and ``poor`` are the shares of all rows of each label at a score, ``below`` is what lies under the first.
+    """
+    mass = good * (1 - rejected) + poor * rejected
+    reached = below + np.cumsum(mass)
+    at = min(int(np.searchsorted(reached, rejected - 1e-12)), len(scores) - 1)
+    return at, bool(reached[at] <= rejected + 1e-12)
+
+
+def _between(value: float, following: float | None, whole: bool, alone: bool) -> float:
+    """The threshold over the last rejected score; a score shared by rejected and accepted rows is accepted."""
+    if not whole and not alone:
+        return value - 1e-6 * max(1.0, abs(value))
+    return value if following is None else (value + following) / 2
+
+
+def fit(good: np.ndarray, poor: np.ndarray, rejected: float) -> Ranking:
+    """Learn from feature rows of both labels; ``rejected`` is the share of label 0."""
+    if not len(good) or not len(poor):
+        return Ranking(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 1.0)
+    groups = ceil((len(good) + len(poor)) / GROUP)
+    dealt = list(zip(np.array_split(good, groups), np.array_split(poor, groups)))
+    summed = lambda work: sum(work(*pair) for pair in dealt)
+    centre, scale, weights = _weights(summed, summed)
+    plain = Ranking(centre, scale, weights, 0.0, 1.0)
+    scores = np.concatenate([plain.raw(good), plain.raw(poor)])
+    values, at = np.unique(scores, return_inverse=True)
+    share = [np.bincount(part, minlength=len(values)) for part in np.split(at, [len(good)])]
+    place, whole = _place(values, share[0] / len(good), share[1] / len(poor), rejected, 0.0)
+    following = float(values[place + 1]) if place + 1 < len(values) else None
+    threshold = _between(float(values[place]), following, whole, share[0][place] + share[1][place] == 1)
     return Ranking(centre, scale, weights, threshold, float(max(1e-9, scores.std() / 4)))
 
 
@@ -147,37 +218,141 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in arrays.slices(whole, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(features(batch.column(1))), pa.list_(pa.float64()))], ["label", "features"]
-            )
+def _featured(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Features, as four-byte numbers, of documents that may have a label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            some = membership.marked(sent.value, whole.column(2).to_numpy(zero_copy_only=False))
+            for batch in arrays.slices(whole.filter(pa.array(some)), "text"):
+                found = [row.tobytes() for row in features(batch.column(1)).astype(np.float32)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "features"])
+
+    return run
+
+
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("features").to_pylist()), np.float32).reshape(-1, FEATURES).astype(float)
+
 
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[Pairs]:
+    """Rows of label 1 and of label 0 of each group; groups are runs of rows."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    last = None
+    for batch in batches:
+        bucket, label = batch.column("bucket").to_numpy(), batch.column("label").to_numpy()
+        rows = _rows(batch)
+        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+        for some, values, number in zip(np.split(rows, cuts), np.split(label, cuts), bucket[[0, *cuts]] if len(bucket) else ()):
+            if held and number != last:
+                yield _divided(held)
+                held = []
+            held.append((some, values))
+            last = number
+    if held:
+        yield _divided(held)
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranking:
-    """Fit on labelled documents that are not held out."""
+
+def _divided(held: list[tuple[np.ndarray, np.ndarray]]) -> Pairs:
+    rows, label = (np.concatenate(part) for part in zip(*held))
+    return rows[label == 1], rows[label == 0]
+
+
+def _added(table: pa.Table) -> pa.Table:
+    order = np.argsort(table.column("part").to_numpy())
+    sums = table.column("sums").to_pylist()
+    total = sum(np.frombuffer(sums[k], np.float64) for k in order)
+    return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def _summed(rows: DataFrame) -> Summed:
+    """Sums over all groups: by task, then in ``_SUMMED`` groups of tasks, then on the driver, always in order of tasks."""
+
+    def sums(work: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for good, poor in _groups(batches):
+                found = work(good, poor)
+                total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+
+        parts = rows.mapInArrow(run, "part int, sums binary").groupBy(F.col("part") % _SUMMED)
+        found = parts.applyInArrow(_added, "part int, sums binary").collect()
+        return sum(np.frombuffer(r.sums, np.float64) for r in sorted(found, key=lambda r: r.part % _SUMMED))
+
+    return sums
+
+
+def _scored(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(sent.value.raw(_rows(batch)))], ["label", "raw"])
+
+    return run
+
+
+def _cut(scores: DataFrame, rejected: float) -> tuple[float, float]:
+    """Threshold and spread of all labelled scores (label, raw): the bin that holds the quantile is cut into bins until
+    it is a few scores, so the quantile is exact and no task sorts them all."""
+    good, poor = (F.count_if(F.col("label") == k) for k in (1, 0))
+    whole = scores.agg(good.alias("good"), poor.alias("poor"), F.min("raw").alias("low"), F.max("raw").alias("high"), F.stddev_pop("raw").alias("spread")).first()
+    low, high, below, following = whole.low, whole.high, 0.0, None
+    while True:
+        width = (high - low) / BINS
+        inside = scores.where(F.col("raw").between(low, high))
+        few = inside.limit(BINS + 1).count() <= BINS or width <= 0
+        at = F.col("raw") if few else F.least(F.floor((F.col("raw") - low) / width), F.lit(BINS - 1))
+        bins = inside.groupBy(at.alias("bin")).agg(F.min("raw").alias("low"), F.max("raw").alias("high"), good.alias("good"), poor.alias("poor"))
+        found = sorted(bins.collect(), key=lambda r: r.bin)
+        shares = [np.array([r[k] for r in found]) / whole[k] for k in ("good", "poor")]
+        place, all_in = _place(np.array([r.low for r in found]), *shares, rejected, below)
+        here = found[place]
+        if place + 1 < len(found):
+            following = found[place + 1].low
+        if few or here.low == here.high:
+            alone = here.good + here.poor == 1
+            return _between(here.low, following, all_in, alone), max(1e-9, whole.spread / 4)
+        below += sum(shares[0][:place]) * (1 - rejected) + sum(shares[1][:place]) * rejected
+        low, high = here.low, here.high
+
+
+def _dealt(known: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Labelled documents (doc_id, label, features) by group: a rare label's documents are copied to several groups.
+
+    The first copy is the document itself (``first``).
+    """
+    groups = max(1, round(sum(counts.values()) / GROUP))
+    copies = {label: min(groups, max(1, ceil(groups * RARE / n))) for label, n in counts.items()}
+    many = F.when(F.col("label") == 1, copies[1]).otherwise(copies[0])
+    copied = known.withColumn("copy", F.explode(F.sequence(F.lit(0), many - 1)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(groups)) + F.floor(F.col("copy") * groups / many)
+    bucket = F.pmod(place, F.lit(groups)).cast("int")
+    dealt = copied.select(bucket.alias("bucket"), "label", (F.col("copy") == 0).alias("first"), "features", "doc_id")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "label", "features").drop("doc_id")
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Ranking:
+    """Fit on all labelled documents that are not held out."""
+    spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     known = known.where("label in (0, 1) and doc_id is not null").where(~held_out())
-    present = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     counts = dict(known.groupBy("label").count().collect())
     both = sum(counts.values())
-    known = known.join(present, "doc_id", "left_semi").distinct()
-    order = F.xxhash64("doc_id")
-    sample = None
-    for label in (0, 1):
-        part = known.where(F.col("label") == label).orderBy(order, "doc_id").limit(per_label)
-        sample = part if sample is None else sample.union(part)
-    sample = [(r.doc_id, r.label) for r in sample.collect()]
-    if not sample:
+    present = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    known = known.distinct()
+    usable = dict(known.join(present, "doc_id", "left_semi").groupBy("label").count().collect())
+    if len(usable) < 2:
         return fit(np.zeros((0, FEATURES)), np.zeros((0, FEATURES)), 0.0)
-    chosen = docs.sparkSession.createDataFrame(sample, "doc_id bigint, label int")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")  # PER_LABEL ids of each label at most
-    found = rows.mapInArrow(_featured, "label int, features array<double>").toArrow()
-    label, values = found.column("label").to_numpy(), found.column("features").combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
-    of = lambda value: values[label == value]
-    return fit(of(1), of(0), counts.get(0, 0) / max(1, both))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(~held_out())
+    sent = membership.bitmap(known.select(membership.address("doc_id").alias("bit")))
+    found = texts.withColumn("bit", membership.address("doc_id")).mapInArrow(_featured(sent), "doc_id bigint, features binary")
+    rows = staged(_dealt(found.join(known, "doc_id"), usable), "labelled")
+    centre, scale, weights = _weights(_summed(rows), _summed(rows.where("first")))
+    plain = spark.sparkContext.broadcast(Ranking(centre, scale, weights, 0.0, 1.0))
+    once = rows.where("first").select("label", "features")
+    scores = staged(once.mapInArrow(_scored(plain), "label int, raw double"), "scores")
+    return Ranking(centre, scale, weights, *_cut(scores, counts.get(0, 0) / both))
 
 
 def _scorer(sent):
