@@ -15,6 +15,7 @@ from agrometry.quality.runner import file_status, split_by_file, stored_summary
 from agrometry.sources.readers import (
     NO_HEADER, FileCondition, list_files, of_year, read_reference_csv, read_weather_csv, with_year_folder,
 )
+from agrometry.sources.session import compiled_methods
 from agrometry.sources.writers import write_raw
 
 # The sources by name, with their rules.
@@ -54,6 +55,7 @@ def ingest_source(
     Weather text is scanned once: its cells go to the scratch folder, where files are judged and clean ones taken from.
     A weather file without a header line is rejected like one with bad rows.
     """
+    compiled_methods(spark)
     files = of_year(root, year, file_filter)
     if source == "clima":
         rows = read_weather_csv(spark, root, strict=False, files=files, scan_once=True, **options).drop(NO_HEADER)

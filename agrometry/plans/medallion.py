@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from agrometry.operators.metrics import layer_totals
 from agrometry.plans import jobs
 from agrometry.sources.readers import read_layer
+from agrometry.sources.session import compiled_methods
 
 
 def lake_paths(lake: str) -> dict[str, str]:
@@ -55,6 +56,7 @@ def run(spark: SparkSession, raw_climate: str, raw_crops, lake: str) -> dict[str
     Every layer is a written table, which also cuts the lineage: an executor
     lost in a late step never makes an early one run again.
     """
+    compiled_methods(spark)
     bronze_layer(spark, raw_climate, raw_crops, lake)
     silver_layer(spark, lake)
     gold_layer(spark, lake)
