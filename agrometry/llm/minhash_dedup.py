@@ -214,7 +214,8 @@ def _by_prefix(members: DataFrame, texts: DataFrame, size: int, percent: int) ->
     """
     spread = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     docs = staged(members.join(spread, "value", "left_semi").drop("value").distinct(), "open")
-    wanted = may_hold(texts, "doc", docs.select("doc")).join(docs.select("doc"), "doc", "left_semi")
+    # a shuffle between the filter and the shingles: no task keeps two Python workers
+    wanted = may_hold(texts, "doc", docs.select("doc")).join(docs.select("doc").hint("merge"), "doc", "left_semi")
     rows = staged(wanted.select("doc", "text").mapInArrow(_exploder(size), "doc bigint, value bigint"), "shingles")
     shared = rows.groupBy("value").agg(F.count("*").alias("listed")).where("listed > 1")
     by_doc, n = Window.partitionBy("doc"), F.col("n_shingles")

@@ -270,9 +270,12 @@ def _finish_others(sent):
 
 
 def _listed_texts(docs: DataFrame, unclear: DataFrame) -> DataFrame:
-    """Rows (doc, row, text, listed) of the documents that hold some of the segments."""
+    """Rows (doc, row, text, listed) of the documents that hold some of the segments.
+
+    A shuffle stands between the filter and what follows, so that no task keeps two Python workers.
+    """
     wanted = unclear.groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("listed"))
-    return may_hold(docs, "row", unclear.select("row").distinct()).join(wanted, _KEY).select(*_KEY, "text", "listed")
+    return may_hold(docs, "row", unclear.select("row").distinct()).join(wanted.hint("merge"), _KEY).select(*_KEY, "text", "listed")
 
 
 def _later_windows(docs: DataFrame, hot: DataFrame, window: int) -> DataFrame:
@@ -342,7 +345,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: list
     sent, test = membership.tester(found.select("row"))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     held = rows.where(test(membership.address("row")))
-    held = held.join(found, _KEY, "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"), "carried")
+    held = held.join(found.hint("merge"), _KEY, "left").select("doc_id", "text", F.coalesce("listed", none).alias("listed"), "carried")
     free = rows.select("doc_id", "text", none.alias("listed"), "carried", membership.address("row").alias("bit"))
     schema = "doc_id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<begin:bigint,end:bigint>>"
     schema = f"{schema}, carried {rows.schema['carried'].dataType.simpleString()}"

@@ -4,7 +4,7 @@ import brute
 import pytest
 
 import corpus_pipeline
-from agrometry.llm import packing, quality, queries
+from agrometry.llm import packing, quality, queries, substring_dedup
 from agrometry.llm.staging import staged
 
 
@@ -87,3 +87,14 @@ def test_stages_keep_unique_texts_of_shared_ids(spark, folder, shared):
     left = corpus_pipeline.cut_repeats(spark, corpus_pipeline.drop_near_duplicates(spark, docs, folder), folder)
     assert sum(passage in r["text"] for r in left.collect()) == 1
     assert any(r["text"] == rows[2][1] for r in left.collect())
+
+
+def test_a_task_keeps_one_python_worker(spark):
+    """Texts that pass the filter are shuffled before Python reads them again, however short the list."""
+    docs = spark.createDataFrame([(1, 2, "some text")], "doc bigint, row bigint, text string")
+    unclear = spark.createDataFrame([(1, 2, 3, 0, 1)], "doc bigint, row bigint, anchor bigint, start bigint, windows bigint")
+    read = substring_dedup._listed_texts(docs, unclear).mapInArrow(substring_dedup._reader(1), "key bigint, doc bigint, row bigint, start bigint, words binary")
+    cut = substring_dedup.repeats(spark.createDataFrame([(1, "a b c " * 20)], "doc_id bigint, text string"))
+    for df in (read, cut):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
