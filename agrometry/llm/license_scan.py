@@ -17,11 +17,13 @@ long as common terms alone cannot reach the threshold with any template, so one
 
 Null or empty texts and paths are empty: no notice, directory ``''``.  Ties go to the first licence by name, then line,
 then the shorter run, or path.  Rows that repeat a path are one file with several texts and all get its best result;
-other columns are ignored.  All steps are built-in expressions; nothing but term counts and templates is broadcast.
+other columns are ignored.  All steps are built-in expressions; no run of lines leaves its file's row, whose best notice
+alone is shuffled.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -170,10 +172,15 @@ def _directory(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
 
 
-def _runs(terms: Column, rare: Column, runs=RUNS) -> Column:
-    """Runs (line, length, terms) of lines, given as arrays of terms, around the lines with a rare term."""
-    count = F.size(terms)
-    marked = F.filter(F.transform(terms, lambda t, i: F.when(F.arrays_overlap(t, rare), i)), lambda i: i.isNotNull())
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once; a lambda function works out what it captures for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _runs(lines: Column, rare: Column, runs=RUNS) -> Column:
+    """Runs (line, length, held, known) of lines, given as structs (held, known), around the lines with a rare term."""
+    count = F.size(lines)
+    marked = F.filter(F.transform(lines, lambda l, i: F.when(F.arrays_overlap(l["known"], rare), i)), lambda i: i.isNotNull())
 
     def starts(line: Column, n: int) -> Column:
         first, last = F.greatest(line - F.lit(n - 1), F.lit(0)), F.least(line, count - F.lit(n))
@@ -183,12 +190,48 @@ def _runs(terms: Column, rare: Column, runs=RUNS) -> Column:
     def around(line: Column) -> Column:
         return F.concat(*(starts(line, n) for n in runs))
 
-    every = F.array_distinct(F.flatten(F.transform(marked, around)))
-    return F.transform(every, lambda r: F.struct(r["line"].alias("line"), r["length"].alias("length"), F.flatten(F.slice(terms, r["line"] + 1, r["length"])).alias("terms")))
+    def gathered(run: Column) -> Column:
+        part = F.slice(lines, run["line"] + 1, run["length"])
+        held = F.aggregate(part, F.lit(0), lambda total, l: total + l["held"])
+        return F.struct(run["line"].alias("line"), run["length"].alias("length"), held.alias("held"), F.flatten(part["known"]).alias("known"))
+
+    return F.transform(F.array_distinct(F.flatten(F.transform(marked, around))), gathered)
+
+
+def _best(piece: Column, whole: Column, known: list[Template], idf: dict[str, float], unseen: float) -> Column:
+    """The best notice (rank, order, license, line, length, score, share) in a run; null without one.
+
+    ``unseen`` is the weight of terms that no template has; of these only the number counts.
+    """
+    norms = [math.sqrt(sum((n * idf[term]) ** 2 for term, n in t.terms.items())) for t in known]
+    held = {term: {"idf": value, "weights": [t.terms[term] * value * value / norm for t, norm in zip(known, norms)]} for term, value in idf.items()}
+    # one literal instead of thousands of expressions
+    weights = F.from_json(F.lit(json.dumps(held)), "map<string, struct<idf: double, weights: array<double>>>")
+    told = F.array(*(F.struct(F.lit(-t.rank).alias("rank"), F.lit(t.license).alias("license"), F.lit(t.threshold).alias("least")) for t in known))
+    terms = piece["known"]
+    counted = F.transform(F.array_distinct(terms), lambda k: F.struct(F.size(F.filter(terms, lambda t: t == k)).alias("n"), F.try_element_at(weights, k).alias("of")))
+
+    def sums(counts: Column) -> Column:
+        norm = F.aggregate(counts, (piece["held"] - F.size(terms)) * F.lit(unseen**2), lambda total, c: total + (c["n"] * c["of"]["idf"]) ** 2)
+        dots = F.aggregate(counts, F.array_repeat(F.lit(0.0), len(known)), lambda total, c: F.zip_with(total, c["of"]["weights"], lambda d, w: d + c["n"] * w))
+        return F.struct(F.sqrt(norm).alias("norm"), dots.alias("dots"))
+
+    def reached(sums: Column) -> Column:
+        scored = F.zip_with(sums["dots"], told, lambda d, t: F.struct(F.round(d / sums["norm"], 6).alias("score"), t.alias("of")))
+        enough = F.filter(scored, lambda s: s["score"] >= s["of"]["least"])
+        share = (piece["held"] / whole).alias("share")
+        parts = piece["line"].alias("line"), piece["length"].alias("length")
+        rows = F.transform(enough, lambda s: F.struct(s["of"]["rank"].alias("rank"), (-s["score"]).alias("order"), s["of"]["license"].alias("license"), *parts, s["score"].alias("score"), share))
+        return F.array_min(rows)
+
+    return _bound(_bound(counted, sums), reached)
 
 
 def own_notices(files: DataFrame, known: list[Template]) -> DataFrame:
-    """Rows (path, license, score, share): the best notice of each file that has one, and its share of the file's terms."""
+    """Rows (path, license, score, share): the best notice of each file that has one, and its share of the file's terms.
+
+    Runs are compared inside their file's row; only the best notice of a row is shuffled.
+    """
     vocabulary = sorted({term for t in known for term in t.terms})
     listed = F.array(*map(F.lit, vocabulary))
     seen = files.select(F.explode(F.concat(F.array_intersect(_terms(F.col("text")), listed), F.array(F.lit("")))).alias("term"))
@@ -199,30 +242,22 @@ def own_notices(files: DataFrame, known: list[Template]) -> DataFrame:
     rare = F.array(*map(F.lit, _rare(known, idf)))
 
     named = F.regexp_like(F.translate(F.element_at(F.split("path", "/"), -1), _CAPITALS, _SMALL), F.lit(LICENCE_FILE))
-    whole = files.select("path", "copy", "text", named.alias("named"), _terms(F.col("text")).alias("all"))
-    # the outer arrays give the lines' terms a name, so that they are made once
-    lines = F.transform(F.split("text", "\n"), _terms)
-    found = F.get(F.transform(F.array(lines), lambda held: _runs(held, rare)), F.lit(0))
-    text = F.array(F.struct(F.lit(-1).alias("line"), F.lit(0).alias("length"), F.col("all").alias("terms")))
-    pieces = F.concat(found, F.when(F.col("named"), text).otherwise(F.array_remove(text, text[0])))
-    lines = whole.where(F.arrays_overlap("all", rare)).select("path", "copy", F.size("all").alias("whole"), F.explode(pieces).alias("piece"))
-    lines = lines.select("path", "copy", "whole", "piece.*")
-    session = files.sparkSession
-    weights = session.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double")
-    rows = []
-    for number, t in enumerate(known):
-        norm = math.sqrt(sum((n * idf[term]) ** 2 for term, n in t.terms.items()))
-        rows += [(term, number, t.license, t.threshold, -t.rank, n * idf[term] / norm) for term, n in t.terms.items()]
-    weighted = session.createDataFrame(rows, "term string, template int, license string, least double, rank int, weight double")
-    key = ["path", "copy", "line", "length", "whole", "held"]
-    tf = lines.select("path", "copy", "line", "length", "whole", F.size("terms").alias("held"), F.explode("terms").alias("term"))
-    tf = tf.groupBy(*key, "term").agg(F.count("*").alias("n")).join(F.broadcast(weights), "term", "left")
-    length = F.when(F.col("idf").isNull(), F.col("n") * weigh(0) ** 2).otherwise((F.col("n") * F.col("idf")) ** 2)
-    norms = tf.groupBy(*key).agg(F.sum(length).alias("norm"))
-    dots = tf.join(F.broadcast(weighted), "term").groupBy(*key, "template", "license", "least", "rank").agg(F.sum(F.col("n") * F.col("idf") * F.col("weight")).alias("dot"))
-    scored = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.sqrt("norm"), 6)).where("score >= least")
-    first = F.min(F.struct("rank", (-F.col("score")).alias("order"), "license", "line", "length", "score", (F.col("held") / F.col("whole")).alias("share")))
-    return scored.groupBy("path").agg(first.alias("best")).select("path", "best.license", "best.score", "best.share")
+    whole = files.select("path", "text", named.alias("named"), _terms(F.col("text")).alias("all")).where(F.arrays_overlap("all", rare))
+
+    def counted(terms: Column, present: Column) -> Column:
+        return F.struct(F.size(terms).alias("held"), F.filter(terms, lambda t: F.array_contains(present, t)).alias("known"))
+
+    def pieces(present: Column) -> Column:
+        lines = F.transform(F.split("text", "\n"), lambda line: _bound(_terms(line), lambda terms: counted(terms, present)))
+        everything = counted(F.col("all"), present)
+        text = F.array(F.struct(F.lit(-1).alias("line"), F.lit(0).alias("length"), everything["held"].alias("held"), everything["known"].alias("known")))
+        return F.concat(_bound(lines, lambda held: _runs(held, rare)), F.when(F.col("named"), text).otherwise(F.slice(text, 1, 0)))
+
+    cut = whole.select("path", F.size("all").alias("whole"), F.explode(_bound(F.array_intersect("all", listed), pieces)).alias("piece"))
+    best = cut.select("path", _best(F.col("piece"), F.col("whole"), known, idf, weigh(0)).alias("best"))
+    # a condition before the groups would work out every run twice
+    best = best.groupBy("path").agg(F.min("best").alias("best")).where("best is not null")
+    return best.select("path", "best.license", "best.score", "best.share")
 
 
 def scan(files: DataFrame, known: list[Template] | None = None, share: float = SHARE) -> DataFrame:
@@ -231,8 +266,7 @@ def scan(files: DataFrame, known: list[Template] | None = None, share: float = S
     ``evidence`` is ``notice``, ``inherited`` or ``none``; ``source`` is the file itself or the licensed directory.
     """
     files = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # rows of one path are told apart by their text
-    own = staged(own_notices(files.withColumn("copy", F.xxhash64("text")), known or templates()), "notices")
+    own = staged(own_notices(files, known or templates()), "notices")
     named = F.regexp_like(F.translate(F.element_at(F.split("path", "/"), -1), _CAPITALS, _SMALL), F.lit(LICENCE_FILE))
     granted = own.where(named | (F.col("share") >= share)).withColumn("directory", _directory(F.col("path")))
     granted = granted.groupBy("directory").agg(F.min(F.struct((-F.col("score")).alias("order"), "license", "path", "score")).alias("best"))

@@ -101,3 +101,17 @@ def test_sql_of_texts_with_headers(spark, tmp_path, folder):
     engine = sql_engine(folder)
     engine.execute(f"create or replace view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     assert differences(queries.op6_licenses(spark, str(tmp_path)), engine, queries.oracle_sql()["op6_licenses"]) == []
+
+
+def test_runs_are_compared_inside_their_row(spark):
+    files = spark.createDataFrame([("a/x.py", APACHE, 1), ("a/y.py", "code", 2)], "path string, text string, copy bigint")
+    plan = license_scan.own_notices(files, license_scan.templates())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(path") == plan.count("Exchange") == 1
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_a_row_twice_counts_its_terms_once(spark):
+    text = "the code of some author " + ISC.replace("\n", " ")
+    once, twice = ([(path, text) for path in paths] + [("c/z.py", "other words")] for paths in (("a/x.py", "b/x.py"), ("a/x.py", "a/x.py")))
+    once, twice = (license_scan.scan(spark.createDataFrame(rows, "path string, text string")).where("path = 'a/x.py'").distinct().collect() for rows in (once, twice))
+    assert once == twice and once[0]["license"] == "ISC"
