@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from agrometry.functions import numeric
-from agrometry.plans import catalogue
+from agrometry.operators import bronze
+from agrometry.plans import catalogue, inputs
+from agrometry.sources import readers
 from agrometry.sources.readers import year_folder
 from agrometry.sources.session import COMPILED_BYTES
 
@@ -56,3 +58,40 @@ def test_means_and_totals_are_rounded_from_the_exact_quotient(spark, places):
         exact = sum(kept(float(v)) for v in held)
         assert found[k].total == rounded(exact), (held, found[k])
         assert found[k].mean == rounded(exact / len(held)), (held, found[k])
+
+
+@pytest.fixture(scope="module")
+def many_stations(spark, tmp_path_factory, folder="/root/testdata/sf0.001"):
+    """Line items of five thousand stations."""
+    place = str(tmp_path_factory.mktemp("stations"))
+    items = inputs.line_items(spark, folder)
+    items.withColumn("l_suppkey", (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 1013) % 5000).write.parquet(f"{place}/lineitem.parquet")
+    return place
+
+
+def test_files_of_large_tables_hold_more_stations(spark, many_stations):
+    """A file for ten stations each made 36 000 folders at 6 GB, and opening them took a third of the tasks' time."""
+    path = catalogue._station_files(spark, many_stations, catalogue.RAIN_SPELLINGS)
+    assert readers.list_files(spark, path).count() <= 140
+    columns = ["data", "hora_utc", "precipitacao_mm", "umidade_pct"]
+    found = catalogue.csv_mixed_layouts(spark, many_stations).select(columns)
+    want = bronze.bronze_climate(inputs.raw_weather(spark, many_stations)).select(columns)
+    assert found.count() == want.count() > 5000 and found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def test_station_files_are_named_once_a_station_and_year(spark, many_stations):
+    rows = inputs.raw_weather(spark, many_stations).select(bronze.SOURCE_FILE)
+    assert sorted(inputs.weather_files(spark, many_stations).collect()) == sorted(rows.distinct().collect())
+    number = F.regexp_extract(bronze.SOURCE_FILE, "_A([0-9]+)_", 1).cast("bigint")
+    assert rows.where(~catalogue._station_number().eqNullSafe(number)).isEmpty()
+
+
+def test_headers_and_line_ends_are_those_of_the_patterns(spark, tmp_path):
+    lines = ["Data;Hora UTC", '\ufeff"DATA (x)" ; "Hora', "data;hora", "xdata;hora", "DATA: x;Hora", "ESTACAO;data;hora", "Data", "", '"dATA;\t"hORA', "2024/01/01;data;hora"]
+    rows = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = rows.select(readers._is_header(F.col("line")).alias("f"), F.col("line").rlike(readers.WEATHER_HEADER).alias("w")).collect()
+    assert [r["f"] for r in found] == [r["w"] for r in found] and sum(r["w"] for r in found) == 4
+    (tmp_path / "a.txt").write_bytes("a;ç\r\nb;\n\n\u2028c".encode())
+    assert [r["line"] for r in readers._lines(spark, str(tmp_path), "UTF-8", None).collect()] == ["a;ç", "b;", "", "\u2028c"]
+    (tmp_path / "a.txt").write_bytes("a;ç\nb\x85".encode("ISO-8859-1"))
+    assert [r["line"] for r in readers._lines(spark, str(tmp_path), "ISO-8859-1", None).collect()] == ["a;ç", "b\x85"]
